@@ -26,7 +26,7 @@ def entity_any_id(docs: DataFrame, doc: str, code: str, ids: list[str], watch: D
             F.when(F.coalesce(F.col(watch_id), F.lit("")) != "",
                    F.struct(F.lit(1).alias("kind"), F.col(watch_id).alias("key")))))).alias("_k"),
         entity.alias("_e")).select("_k.kind", "_k.key", "_e")
-    keys = F.array(F.struct(F.lit(0).alias("kind"), F.substring(F.col(code), 1, 4).alias("key")),
+    keys = F.array(F.struct(F.lit(0).alias("kind"), F.col(code).alias("key")),
                    *[F.struct(F.lit(1).alias("kind"), F.col(c).alias("key")) for c in ids])
     wanted = docs.select(doc, F.explode(keys).alias("_k")).select(doc, "_k.kind", "_k.key")
     best = (wanted.join(keyed, ["kind", "key"]).groupBy(doc)

@@ -77,36 +77,28 @@ def _atoms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_ATOM), F.lit(0))
 
 
-def _grams(text: Column, lengths: list[int]) -> Column:
-    """Distinct runs of the text's atoms, of the lengths the names have."""
-    atoms = _atoms(text)
-    runs = []
-    for n in lengths:
-        starts = F.when(F.size(atoms) >= n, F.sequence(F.lit(1), F.size(atoms) - n + 1)).otherwise(
-            F.array().cast("array<int>"))
-        runs.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(atoms, i, n), "\u0001")))
-    return F.array_distinct(F.concat(*runs))
-
-
 def phrase_entity_match(headlines: DataFrame, story: str, title: str, entities: DataFrame,
-                        entity: str, phrase: str, max_atoms: int = 6) -> DataFrame:
+                        entity: str, phrase: str) -> DataFrame:
     """(story, entity) pairs where a name stands in the title as a whole word.
 
-    Names and titles are cut into words and single signs. A name's run of them
-    has to occur in the title, which makes the match an equality join on runs;
-    the whole-word test then confirms each candidate on the full title. Names
-    longer than `max_atoms` are joined on their first `max_atoms`.
+    Titles and names are cut into words and single signs. A name is keyed by
+    its first two of them (or its only one), so finding candidates is an
+    equality join on keys; only keys travel, not texts. Each candidate is then
+    confirmed by the whole-word test on the full title.
     """
-    names = (entities.select(entity, F.col(phrase).alias("_phrase"))
-             .where(F.length(F.trim("_phrase")) > 0)
-             .withColumn("_a", F.slice(_atoms(F.col("_phrase")), 1, max_atoms))
-             .withColumn("_gram", F.array_join("_a", "\u0001")).drop("_a"))
-    runs = headlines.select(
-        story, F.col(title).alias("_title"),
-        F.explode(_grams(F.col(title), list(range(1, max_atoms + 1)))).alias("_gram"))
+    pair = lambda a, b: F.concat_ws("\u0001", a, b)
+    names = (entities.select(entity, F.col(phrase).alias("_phrase"), _atoms(F.col(phrase)).alias("_a"))
+             .where(F.size("_a") > 0)
+             .withColumn("_key", F.when(F.size("_a") == 1, F.col("_a")[0]).otherwise(
+                 pair(F.get("_a", F.lit(0)), F.get("_a", F.lit(1))))).drop("_a"))
+    cut = headlines.select(story, _atoms(F.col(title)).alias("_a")).where(F.size("_a") > 0)
+    pairs = F.zip_with(F.slice("_a", 1, F.size("_a") - 1), F.slice("_a", 2, F.size("_a")), pair)
+    keys = cut.select(story, F.explode(F.array_distinct(F.concat("_a", pairs))).alias("_key"))
+    candidates = keys.join(names, "_key").select(story, entity, "_phrase").distinct()
     quoted = F.regexp_replace("_phrase", r"([\\.^$|?*+()\[\]{}\-&#~])", r"\\$1")
     pattern = F.concat(F.lit("(?iu)(?<![A-Za-z0-9])"), quoted, F.lit("(?![A-Za-z0-9])"))
-    return (runs.join(names, "_gram").where(F.rlike(F.col("_title"), pattern))
+    texts = headlines.select(story, F.col(title).alias("_title"))
+    return (candidates.join(texts, story).where(F.rlike(F.col("_title"), pattern))
             .select(story, entity).distinct())
 
 
