@@ -1,8 +1,5 @@
 """These must equal the published formats for right results."""
 
-# Cell texts that stand for a missing number.
-MISSING_NUMBERS = ["", "-", "--", "不適用", "N/A", "NA", "null"]
-
 # English month abbreviations in calendar order.
 MONTH_ABBREVIATIONS = ["jan", "feb", "mar", "apr", "may", "jun",
                        "jul", "aug", "sep", "oct", "nov", "dec"]

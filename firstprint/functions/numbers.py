@@ -4,26 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .fixed_values import MISSING_NUMBERS
+
+_PLAIN = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
 
 
 def parse_number(text) -> Column:
-    """Published number text as a double; NULL where the cell means missing.
+    """Published number text as a double; NULL where the cell is not a number.
 
     Thousands commas and percent signs go, `(x)` and a leading triangle mean
-    minus, anything else that is not a number is NULL.
+    minus. Blanks, dashes and the words for 'not available' are not numbers,
+    and neither is what only Spark would accept, such as '1d' or 'NaN'. Each
+    step feeds the next once, so nothing is evaluated twice.
     """
-    c = F.regexp_replace(F.trim(_col(text)), "[,%]", "")
-    signed = (F.when(c.rlike(r"^\(.*\)$"), F.concat(F.lit("-"), _inner(c)))
-              .when(c.rlike("^[△▲]"), F.concat(F.lit("-"), F.substring(c, 2, 1000)))
-              .otherwise(c))
-    # Only plain decimal text is a number: Spark would also accept '1d' or '2f'.
-    plain = signed.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
-    return F.when(~c.isin(MISSING_NUMBERS) & plain, signed.try_cast("double"))
-
-
-def _inner(c: Column) -> Column:
-    return F.regexp_extract(c, r"^\((.*)\)$", 1)
+    bare = F.regexp_replace(F.trim(_col(text)), "[,%]", "")
+    signed = F.regexp_replace(F.regexp_replace(bare, r"^\((.*)\)$", r"-$1"), "^[△▲]", "-")
+    return F.regexp_extract(signed, _PLAIN, 1).try_cast("double")
 
 
 def fmt_number(value) -> Column:

@@ -109,7 +109,7 @@ def stage_spans(title) -> Column:
         stage = stage_word(span["w"])
         listed = F.when((stage != "") & (first <= last), F.sequence(first, last)).otherwise(
             F.array().cast("array<int>"))
-        return F.transform(listed, lambda m: F.struct(m.alias("month"), stage.alias("stage")))
+        return F.transform(listed, lambda m: F.named_struct(F.lit("month"), m, F.lit("stage"), stage))
 
     flat = F.flatten(F.transform(spans, months))
     later = lambda x, i: ~F.exists(F.slice(flat, i + 2, 400), lambda y: y["month"] == x["month"])
@@ -158,8 +158,8 @@ def parse_any_date(text) -> Column:
                (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
                (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
                (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy")]
-    tries = [F.when(t.rlike(shape), F.try_to_date(_title_month(t), layout))
-             for shape, layout in layouts]
+    named = [_title_month(t), _title_month(t), t, t, t]
+    tries = [F.when(t.rlike(shape), F.try_to_date(c, layout)) for c, (shape, layout) in zip(named, layouts)]
     # Two-digit years 69 to 99 belong to the last century.
     tries[1] = F.when(F.year(tries[1]) >= 2069, F.add_months(tries[1], -1200)).otherwise(tries[1])
     return F.coalesce(serial, *tries)

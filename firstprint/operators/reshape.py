@@ -70,7 +70,8 @@ def paired_columns_to_long(cells: Column, names: Column, kinds: Column, quantity
         paired = F.coalesce(at(kinds, i) == quantity, F.lit(False))
         value = parse_number(F.when(paired, at(cells, i + 1)).otherwise(at(cells, i)))
         qty = F.when(paired, parse_number(at(cells, i)))
-        return F.struct(name.alias("name"), value.alias("value"), qty.alias("quantity"), i.alias("position"))
+        return F.named_struct(F.lit("name"), name, F.lit("value"), value, F.lit("quantity"), qty,
+                              F.lit("position"), i)
 
     listed = F.filter(F.transform(names, entry),
                       lambda e: (e["position"] > 0) & (F.coalesce(e["name"], F.lit("")) != ""))

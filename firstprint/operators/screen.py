@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -24,7 +25,8 @@ def liquidity_gate(daily: DataFrame, name: str, date: str, dollar_volume: str, i
     w = (Window.partitionBy(name).orderBy(F.unix_date(F.col(date)))
          .rangeBetween(-(days - 1), 0))
     capacity = F.col("adv") * share * build_days
-    return (daily.withColumn("adv", F.avg(dollar_volume).over(w))
+    mean = F.sum(dollar_volume).over(w).cast("double") / F.count(dollar_volume).over(w)
+    return (daily.withColumn("adv", mean)
             .withColumn("capacity", capacity).withColumn("passes", F.col("capacity") >= intended))
 
 
@@ -114,25 +116,25 @@ def root_sources(claims: DataFrame, claim: str, parent: str, max_rounds: int = 4
     A parent that is not itself recorded is a root. A cycle raises.
     """
     has_parent = F.col(parent).isNotNull() & (F.col(parent) != F.col(claim))
-    inner = claims.where(has_parent).select(F.col(parent).alias("node")).distinct()
-    up = claims.select(F.col(claim).alias("node"), F.when(has_parent, F.col(parent)).alias("up"))
-    chain = materialize(
-        inner.join(up, "node", "left")
-        .select("node", F.coalesce("up", "node").alias("root")), "genealogy")
+    links, _ = materialize(claims.select(F.col(claim).alias("node"), F.when(has_parent, F.col(parent)).alias("up")),
+                           "genealogy")
+    inner = links.where("up is not null").select(F.col("up").alias("node")).distinct()
+    chain = inner.join(links, "node", "left").select("node", F.coalesce("up", "node").alias("root"),
+                                                     F.col("up").isNotNull().alias("moved"))
+    moved = F.count_if("moved").alias("moved")
     for _ in range(max_rounds):
-        hop = chain.select(F.col("node").alias("root"), F.col("root").alias("_next"))
-        step = materialize(
-            chain.join(hop, "root", "left")
-            .select("node", F.coalesce("_next", "root").alias("root"),
-                    (F.coalesce("_next", "root") != F.col("root")).alias("moved")), "genealogy")
-        chain = step.select("node", "root")
-        if step.where("moved").isEmpty():
+        chain, seen = materialize(chain, "genealogy", moved)
+        if not seen["moved"]:
             break
+        hop = chain.select(F.col("node").alias("root"), F.col("root").alias("_next"))
+        chain = (chain.join(hop, "root", "left")
+                 .select("node", F.coalesce("_next", "root").alias("root"),
+                         (F.coalesce("_next", "root") != F.col("root")).alias("moved")))
     else:
         raise ValueError("root_sources: parent links form a cycle")
     # A cycle whose length is a power of two ends up pointing at itself.
     ends = chain.where(F.col("root") == F.col("node")).select("node")
-    if not ends.join(up.where(F.col("up").isNotNull()), "node", "left_semi").isEmpty():
+    if not ends.join(links.where("up is not null"), "node", "left_semi").isEmpty():
         raise ValueError("root_sources: parent links form a cycle")
     roots = chain.select(F.col("node").alias("_up"), F.col("root").alias("_root"))
     return (claims.withColumn("_up", F.when(has_parent, F.col(parent))).join(roots, "_up", "left")
@@ -196,10 +198,10 @@ def exposure_lookthrough(holdings: DataFrame, constituents: DataFrame, drivers:
     held = holdings.groupBy(account, asset).agg(F.sum(value).alias("_v"))
     opened = (held.join(constituents, asset, "left")
               .select(account, F.coalesce(F.col(member), F.col(asset)).alias("_a"),
-                      (F.col("_v") * F.coalesce(F.col(weight), F.lit(1.0))).alias("_v")))
+                      (F.col("_v") * F.coalesce(F.col(weight), F.lit(Decimal(1)))).alias("_v")))
     mapped = opened.join(drivers.select(F.col(asset).alias("_a"), driver), "_a")
-    exposure = mapped.groupBy(account, driver).agg(F.sum("_v").alias("exposure"))
-    totals = held.groupBy(account).agg(F.sum("_v").alias("_t"))
+    exposure = mapped.groupBy(account, driver).agg(F.sum("_v").cast("double").alias("exposure"))
+    totals = held.groupBy(account).agg(F.sum("_v").cast("double").alias("_t"))
     return (exposure.join(totals, account).join(caps, driver, "left")
             .withColumn("exposure_pct", 100.0 * F.try_divide(F.col("exposure"), F.col("_t")))
             .withColumn("over_cap", F.coalesce(F.col("exposure_pct") > F.col(cap), F.lit(False))).drop("_t"))
@@ -226,6 +228,15 @@ def milestone_dates(events: DataFrame, key: str, milestone: str, date: str, name
     return events.groupBy(key).agg(*[F.min(F.when(F.col(milestone) == m, F.col(date))).alias(m) for m in names])
 
 
+def lead_times(rows: DataFrame, first: str, recognised: str, price_first: str, price_recognised: str,
+               price_rerated: str) -> DataFrame:
+    """Lead time, price move before recognition, and the rerating already done by then."""
+    before = F.ln(F.col(price_recognised) / F.col(price_first))
+    whole = F.ln(F.col(price_rerated) / F.col(price_first))
+    return (rows.withColumn("lead_days", F.date_diff(F.col(recognised), F.col(first)))
+            .withColumn("move_before", before).withColumn("rerating_done", F.try_divide(before, whole)))
+
+
 def flat_run(df: DataFrame, key: str, order: str, value: str, out: str = "flat_signal") -> DataFrame:
     """True when the value failed to grow at this report and at the one before."""
     w = Window.partitionBy(key).orderBy(order)

@@ -1,0 +1,55 @@
+"""Streaming jobs over the driver tables, run to the end of the data."""
+
+from pyspark.sql import functions as F
+
+from firstprint.plans.registry import query
+from firstprint.plans.tables import POSITIONS, positions, table
+from firstprint.plans.weekly import FLOWS
+from firstprint.session import scratch_dir
+from firstprint.streaming import stores as X
+
+
+def event_stream(spark, sf):
+    schema = table(spark, sf, "events").schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+            .withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+def drain(spark, stream, label: str):
+    """Run a stream to the end into files of the shared folder, and read them."""
+    path = scratch_dir(spark, label)
+    run = (stream.writeStream.format("parquet").option("path", path)
+           .option("checkpointLocation", path + "-state").trigger(availableNow=True).start())
+    run.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query("stream_append_dedup", "user_id:i event_type day event_id:i value:n", """result AS (
+  SELECT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day, event_id, value FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type, strftime(ts, '%Y-%m-%d') ORDER BY event_id) = 1)""")
+def stream_append_dedup(spark, sf):
+    path = scratch_dir(spark, "stream-store")
+    rows = event_stream(spark, sf).withColumn("day", F.date_format("ts", "yyyy-MM-dd")).withColumn("arrival", F.col("event_id"))
+    header = ["user_id", "event_type", "day", "event_id", "value"]
+    X.stream_append_dedup(rows, path, path + "-state", header, ["user_id", "event_type", "day"], "arrival", "day").awaitTermination()
+    return spark.read.parquet(path)
+
+
+@query("stream_weekly_counts", "week_ending:d event_type n:i", """weekly AS (
+  SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS week_ending, event_type, count(DISTINCT user_id) AS n
+  FROM events GROUP BY 1, 2)""", """result AS (
+  SELECT * FROM weekly WHERE CAST(week_ending + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY)""")
+def stream_weekly_counts(spark, sf):
+    return drain(spark, X.stream_weekly_counts(event_stream(spark, sf), "ts", "event_type", "user_id", "2 days"), "weekly-counts")
+
+
+@query("stream_gap_delta_rank", "series report_date net:n net_change:n move_rank_pct:n net_rank_pct:n", POSITIONS, FLOWS,
+       """result AS (
+  SELECT series, strftime(report_date, '%Y-%m-%d') AS report_date, net, net_change, move_rank_pct, net_rank_pct FROM flagged)""")
+def stream_gap_delta_rank(spark, sf):
+    """Weekly positions are published as files first, then followed as a stream."""
+    path = scratch_dir(spark, "weekly-positions")
+    weekly = positions(spark, sf).select("series", F.date_format("report_date", "yyyy-MM-dd").alias("report_date"), "net")
+    weekly.coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(weekly.schema).parquet(path)
+    return drain(spark, X.stream_gap_delta_rank(stream, "series"), "gap-ranks")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings the operators are written for. A cluster sets its own memory and
 # parallelism; AQE coalesces small shuffles and splits hot join partitions.
@@ -52,9 +52,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
-def materialize(df, label: str):
-    """Cut lineage by writing to the shared folder and reading back."""
+def materialize(df: DataFrame, label: str, *metrics: Column) -> tuple[DataFrame, dict]:
+    """Cut lineage by writing to the shared folder and reading back.
+
+    Metrics are counted while the rows are written, so they cost no extra job.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation() if metrics else None
+    (df.observe(seen, *metrics) if metrics else df).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), (seen.get if metrics else {})

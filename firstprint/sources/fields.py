@@ -14,8 +14,8 @@ def first_present_field(df: DataFrame, candidates: list[str]) -> Column:
 
 def first_present_key(record: Column, candidates: list[str]) -> Column:
     """The same for a map of fields."""
-    return F.coalesce(*[F.nullif(F.trim(F.get(F.map_values(F.map_filter(
-        record, lambda k, v, c=c: k == c)), F.lit(0))), F.lit("")) for c in candidates], F.lit(""))
+    return F.coalesce(*[F.nullif(F.trim(F.try_element_at(record, F.lit(c))), F.lit("")) for c in candidates],
+                      F.lit(""))
 
 
 def match_column(df: DataFrame, needles: list[str]) -> str | None:

@@ -63,17 +63,18 @@ def html_links_with_context(df: DataFrame, html: str, keep: list[str], link_patt
             .select(*keep, "id", "_f.*"))
 
 
-def text_field_extract(text, patterns: dict[str, list[str]]) -> list[Column]:
+def text_field_extract(df: DataFrame, text: Column, patterns: dict[str, list[str]], keep: list[str]) -> DataFrame:
     """Fields of a notice, each by the first of its patterns that matches.
 
-    Thousands commas go; a field no pattern finds stays blank.
+    The text is cleaned once for all patterns. Thousands commas go; a field no
+    pattern finds stays blank.
     """
-    c = clean_text(text)
-
     def grab(pattern):
-        return F.nullif(F.trim(F.replace(F.regexp_extract(c, "(?i)" + pattern, 1), F.lit(","), F.lit(""))), F.lit(""))
+        found = F.regexp_extract("_text", "(?i)" + pattern, 1)
+        return F.nullif(F.trim(F.replace(found, F.lit(","), F.lit(""))), F.lit(""))
 
-    return [F.coalesce(*[grab(p) for p in listed], F.lit("")).alias(name) for name, listed in patterns.items()]
+    fields = [F.coalesce(*[grab(p) for p in listed], F.lit("")).alias(name) for name, listed in patterns.items()]
+    return df.select(*keep, clean_text(text).alias("_text")).select(*keep, *fields)
 
 
 # The wordings of own-share transaction notices.
