@@ -117,7 +117,8 @@ def half_aggregates() -> list[Column]:
     out = []
     for half in (1, 2):
         mine = F.col("_half") == half
-        corr = F.corr(F.when(mine, F.col("_hx")), F.when(mine, F.col("_hy")))
+        x, y = F.when(mine, F.col("_hx")), F.when(mine, F.col("_hy"))
+        corr = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
         out.append(F.when(F.count_if(mine) >= MIN_CELL, F.coalesce(corr, F.lit(0.0)))
                    .alias(f"rho_half{half}"))
     return out

@@ -25,10 +25,10 @@ def liquidity_gate(spark, sf):
 
 
 @query("universe_dedup", "p_name p_partkey:i p_retailprice:n", """result AS (
-  SELECT p_name, p_partkey, p_retailprice FROM part WHERE p_type = 'ECONOMY' AND p_retailprice >= 950
+  SELECT p_name, p_partkey, p_retailprice FROM part WHERE p_type = 'ECONOMY' AND p_retailprice >= 905
   QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_retailprice DESC, p_partkey DESC) = 1)""")
 def universe_dedup(spark, sf):
-    return S.universe_dedup(table(spark, sf, "part"), "p_name", "p_type", "p_retailprice", 950.0,
+    return S.universe_dedup(table(spark, sf, "part"), "p_name", "p_type", "p_retailprice", 905.0,
                             [F.col("p_retailprice"), F.col("p_partkey")], "ECONOMY")
 
 
