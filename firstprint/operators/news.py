@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from firstprint.functions.periods import week_ending_sunday
+from firstprint.functions.staging import once
 
 
 def weekly_distinct_counts(df: DataFrame, date: str, query: str, story: str,
@@ -87,18 +88,22 @@ def phrase_entity_match(headlines: DataFrame, story: str, title: str, entities:
     confirmed by the whole-word test on the full title.
     """
     pair = lambda a, b: F.concat_ws("\u0001", a, b)
-    names = (entities.select(entity, F.col(phrase).alias("_phrase"), _atoms(F.col(phrase)).alias("_a"))
+    names = (once(entities.withColumn("_phrase", F.col(phrase)), [entity, "_phrase"], _a=_atoms(F.col(phrase)))
              .where(F.size("_a") > 0)
              .withColumn("_key", F.when(F.size("_a") == 1, F.col("_a")[0]).otherwise(
                  pair(F.get("_a", F.lit(0)), F.get("_a", F.lit(1))))).drop("_a"))
-    cut = headlines.select(story, _atoms(F.col(title)).alias("_a")).where(F.size("_a") > 0)
+    cut = once(headlines, [story], _a=_atoms(F.col(title))).where(F.size("_a") > 0)
     pairs = F.zip_with(F.slice("_a", 1, F.size("_a") - 1), F.slice("_a", 2, F.size("_a")), pair)
     keys = cut.select(story, F.explode(F.array_distinct(F.concat("_a", pairs))).alias("_key"))
     candidates = keys.join(names, "_key").select(story, entity, "_phrase").distinct()
+    # One run of letters and digits is a whole word wherever its key occurs, so
+    # only the other names need the text.
+    plain = F.rlike(F.col("_phrase"), F.lit("^[A-Za-z0-9]+$"))
     quoted = F.regexp_replace("_phrase", r"([\\.^$|?*+()\[\]{}\-&#~])", r"\\$1")
     pattern = F.concat(F.lit("(?iu)(?<![A-Za-z0-9])"), quoted, F.lit("(?![A-Za-z0-9])"))
-    texts = headlines.select(story, F.col(title).alias("_title"))
-    return (candidates.join(texts, story).where(F.rlike(F.col("_title"), pattern))
+    texts = headlines.select(F.col(story).alias("_story"), F.col(title).alias("_title"))
+    checked = candidates.join(texts, (F.col(story) == F.col("_story")) & ~plain, "left")
+    return (checked.where(plain | F.coalesce(F.rlike(F.col("_title"), pattern), F.lit(False)))
             .select(story, entity).distinct())
 
 

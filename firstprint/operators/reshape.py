@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from firstprint.functions.fixed_values import GROUP_FIELDS, MONTH_ABBREVIATIONS
 from firstprint.functions.numbers import parse_number
+from firstprint.functions.staging import once
 
 
 def _field(df: DataFrame, name: str | None) -> Column:
@@ -57,25 +58,25 @@ def wide_months_to_long(df: DataFrame, keep: list, year: str, stages: Column | N
                                                 F.lpad(F.col("month").cast("string"), 2, "0")))
 
 
-def paired_columns_to_long(cells: Column, names: Column, kinds: Column, quantity: str = "数量") -> Column:
-    """Array of (name, value, quantity) from a data row and its header rows.
+def paired_columns_to_long(df: DataFrame, keep: list, cells: Column, names: Column, kinds: Column,
+                           quantity: str = "数量") -> DataFrame:
+    """(name, value, quantity) rows from data rows and their header rows.
 
     A column of the quantity kind carries the pair's name and is followed by
     its value column; any other named column is a value on its own. Zero and
     blank values are unpublished.
     """
-    at = lambda arr, i: F.get(arr, i)
-
-    def entry(name, i):
-        paired = F.coalesce(at(kinds, i) == quantity, F.lit(False))
-        value = parse_number(F.when(paired, at(cells, i + 1)).otherwise(at(cells, i)))
-        qty = F.when(paired, parse_number(at(cells, i)))
-        return F.named_struct(F.lit("name"), name, F.lit("value"), value, F.lit("quantity"), qty,
-                              F.lit("position"), i)
-
-    listed = F.filter(F.transform(names, entry),
-                      lambda e: (e["position"] > 0) & (F.coalesce(e["name"], F.lit("")) != ""))
-    return F.filter(listed, lambda e: e["value"].isNotNull() & (e["value"] != 0))
+    staged = once(df, keep, _c=cells, _n=names, _k=kinds)
+    shifted = F.array_append(F.slice("_c", 2, F.size("_c")), F.lit(None).cast("string"))
+    columns = F.arrays_zip(F.col("_n").alias("name"), F.col("_k").alias("kind"), F.col("_c").alias("cell"),
+                           shifted.alias("after"))
+    paired = F.coalesce(F.col("_z.kind") == quantity, F.lit(False))
+    named = (staged.select(*keep, F.posexplode(columns).alias("position", "_z"))
+             .where((F.col("position") > 0) & (F.col("_z.name") != "")))
+    out = once(named, [*keep, "position"], name=F.col("_z.name"),
+               value=parse_number(F.when(paired, F.col("_z.after")).otherwise(F.col("_z.cell"))),
+               quantity=F.when(paired, parse_number(F.col("_z.cell"))))
+    return out.where(F.col("value") != 0)
 
 
 def windows_to_long(df: DataFrame, keep: list, windows: dict[str, str], parent: str, own: str,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from firstprint.operators import diff as D, growth as G
 from firstprint.plans.registry import query
 from firstprint.plans.tables import money, table
+from firstprint.session import materialize
 
 
 def snapshot(spark, sf, lines: str | None):
@@ -96,7 +97,8 @@ def change_counts(spark, sf):
   UNION ALL SELECT period, code, origin, 'share', share_pct - prior, value FROM material
   WHERE origin <> '-' AND abs(share_pct - prior) >= 5)""")
 def intel_flags(spark, sf):
-    current = snapshot(spark, sf, None)
+    # The current table is read by four steps below, so it is written once.
+    current, _ = materialize(snapshot(spark, sf, None), "snapshot")
     diff = D.snapshot_diff(snapshot(spark, sf, BEFORE), current, ["source", "period", "code", "origin"], "value")
     headline = D.origin_headline(current, ["period", "code"], "origin", "value")
     prior = current.select("code", "origin", F.add_months("period", 1).alias("period"),

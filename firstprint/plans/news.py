@@ -8,6 +8,7 @@ from firstprint.functions import text as X
 from firstprint.operators import filings as FL, news as N
 from firstprint.plans.registry import query
 from firstprint.plans.tables import HEADLINES, headlines, table
+from firstprint.session import spread
 
 SEARCHES = ["lang_en", "lang_fr", "lang_de", "lang_es", "long", "the"]
 THROUGH = dt.date(2024, 7, 20)
@@ -87,13 +88,13 @@ def loudness_band(spark, sf):
        """result AS (SELECT *, CASE WHEN len(dirs) = 1 THEN dirs[1] WHEN len(dirs) > 1 THEN 'mixed' ELSE '' END
   AS direction FROM labelled)""")
 def multi_label_tags(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.headline_tags("text", TAGS).alias("t")).select("doc_id", "t.*")
+    return spread(table(spark, sf, "documents")).select("doc_id", X.headline_tags("text", TAGS).alias("t")).select("doc_id", "t.*")
 
 
 @query("relevance_filter", "doc_id:i source lang", f"""result AS (
   SELECT doc_id, source, lang FROM documents WHERE source NOT IN ('s1', 'web') AND {sql_has('text', REQUIRED)})""")
 def relevance_filter(spark, sf):
-    return table(spark, sf, "documents").where(X.is_relevant("text", "source", REQUIRED, EXCLUDED))
+    return spread(table(spark, sf, "documents")).where(X.is_relevant("text", "source", REQUIRED, EXCLUDED))
 
 
 # Topic substrings of these queries.
@@ -113,7 +114,7 @@ TOPIC_SQL = ", ".join(
 def topic_tags(spark, sf):
     lists = F.coalesce(*[F.when(F.col("lang") == lang, F.array(*[F.lit(t) for t in topics]))
                          for lang, topics in PRIORITY.items()], F.array().cast("array<string>"))
-    docs = table(spark, sf, "documents").select("doc_id", "lang", X.topic_tags("text", TOPICS).alias("found"))
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "lang", X.topic_tags("text", TOPICS).alias("found"))
     return docs.select("doc_id", F.array_join("found", ";").alias("topics"),
                        X.needs_reading("found", lists).alias("needs_reading"))
 
@@ -128,7 +129,7 @@ GLOSSES = [("ß", "sharp s"), ("ü", "u umlaut"), ("ê", "e circumflex"), ("é",
     WHEN contains(t, 'ê') THEN 'e circumflex (' || t || ')' WHEN contains(t, 'é') THEN 'e acute (' || t || ')'
     ELSE t END AS gloss FROM titles)""")
 def ordered_gloss(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         "doc_id", X.ordered_gloss(F.split("text", "\n")[0], GLOSSES).alias("gloss"))
 
 
@@ -136,7 +137,7 @@ def ordered_gloss(spark, sf):
   SELECT doc_id, substr(sha1(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))), 1, 16) AS story_id
   FROM documents)""", "result AS (SELECT story_id, count(*) AS n, min(doc_id) AS first_doc FROM keyed GROUP BY 1)")
 def story_key(spark, sf):
-    return (table(spark, sf, "documents").groupBy(X.story_key("text").alias("story_id"))
+    return (spread(table(spark, sf, "documents")).groupBy(X.story_key("text").alias("story_id"))
             .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")))
 
 
@@ -146,7 +147,7 @@ def story_key(spark, sf):
          trim(t || ' - ' || lang_part) AS guessed_title, trim(source) AS guessed_outlet
   FROM (SELECT *, 'desk' AS lang_part FROM titles))""")
 def split_suffix(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.split("text", "\n")[0].alias("t"), "source")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", F.split("text", "\n")[0].alias("t"), "source")
     known = X.split_suffix(F.concat_ws(" - ", "t", "source"), F.col("source"))
     guessed = X.split_suffix(F.concat_ws(" - ", "t", F.lit("desk"), "source"), F.lit(""))
     return docs.select("doc_id", known["title"].alias("known_title"), known["outlet"].alias("known_outlet"),
@@ -159,7 +160,7 @@ def split_suffix(spark, sf):
     '&#39;', ''''), '&apos;', ''''), '&pound;', '£'), '&amp;', '&'), '[\\s' || chr(160) || chr(11) || ']+', ' ', 'g')) AS t
   FROM pages)""", "result AS (SELECT page_id, length(t) AS chars, md5(t) AS digest FROM cleaned)")
 def clean_text(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", X.clean_text("html").alias("t"))
+    pages = spread(table(spark, sf, "pages")).select("page_id", X.clean_text("html").alias("t"))
     return pages.select("page_id", F.length("t").alias("chars"), F.md5(F.col("t").cast("binary")).alias("digest"))
 
 
@@ -203,7 +204,7 @@ def phrase_entity_match(spark, sf):
     first = part.select(F.split("entity", " ")[0].alias("entity"))
     bench = table(spark, sf, "benchmark").select(F.split("text", " ")[0].alias("entity"))
     names = part.union(first).union(bench).distinct().withColumn("phrase", F.col("entity"))
-    return N.phrase_entity_match(table(spark, sf, "documents"), "doc_id", "text", names, "entity", "phrase")
+    return N.phrase_entity_match(spread(table(spark, sf, "documents")), "doc_id", "text", names, "entity", "phrase")
 
 
 # --- Filings --------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from firstprint.operators import asof, screen as S
 from firstprint.plans.grid import price_of
 from firstprint.plans.registry import query
 from firstprint.plans.tables import DAILY_PRICE, RELEASE, money, release, table
+from firstprint.session import materialize, spread
 
 
 @query("liquidity_gate", "supplier:i day:d adv:f capacity:f passes:b", """daily AS (
@@ -142,9 +143,10 @@ def brier_calibration(spark, sf):
 def claims(spark, sf):
     """Documents as claims: a copy points at the first full copy, that one at the
     first with the same opening line, and that one at the first of its outlet."""
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents")).select(
         "doc_id", "lang", "source", "n_chars", story_key("text").alias("k1"),
         story_key(F.split("text", "\n")[0]).alias("k2"), F.concat_ws("|", "lang", "source").alias("k3"))
+    docs, _ = materialize(docs, "story-keys")  # every step below reads the keys, none the texts again
     for key in ("k1", "k2", "k3"):
         docs = docs.join(docs.groupBy(key).agg(F.min("doc_id").alias(f"first_{key}")), key)
     parent = F.coalesce(*[F.when(F.col(f"first_{k}") != F.col("doc_id"), F.col(f"first_{k}")) for k in ("k1", "k2", "k3")])

@@ -52,6 +52,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer pieces than there are cores.
+
+    For steps that spend far more time per row than moving it costs, such as
+    parsing texts from a handful of files. A scan with pieces enough, as on any
+    large table, is left as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, label: str, *metrics: Column) -> tuple[DataFrame, dict]:
     """Cut lineage by writing to the shared folder and reading back.
 

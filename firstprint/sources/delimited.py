@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from firstprint.functions.staging import once
 from firstprint.operators.growth import latest_of_key
 
 
@@ -52,14 +53,13 @@ def preamble_rows(df: DataFrame, body: str, header_start: str, header_word: str
         ok = F.startswith(low, F.lit(header_start))
         return ok & low.contains(header_word) if header_word else ok
 
-    staged = df.select(*keep, lines.alias("_l"))
-    staged = staged.withColumn("_at", F.array_position(F.transform("_l", is_header), True))
-    staged = (staged.where(F.col("_at") > 0)
-              .withColumn("_head", F.transform(cells(F.regexp_replace(F.get("_l", (F.col("_at") - 1).cast("int")), "﻿", "")), F.lower))
-              .withColumn("_rows", F.slice("_l", F.col("_at").cast("int") + 1, F.size("_l"))))
-    rows = staged.select(*keep, "_head", F.posexplode("_rows").alias("line", "_line"))
-    rows = rows.where(F.trim("_line") != "").withColumn("cells", cells(F.col("_line")))
-    return rows.select(*keep, "line", F.col("_head").alias("header"), "cells")
+    staged = once(df, keep, _l=lines)
+    staged = once(staged, [*keep, "_l"], _at=F.array_position(F.transform("_l", is_header), True).cast("int"))
+    head = F.transform(cells(F.regexp_replace(F.get("_l", F.col("_at") - 1), "\ufeff", "")), F.lower)
+    staged = staged.where(F.col("_at") > 0).select(
+        *keep, head.alias("header"), F.slice("_l", F.col("_at") + 1, F.size("_l")).alias("_rows"))
+    rows = staged.select(*keep, "header", F.posexplode("_rows").alias("line", "_line"))
+    return rows.where(F.trim("_line") != "").select(*keep, "line", "header", cells(F.col("_line")).alias("cells"))
 
 
 def cell(header: str | Column, cells: str | Column, wanted, position_only: bool = False) -> Column:

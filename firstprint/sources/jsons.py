@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from firstprint.sources.fields import first_present_key, map_json
 from firstprint.functions.numbers import parse_number
+from firstprint.functions.staging import once
 
 
 def json_records(df: DataFrame, body: str, fields: list[str], keep: list[str] = ()) -> DataFrame:
@@ -36,7 +37,7 @@ def status_records(df: DataFrame, body: str, list_field: str, fields: list[str],
 def header_rows(df: DataFrame, body: str, keep: list[str] = ()) -> DataFrame:
     """Array of arrays whose first row is the header, as rows of a field map."""
     table = F.from_json(F.col(body), "array<array<string>>")
-    staged = df.select(*keep, table.alias("_t")).where(F.size("_t") >= 2)
+    staged = once(df, keep, _t=table)
     head = F.get("_t", F.lit(0))
 
     def as_map(row):
@@ -52,10 +53,9 @@ def trade_records(rows: DataFrame, code: str, value: list[str], quantity: list[s
                   keep: list[str] = ()) -> DataFrame:
     """Partner rows of a header-row payload; rows without a trade carry nothing."""
     f = F.col("fields")
-    partner = first_present_key(f, [code])
-    out = rows.select(*keep, "position", partner.alias("cty_code"),
-                      parse_number(first_present_key(f, value)).alias("value"),
-                      parse_number(first_present_key(f, quantity)).alias("qty1"), map_json(f).alias("extra_json"))
+    out = once(rows, [*keep, "position"], cty_code=first_present_key(f, [code]),
+               value=parse_number(first_present_key(f, value)), qty1=parse_number(first_present_key(f, quantity)),
+               extra_json=map_json(f))
     traded = (F.col("value") != 0) | (F.coalesce(F.col("qty1"), F.lit(0.0)) != 0)
     return out.where((F.col("cty_code") != "") & F.col("value").isNotNull() & traded)
 
@@ -69,7 +69,7 @@ def parallel_arrays(df: DataFrame, body: str, keep: list[str] = ()) -> DataFrame
               "indicators: struct<quote: array<struct<close: array<double>>>, "
               "adjclose: array<struct<adjclose: array<double>>>>>>>")
     first = F.get(F.from_json(F.col(body), schema)["chart"]["result"], F.lit(0))
-    staged = df.select(*keep, first.alias("_c"))
+    staged = once(df, keep, _c=first)
     close = F.get(F.col("_c.indicators.quote"), F.lit(0))["close"]
     adjusted = F.coalesce(F.get(F.col("_c.indicators.adjclose"), F.lit(0))["adjclose"], close)
     zipped = F.arrays_zip(F.col("_c.timestamp").alias("ts"), close.alias("close"), adjusted.alias("adj"))
@@ -87,6 +87,5 @@ def date_map(df: DataFrame, body: str, quotes: list[str], keep: list[str] = (),
     rates = F.from_json(F.col(body), f"`{field}` map<string, map<string, string>>")[field]
     days = df.select(*keep, F.explode(rates).alias("date", "_m"))
     rows = days.select(*keep, "date", F.explode("_m").alias("_q", "_r"))
-    rate = F.col("_r").try_cast("double")
-    return (rows.select(*keep, "date", F.upper("_q").alias("quote"), rate.alias("rate"))
+    return (once(rows, [*keep, "date"], quote=F.upper("_q"), rate=F.col("_r").try_cast("double"))
             .where(F.col("quote").isin([q.upper() for q in quotes]) & (F.col("rate") > 0)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from firstprint.functions.staging import once
 from firstprint.functions.text import clean_text
 
 
@@ -18,7 +19,7 @@ def html_table_rows(df: DataFrame, html: str, keep: list[str], label_pattern: st
         found = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1))
         return F.transform(found, clean_text)
 
-    staged = df.select(*keep, F.transform(rows, cells).alias("_rows"))
+    staged = once(df, keep, _rows=F.transform(rows, cells))
     labels = F.transform("_rows", lambda r: F.regexp_extract(F.array_join(r, " "), label_pattern, 1))
     carried = F.aggregate(
         labels, F.array().cast("array<string>"),
@@ -41,8 +42,7 @@ def html_links_with_context(df: DataFrame, html: str, keep: list[str], link_patt
     links = F.regexp_extract_all(F.col(html), F.lit(link_pattern), F.lit(0))
     pick = lambda g: F.regexp_extract_all(F.col(html), F.lit(link_pattern), F.lit(g))
     gaps = F.split(F.col(html), link_pattern, -1)
-    staged = df.select(*keep, links.alias("_l"), pick(id_group).alias("_i"), pick(text_group).alias("_t"),
-                       gaps.alias("_g"))
+    staged = once(df, keep, _l=links, _i=pick(id_group), _t=pick(text_group), _g=gaps)
 
     def context(gap, before):
         found = F.regexp_extract_all(clean_text(gap), F.lit(context_pattern), F.lit(0))
@@ -57,8 +57,8 @@ def html_links_with_context(df: DataFrame, html: str, keep: list[str], link_patt
             F.coalesce(F.get(acc, F.size(acc) - 1), F.lit("")) if reach is None else F.lit(""))))
     zipped = F.arrays_zip(F.col("_i").alias("id"), F.col("_t").alias("text"), seen.alias("context"))
     rows = (staged.select(*keep, F.posexplode(zipped).alias("position", "_z"))
-            .select(*keep, "position", "_z.id", clean_text(F.col("_z.text")).alias("text"), "_z.context")
-            .where(F.col("text") != ""))
+            .select(*keep, "position", "_z.id", F.col("_z.text").alias("_t"), "_z.context"))
+    rows = once(rows, [*keep, "position", "id", "context"], text=clean_text(F.col("_t"))).where(F.col("text") != "")
     return (rows.groupBy(*keep, "id").agg(F.min(F.struct("position", "text", "context")).alias("_f"))
             .select(*keep, "id", "_f.*"))
 
@@ -74,7 +74,7 @@ def text_field_extract(df: DataFrame, text: Column, patterns: dict[str, list[str
         return F.nullif(F.trim(F.replace(found, F.lit(","), F.lit(""))), F.lit(""))
 
     fields = [F.coalesce(*[grab(p) for p in listed], F.lit("")).alias(name) for name, listed in patterns.items()]
-    return df.select(*keep, clean_text(text).alias("_text")).select(*keep, *fields)
+    return once(df, keep, _text=clean_text(text)).select(*keep, *fields)
 
 
 # The wordings of own-share transaction notices.
