@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-_BASE, _SHIFT, _LEVELS = 16, 4, 4
+_BASE, _SHIFT, _LEVELS = 8, 3, 6
 LONGEST_SERIES = _BASE ** _LEVELS
 
 
@@ -17,42 +17,35 @@ def expanding_rank(df: DataFrame, series: list[str], order: str, value: str, out
     """Percent of strictly earlier values strictly below the current one.
 
     NULL until there are `min_history` earlier values; NULL values neither rank
-    nor count. Earlier-and-below pairs are counted by the base-16 digits of the
+    nor count. Earlier-and-below pairs are counted by the base-8 digits of the
     row's position: two rows differ first at exactly one digit, so per digit one
     running count inside the shared prefix, in value order, is enough. That is
     a handful of sorts on one partitioning instead of n history lists of length
-    n. A series longer than `longest` raises.
+    n. A series longer than `longest` allows for raises.
     """
-    present = F.col(value).isNotNull()
-    before = Window.partitionBy(*series).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    pos = f"_{out}_pos"
-    df = df.withColumn(pos, F.count(F.when(present, 1)).over(before))
-    below = F.lit(0)
-    drops = [pos]
-    levels = next(i for i in range(1, 9) if _BASE ** i >= longest)
+    columns = [_quoted(c) for c in df.columns]
+    keys, v = ", ".join(_quoted(c) for c in series), _quoted(value)
+    levels = next(i for i in range(1, 12) if _BASE ** i >= longest)
+    df = df.selectExpr(*columns, f"count({v}) OVER (PARTITION BY {keys} ORDER BY {_quoted(order)} "
+                                 "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _pos", "0L AS _below")
     for level in range(levels):
-        digit = F.pmod(F.shiftright(F.col(pos), level * _SHIFT), F.lit(_BASE))
-        shared = F.shiftright(F.col(pos), (level + 1) * _SHIFT)
         # Equal values come highest digit first, so a tie is never counted.
-        w = (Window.partitionBy(*series, f"_{out}_s").orderBy(F.asc_nulls_first(value), F.desc(f"_{out}_d"))
-             .rowsBetween(Window.unboundedPreceding, 0))
-        counts = [F.count(F.when(present & (F.col(f"_{out}_d") == d), 1)).over(w)
-                  for d in range(_BASE - 1)]
-        names = [f"_{out}_c{d}" for d in range(_BASE - 1)]
-        smaller = F.lit(0)
-        for d, name in enumerate(names):
-            smaller = smaller + F.when(F.col(f"_{out}_d") > d, F.col(name)).otherwise(0)
-        df = (df.withColumns({f"_{out}_d": digit, f"_{out}_s": shared})
-              .withColumns(dict(zip(names, counts)))
-              .withColumn(f"_{out}_b{level}", smaller)
-              .drop(*names, f"_{out}_d", f"_{out}_s"))
-        below = below + F.col(f"_{out}_b{level}")
-        drops.append(f"_{out}_b{level}")
-    too_long = F.raise_error(F.lit(f"expanding_rank: a series exceeds {_BASE ** levels} rows"))
-    rank = (F.when(~present | (F.col(pos) < min_history), None)
-            .when(F.col(pos) >= _BASE ** levels, too_long.cast("double"))
-            .otherwise(100.0 * below / F.col(pos)))
-    return df.withColumn(out, rank).drop(*drops)
+        window = (f"OVER (PARTITION BY {keys}, _shared ORDER BY {v} ASC NULLS FIRST, _digit DESC "
+                  "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+        counts = [f"count(CASE WHEN _digit = {d} THEN {v} END) {window} AS _c{d}" for d in range(_BASE - 1)]
+        smaller = " ".join(f"WHEN {d} THEN " + " + ".join(f"_c{k}" for k in range(d)) for d in range(1, _BASE))
+        df = (df.selectExpr(*columns, "_pos", "_below", f"shiftright(_pos, {level * _SHIFT}) & {_BASE - 1} AS _digit",
+                            f"shiftright(_pos, {(level + 1) * _SHIFT}) AS _shared")
+              .selectExpr(*columns, "_pos", "_below", "_digit", *counts)
+              .selectExpr(*columns, "_pos", f"_below + CASE _digit {smaller} ELSE 0 END AS _below"))
+    too_long = f"raise_error('expanding_rank: a series exceeds {_BASE ** levels} rows')"
+    return df.selectExpr(*columns, f"CASE WHEN {v} IS NULL OR _pos < {min_history} THEN NULL "
+                                   f"WHEN _pos >= {_BASE ** levels} THEN CAST({too_long} AS DOUBLE) "
+                                   f"ELSE 100.0D * _below / _pos END AS {_quoted(out)}")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def rolling_rank(df: DataFrame, series: list[str], order: str, value: str, out: str,

@@ -121,8 +121,8 @@ def test_expanding_rank_never_looks_ahead(spark):
 
 
 def test_too_long_a_series_raises(spark):
-    df = ranks.expanding_rank(weekly(spark, list(range(20))), ["series"], "report_date", "net", "r", 2, longest=16)
-    with pytest.raises(Exception, match="exceeds 16 rows"):
+    df = ranks.expanding_rank(weekly(spark, list(range(20))), ["series"], "report_date", "net", "r", 2, longest=8)
+    with pytest.raises(Exception, match="exceeds 8 rows"):
         df.collect()
 
 
