@@ -8,16 +8,29 @@ from firstprint.functions.numbers import pct_change
 from firstprint.operators.quantiles import exact_median
 
 
+def with_earlier(df: DataFrame, keys: list[str], period: str, value: str, months: int,
+                 out: str) -> DataFrame:
+    """Each row beside the same key's value `months` calendar months earlier.
+
+    A calendar match, not a row lag: a missing month never shifts the base.
+    Every row is sent to its own period and to the later one it is the base of,
+    and the two meet in one aggregate, so the input is computed once where a
+    self-join computes it twice. The input has one row per key and period.
+    """
+    spots = F.array(F.struct(F.col(period).alias("at"), F.lit(True).alias("own")),
+                    F.struct(F.add_months(F.col(period), months).alias("at"), F.lit(False).alias("own")))
+    own = F.col("_spot.own")
+    others = [c for c in df.columns if c not in (*keys, period)]
+    met = df.withColumn("_spot", F.explode(spots)).groupBy(*keys, F.col("_spot.at").alias(period)).agg(
+        F.bool_or(own).alias("_own"), *[F.max(F.when(own, F.col(c))).alias(c) for c in others],
+        F.max(F.when(~own, F.col(value))).alias(out))
+    return met.where("_own").select(*df.columns, out)
+
+
 def yoy_self_join(df: DataFrame, keys: list[str], period: str = "period", value: str = "value",
                   months: int = 12) -> DataFrame:
-    """Value beside the same key's value `months` earlier, and the growth.
-
-    A calendar join, not a row lag: a missing month never shifts the base. The
-    input has one row per key and period, so neither side can be skewed.
-    """
-    ago = df.select(*keys, F.add_months(F.col(period), months).alias(period),
-                    F.col(value).alias(f"{value}_year_ago"))
-    return (df.join(ago, [*keys, period], "left")
+    """Value beside the same key's value `months` earlier, and the growth."""
+    return (with_earlier(df, keys, period, value, months, f"{value}_year_ago")
             .withColumn("yoy_pct", pct_change(value, f"{value}_year_ago")))
 
 
@@ -64,13 +77,10 @@ def group_growth_breadth(df: DataFrame, keys: list[str], now: str, ago: str) ->
     """
     pairs = (df.where((F.col(ago) > 0) & F.col(now).isNotNull())
              .withColumn("_yoy", pct_change(F.col(now).cast("double"), F.col(ago).cast("double"))))
-    totals = pairs.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_members"),
-        F.sum(now).cast("double").alias("sum_now"),
-        F.sum(ago).cast("double").alias("sum_year_ago"),
-        F.avg(F.when(F.col("_yoy") > 0, 100.0).otherwise(0.0)).alias("breadth_pct"))
-    medians = exact_median(pairs, keys, "_yoy").withColumnRenamed("median", "median_yoy_pct")
-    return (totals.join(medians, keys)
+    totals = [F.sum(now).cast("double").alias("sum_now"), F.sum(ago).cast("double").alias("sum_year_ago"),
+              F.avg(F.when(F.col("_yoy") > 0, 100.0).otherwise(0.0)).alias("breadth_pct")]
+    return (exact_median(pairs, keys, "_yoy", also=totals)
+            .withColumnsRenamed({"n": "n_members", "median": "median_yoy_pct"})
             .withColumn("agg_yoy_pct", pct_change("sum_now", "sum_year_ago")))
 
 
@@ -103,9 +113,7 @@ def share_of_total(rows: DataFrame, totals: DataFrame, keys: list[str], value: s
 
 def prior_period_share(df: DataFrame, keys: list[str], period: str, share: str) -> DataFrame:
     """Share now beside the share one calendar month earlier."""
-    prior = df.select(*keys, F.add_months(F.col(period), 1).alias(period),
-                      F.col(share).alias(f"{share}_prior"))
-    return (df.join(prior, [*keys, period], "left")
+    return (with_earlier(df, keys, period, share, 1, f"{share}_prior")
             .withColumn("share_move_pt", F.col(share) - F.col(f"{share}_prior")))
 
 

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 10000) -> DataFrame:
-    """Exact median of `value` per key, as (keys, n, median).
+def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 10000,
+                 also: list[Column] = ()) -> DataFrame:
+    """Exact median of `value` per key, as (keys, n, median) and the `also` aggregates.
 
     A mergeable sketch first brackets the middle ranks within n/accuracy. Then
     everything below the bracket is only counted, everything above is dropped,
     and the few values inside are counted per distinct value. A group of any
     size, or one value held by a third of it, costs no more than its bracket.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    present = df.where(F.col(value).isNotNull())
+    rows = present.select(*keys, F.col(value).alias("_v"))
     edge = 2.0 / accuracy
-    bracket = rows.groupBy(*keys).agg(
+    first = present.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_v", [0.5 - edge, 0.5 + edge], accuracy).alias("_b"))
+        F.percentile_approx(value, [0.5 - edge, 0.5 + edge], accuracy).alias("_b"), *also)
+    bracket = first.select(*keys, "n", "_b")
     inside = (rows.join(bracket, keys)
               .where(F.col("_v") <= F.col("_b")[1])
               .withColumn("_v", F.when(F.col("_v") >= F.col("_b")[0], F.col("_v")))
@@ -29,4 +32,5 @@ def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 100
         return F.max(F.when((F.col("_lo") <= rank) & (rank < F.col("_hi")), F.col("_v")))
 
     middle = (at(F.floor((F.col("n") - 1) / 2)) + at(F.floor(F.col("n") / 2))) / 2.0
-    return ranked.groupBy(*keys, "n").agg(middle.alias("median"))
+    medians = ranked.groupBy(*keys, "n").agg(middle.alias("median"))
+    return medians if not also else medians.join(first.drop("n", "_b"), keys)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from firstprint.operators import asof, calendar as C
 from firstprint.plans.registry import query
 from firstprint.plans.tables import table
+from firstprint.session import materialize
 
 # The calendar written out: holidays per year by rule, then one row per day.
 # Easter here is the anonymous Gregorian computus, a different derivation.
@@ -34,6 +35,7 @@ DAYS = """days AS (
 def calendar(spark, sf):
     """Every day from the year before the first order to the year after the last."""
     span = table(spark, sf, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    span, _ = materialize(span, "span")  # two dates, read by every step that follows
     first = F.add_months(F.trunc("a", "year"), -12)
     last = F.date_sub(F.add_months(F.trunc("b", "year"), 24), F.lit(1))
     return C.calendar_of(span.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("day")))

@@ -21,14 +21,17 @@ def snapshot(spark, sf, lines: str | None):
     supplier = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("origin"))
     sums = (line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey)
             .groupBy(F.trunc("l_shipdate", "month").alias("period"), "code", "origin")
-            .agg((F.sum(money("l_extendedprice")).cast("double") / 1000).alias("value")))
-    cents = (sums.groupBy("period", "code")
+            .agg((F.sum(money("l_extendedprice")).cast("double") / 1000).alias("value"))
+            .withColumn("source", F.lit("us")))
+    # A snapshot is a stored table: everything below reads it, not the facts.
+    sums, _ = materialize(sums, "snapshot")
+    cents = (sums.groupBy("source", "period", "code")
              .agg((F.sum((F.col("value") * 100000).cast("decimal(28,0)")).cast("double") / 100000).alias("value"))
              .withColumn("origin", F.lit("-")))
-    parts = G.share_of_total(sums, cents.withColumnRenamed("value", "total"), ["period", "code"], "value", "total")
+    parts = G.share_of_total(sums, cents.withColumnRenamed("value", "total"), ["source", "period", "code"], "value", "total")
     totals = cents.withColumn("share_pct", F.lit(100.0))
     both = parts.drop("total").unionByName(totals)
-    return G.yoy_self_join(both, ["code", "origin"]).withColumn("source", F.lit("us"))
+    return G.yoy_self_join(both, ["source", "code", "origin"])
 
 
 BEFORE = "l_shipdate < timestamp_ntz'2001-05-01' AND NOT (l_shipdate >= timestamp_ntz'2001-03-01' AND l_linenumber > 5)"
@@ -97,8 +100,7 @@ def change_counts(spark, sf):
   UNION ALL SELECT period, code, origin, 'share', share_pct - prior, value FROM material
   WHERE origin <> '-' AND abs(share_pct - prior) >= 5)""")
 def intel_flags(spark, sf):
-    # The current table is read by four steps below, so it is written once.
-    current, _ = materialize(snapshot(spark, sf, None), "snapshot")
+    current = snapshot(spark, sf, None)
     diff = D.snapshot_diff(snapshot(spark, sf, BEFORE), current, ["source", "period", "code", "origin"], "value")
     headline = D.origin_headline(current, ["period", "code"], "origin", "value")
     prior = current.select("code", "origin", F.add_months("period", 1).alias("period"),
