@@ -27,8 +27,8 @@ def csv_strings(spark: SparkSession, path: str, header: list[str], encoding: str
 
 
 def multi_file_last_wins(spark: SparkSession, glob: str, header: list[str], keys: list[str]) -> DataFrame:
-    """Rows of all files of a set; the last file by path wins per key."""
-    df = spark.read.option("header", True).schema(",".join(f"`{c}` string" for c in header)).csv(glob)
+    """Rows of all files of a set, columns by name; the last file by path wins per key."""
+    df = spark.read.option("header", True).csv(glob).select(*[F.col(f"`{c}`") for c in header])
     return last_file_wins(df.withColumn("_path", F.input_file_name()), keys, "_path")
 
 
