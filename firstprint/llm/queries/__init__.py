@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["quality", "decontaminate"]
+MODULES = ["quality", "decontaminate", "neardup"]
 
 
 def load_all() -> None:
