@@ -6,7 +6,7 @@ from __future__ import annotations
 class Remembered(dict):
     """d[x] is f(x), computed on first use. Emptied when it holds `most` entries, so a task's memory stays bounded."""
 
-    def __init__(self, f, most: int = 1_000_000, longest: int = 64):
+    def __init__(self, f, most: int = 250_000, longest: int = 64):
         super().__init__()
         self.f, self.most, self.longest = f, most, longest
 

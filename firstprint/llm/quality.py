@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from firstprint.functions.staging import once
 from firstprint.llm.texts import white_words
 
-ORDERS = (1,)
+ORDERS = (1, 2)
 BUCKETS = 10_000
 TRUSTED_ROWS = 10_000
 PRIOR = 10_000
@@ -38,7 +38,7 @@ def grams(words: Column, orders: tuple[int, ...] = ORDERS) -> Column:
     """The word n-grams of each order, as text."""
     def of(order: int) -> Column:
         starts = F.slice(words, 1, F.greatest(F.size(words) - (order - 1), F.lit(0)))
-        return F.transform(starts, lambda x, i: F.array_join(F.slice(words, i + 1, order), " "))
+        return F.transform(starts, lambda x, i: F.concat_ws(" ", x, *[F.get(words, i + j) for j in range(1, order)]))
     return F.concat(*[words if n == 1 else of(n) for n in orders])
 
 

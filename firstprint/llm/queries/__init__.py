@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["quality", "decontaminate", "neardup"]
+MODULES = ["packing", "quality", "decontaminate", "neardup"]
 
 
 def load_all() -> None:

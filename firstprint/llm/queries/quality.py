@@ -14,17 +14,19 @@ WITH crc_table AS (SELECT list(c ORDER BY b) AS t FROM (
 doc AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 word AS MATERIALIZED (SELECT doc_id, unnest(w) AS gram, unnest(range(len(w))) AS i FROM doc),
+gram AS MATERIALIZED (SELECT doc_id, gram FROM word UNION ALL
+    SELECT doc_id, w[i] || ' ' || w[i + 1] FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM doc)),
 crc AS MATERIALIZED (SELECT gram, xor(list_reduce(
         list_transform(range(octet_length(encode(gram))), lambda i: ('0x' || substr(hex(encode(gram)), CAST(2 * i + 1 AS BIGINT), 2))::BIGINT),
         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % {BUCKETS} AS bucket
-    FROM (SELECT DISTINCT gram FROM word), crc_table),
+    FROM (SELECT DISTINCT gram FROM gram), crc_table),
 trusted AS MATERIALIZED (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL)
     ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT {TRUSTED_ROWS}),
 counts AS MATERIALIZED (SELECT bucket, count(*) AS raw, count(trusted.doc_id) AS trusted
-    FROM word JOIN crc USING (gram) LEFT JOIN trusted ON word.doc_id = trusted.doc_id GROUP BY 1),
+    FROM gram JOIN crc USING (gram) LEFT JOIN trusted ON gram.doc_id = trusted.doc_id GROUP BY 1),
 weight AS MATERIALIZED (SELECT bucket, CAST(round(ln((trusted * (SELECT sum(raw) FROM counts)::DOUBLE / raw + {PRIOR}.0)
     / ((SELECT sum(trusted) FROM counts)::DOUBLE + {PRIOR}.0)) * 1000000) AS BIGINT) AS weight FROM counts),
-score AS (SELECT doc_id, CAST(sum(weight) AS BIGINT) AS score FROM word JOIN crc USING (gram) JOIN weight USING (bucket) GROUP BY 1),
+score AS (SELECT doc_id, CAST(sum(weight) AS BIGINT) AS score FROM gram JOIN crc USING (gram) JOIN weight USING (bucket) GROUP BY 1),
 triple AS MATERIALIZED (SELECT doc_id, i, gram || ' ' || lead(gram, 1) OVER o || ' ' || lead(gram, 2) OVER o AS spoken
     FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 again AS (SELECT doc_id, i FROM (SELECT doc_id, i, spoken, count(*) OVER (PARTITION BY doc_id, spoken) AS n FROM triple
@@ -38,7 +40,7 @@ base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_
     FROM doc LEFT JOIN repeated USING (doc_id) LEFT JOIN score USING (doc_id)),
 verdict AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-    n_repeat_words, base_failed, NOT base_failed AND score >= {round(LEAST_RATIO * 1_000_000)} * n_words AS kept FROM verdict
+    n_repeat_words, base_failed, NOT base_failed AND score >= {round(LEAST_RATIO * 1_000_000)} * (2 * n_words - 1) AS kept FROM verdict
 """
 
 
