@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["packing", "quality", "decontaminate", "neardup"]
+MODULES = ["packing", "toxicity", "language", "quality", "decontaminate", "neardup"]
 
 
 def load_all() -> None:
