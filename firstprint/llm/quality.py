@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from firstprint.functions.staging import once
 from firstprint.llm.texts import white_words
+from firstprint.session import materialize
 
 ORDERS = (1, 2)
 BUCKETS = 10_000
@@ -60,11 +61,11 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
 
 
 def weights(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> list[int]:
-    """Whole millionths of ln(p_trusted / p_raw) for each bucket; 0 where the corpus has none."""
-    sums = counts.agg(F.sum("raw").alias("raw_sum"), F.sum("trusted").alias("trusted_sum"))
-    share = F.col("trusted") * F.col("raw_sum") / F.col("raw") + F.lit(float(prior))
-    ratio = F.log(share / (F.col("trusted_sum") + F.lit(float(prior))))
-    rows = counts.join(F.broadcast(sums)).select("bucket", F.round(ratio * 1_000_000).cast("bigint").alias("weight"))
+    """Whole millionths of ln(p_trusted / p_raw) for each bucket; 0 where the corpus has none. `counts` is read twice."""
+    sums = counts.agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).first()
+    share = F.col("trusted") * F.lit(float(sums["raw"] or 0)) / F.col("raw") + F.lit(float(prior))
+    ratio = F.log(share / F.lit(float(sums["trusted"] or 0) + float(prior)))
+    rows = counts.select("bucket", F.round(ratio * 1_000_000).cast("bigint").alias("weight"))
     found = {r.bucket: r.weight for r in rows.collect()}
     return [found.get(b, 0) for b in range(buckets)]
 
@@ -117,5 +118,5 @@ def quality_rules(docs: DataFrame, raw: DataFrame, labels: DataFrame, buckets: i
                   trusted_rows: int = TRUSTED_ROWS, least_ratio: float = LEAST_RATIO,
                   orders: tuple[int, ...] = ORDERS) -> DataFrame:
     """Verdicts on `docs`, with multinomials of the raw corpus and its trusted documents."""
-    counts = gram_counts(raw, trusted_ids(labels, trusted_rows), buckets, orders)
+    counts, _ = materialize(gram_counts(raw, trusted_ids(labels, trusted_rows), buckets, orders), "gram-counts")
     return verdicts(docs, weights(counts, buckets), buckets, least_ratio, orders)
