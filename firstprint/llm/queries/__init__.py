@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["packing", "toxicity", "language", "quality", "token_counts", "chat", "decontaminate", "neardup"]
+MODULES = ["packing", "extraction", "toxicity", "language", "licenses", "quality", "token_counts", "chat", "decontaminate", "neardup"]
 
 
 def load_all() -> None:
