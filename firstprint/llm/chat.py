@@ -24,8 +24,11 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from firstprint.llm.frames import frame
+
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[MSG]", "[AS]", "[/MSG]")
 MARK = "\\"
+CHUNK = "conv_id chunk text spans"
 TEMPLATE = """<s>{% for m in messages %}
 {%- if m.role == 'user' %}[INST] {{ m.text | escape }} [/INST]
 {%- elif m.role == 'assistant' %} {% generation %}{{ m.text | escape }}{% endgeneration %}</s>
@@ -380,19 +383,15 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE, chunk_chars
                 ready.append(chunk)
                 held += len(chunk[2])
                 if len(ready) >= 1000 or held >= chunk_chars:
-                    yield _frame(ready)
+                    yield frame(CHUNK, ready)
                     ready, held = [], 0
             for _ in messages:  # a template need not read them all
                 pass
-        yield _frame(ready)
+        yield frame(CHUNK, ready)
 
     return ordered.mapInPandas(run, "conv_id bigint, chunk bigint, text string, spans array<bigint>")
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["conv_id", "chunk", "text", "spans"]).astype({"conv_id": "Int64"})
-
-
 def _runs(flow: Iterator[tuple]) -> Iterator[tuple[int | None, Iterator[dict]]]:
     """Runs of rows with the same first field, each as a lazy iterator of the second."""
     end = object()
@@ -476,10 +475,10 @@ def digests(chunks: DataFrame) -> DataFrame:
                 n_turns += 1
             rows.append((conv_id, n_turns, turns.hexdigest(), loss_chars, loss.hexdigest(), formatted))
             if len(rows) >= 10_000:
-                yield pd.DataFrame(rows, columns=names).astype({"conv_id": "Int64"})
+                yield frame(names, rows)
                 rows = []
-        yield pd.DataFrame(rows, columns=names).astype({"conv_id": "Int64"})
+        yield frame(names, rows)
 
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    names = "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars"
     return chunks.select("conv_id", "text", "spans").mapInPandas(
         run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")

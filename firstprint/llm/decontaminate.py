@@ -83,7 +83,7 @@ def anchors(docs: DataFrame, prints: DataFrame, short_sizes: list[int], window:
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, item_ids (sorted as text).
+    """One row per document: doc_id, n_words, n_hit, n_items, item_ids (sorted as text) and text_hash.
 
     A word is hit if it lies inside an occurrence of a window of an item; an item of fewer than `window` words is one
     window, an item without words has none. A document whose text is null or has no words has no hits. Texts of any length
@@ -118,4 +118,4 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: in
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return rows.select("doc_id", F.col("n_words").cast("bigint").alias("n_words"),
                        F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-                       F.size(ids).cast("bigint").alias("n_items"), ids.alias("item_ids"))
+                       F.size(ids).cast("bigint").alias("n_items"), ids.alias("item_ids"), "text_hash")

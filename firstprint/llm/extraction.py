@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from firstprint.llm.caching import Remembered
+from firstprint.llm.frames import frame
 
 PATH_SIZE = 192
 WORD_SIZE = 64
@@ -360,6 +361,10 @@ def texts_of(pages: list[str | None], model: dict, vectors: Vectors, group: int
     return out
 
 
+def _plain(values: pd.Series) -> list:
+    return [None if pd.isna(x) else x for x in values]
+
+
 def main_texts(pages: DataFrame, model: dict) -> DataFrame:
     """(page_id, url, text, n_chars) of every row.
 
@@ -371,8 +376,7 @@ def main_texts(pages: DataFrame, model: dict) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch[at:at + 512]
-                texts = texts_of(list(part["html"]), model, vectors)
-                yield pd.DataFrame({"page_id": part["page_id"].astype("Int64").array, "url": part["url"].array, "text": texts,
-                                    "n_chars": [len(t) for t in texts]})
+                texts = texts_of(_plain(part["html"]), model, vectors)
+                yield frame("page_id url text n_chars", zip(_plain(part["page_id"]), _plain(part["url"]), texts, map(len, texts)))
 
     return pages.select("page_id", "url", "html").mapInPandas(run, "page_id bigint, url string, text string, n_chars bigint")

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from firstprint.llm.frames import frame
+
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 SAMPLE_PER_LANGUAGE = 1_000
@@ -69,12 +71,12 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for language, text in zip(batch["language"], batch["text"]):
             held = sums.setdefault(language, np.zeros(BUCKETS, np.int64))
             held += np.bincount(buckets_of(text), minlength=BUCKETS)
-    yield pd.DataFrame({"language": list(sums), "counts": [x.tobytes() for x in sums.values()]})
+    yield frame("language counts", ((language, x.tobytes()) for language, x in sums.items()))
 
 
 def _added(rows: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(x, np.int64) for x in rows["counts"])
-    return pd.DataFrame({"language": rows["language"][:1], "counts": [total.tobytes()]})
+    return frame("language counts", [(rows["language"].iloc[0], total.tobytes())])
 
 
 def fit(docs: DataFrame, usable: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
@@ -133,7 +135,7 @@ def identified(docs: DataFrame, model: dict) -> DataFrame:
     @pandas_udf(kind)
     def scored(text: pd.Series) -> pd.DataFrame:
         languages, score = score_texts(list(text), shared.value)
-        return pd.DataFrame({"lang_pred": languages, "score": score})
+        return frame("lang_pred score", zip(languages, score))
 
     found = docs.select(F.struct("*").alias("doc")).withColumn("found", scored("doc.text"))
     return found.select("doc", "found.lang_pred", "found.score")

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from firstprint.llm.caching import Remembered
+from firstprint.llm.frames import frame
 
 K = 3
 W = 2
@@ -185,8 +186,7 @@ def license_spans(docs: DataFrame, templates: dict[str, str] | None = None) -> D
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 words = words_of(text)
                 rows += [(doc_id, *one) for one in scan(words, gram_hashes(words, hashes), index)]
-            yield pd.DataFrame(rows, columns=["doc_id", "license", "start", "end", "covered", "coverage"]).astype(
-                {"doc_id": "Int64", "license": "str", "start": "int64", "end": "int64", "covered": "int64", "coverage": "float64"})
+            yield frame("doc_id license start end covered coverage", rows)
 
     return docs.select("doc_id", "text").mapInPandas(
         run, "doc_id bigint, license string, start bigint, end bigint, covered bigint, coverage double")

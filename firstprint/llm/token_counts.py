@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from firstprint.llm.caching import Remembered
+from firstprint.llm.frames import frame
 
 DEAD = -1
 WORD_START = "▁"
@@ -101,12 +102,10 @@ def token_counts(docs: DataFrame, vocabulary: Callable[[], tuple[list[str], list
         counts = Remembered(Automaton(*vocabulary()).count)
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 found = list(map(counts.__getitem__, (text or "").split()))
                 unknown = found.count(0)
-                rows.append((len(found), sum(found) + unknown, unknown))
-            made = pd.DataFrame(rows, columns=["n_words", "n_tokens", "n_unknown"])
-            made.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
-            yield made
+                rows.append((doc_id, len(found), sum(found) + unknown, unknown))
+            yield frame("doc_id n_words n_tokens n_unknown", rows)
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, n_words bigint, n_tokens bigint, n_unknown bigint")

@@ -25,6 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firstprint.llm.caching import Remembered
+from firstprint.llm.frames import frame
 
 SAMPLE_ROWS = 12_000
 BASE_TEXTS = 1_500
@@ -107,14 +108,14 @@ def sample(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPL
 def _distinct_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for text, label in zip(batch["text"], batch["label"]):
-            yield pd.DataFrame({"word": list(dict.fromkeys(words_of(text)))}).assign(label=label)
+            yield frame("word label", ((word, label) for word in dict.fromkeys(words_of(text))))
 
 
 def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for text in batch["text"]:
             stretch = " ".join(dict.fromkeys(words_of(text))).encode("utf-8", "surrogatepass")[:STRETCH]
-            yield pd.DataFrame({"stretch": [b" " + stretch + b" "]})
+            yield frame("stretch", [(b" " + stretch + b" ",)])
 
 
 def toxic_words(fitted: DataFrame, least_g: float = LEAST_G, most_bytes: int = TOXIC_BYTES) -> list[str]:
@@ -169,7 +170,7 @@ def _describe(model: dict):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         savings = Remembered(Savings(model["base"], model["toxic"]))
         for batch in batches:
-            yield pd.DataFrame({"label": batch["label"], "x": [features(words_of(t), savings) for t in batch["text"]]})
+            yield frame("label x", ((label, features(words_of(t), savings)) for label, t in zip(batch["label"], batch["text"])))
     return run
 
 
@@ -186,6 +187,6 @@ def toxicity(docs: DataFrame, model: dict) -> DataFrame:
                 found = np.full(len(batch), float(model["share"]))
             else:
                 found = probabilities(np.array([features(words_of(t), savings) for t in batch["text"]]), model)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": found})
+            yield frame("doc_id score", zip(batch["doc_id"], found))
 
     return docs.select("doc_id", "text").mapInPandas(score, "doc_id bigint, score double")
