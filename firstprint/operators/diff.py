@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firstprint.operators.growth import top_n_per_group
@@ -17,17 +19,18 @@ def snapshot_diff(previous: DataFrame, current: DataFrame, keys: list[str], valu
                   source: str = "source") -> DataFrame:
     """New and revised rows of the current snapshot.
 
-    A source with no previous rows is a baseline: nothing in it is news. Keys
+    Missing keys are equal to missing ones. A source with no previous rows is a baseline: nothing in it is news. Keys
     that disappeared are ignored. Values compare typed and null-safely.
     """
-    before = previous.select(*keys, F.col(value).alias("previous_value"), F.lit(True).alias("_had"))
-    known = previous.select(source).distinct().withColumn("_known", F.lit(True))
+    before = previous.select(*[F.col(k).alias(f"_is_{k}") for k in keys], F.col(value).alias("previous_value"), F.lit(True).alias("_had"))
+    known = previous.select(F.col(source).alias("_source")).distinct().withColumn("_known", F.lit(True))
+    same = reduce(lambda a, b: a & b, [current[k].eqNullSafe(before[f"_is_{k}"]) for k in keys])
     had = F.col("_had").isNotNull()
     status = (F.when(F.col("_known").isNull(), "baseline").when(~had, "new")
               .when(~F.col(value).eqNullSafe(F.col("previous_value")), "revised"))
-    return (current.join(before, keys, "left").join(known, source, "left")
-            .withColumn("change", status).where(F.col("change").isNotNull())
-            .drop("_had", "_known"))
+    joined = current.join(before, same, "left").join(known, current[source].eqNullSafe(known["_source"]), "left")
+    return (joined.withColumn("change", status).where(F.col("change").isNotNull())
+            .drop("_had", "_known", "_source", *[f"_is_{k}" for k in keys]))
 
 
 def change_counts(diff: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-_BASE, _SHIFT, _LEVELS = 8, 3, 6
-LONGEST_SERIES = _BASE ** _LEVELS
+_BASE, _SHIFT = 8, 3
 
 
 def expanding_rank(df: DataFrame, series: list[str], order: str, value: str, out: str,
-                   min_history: int, longest: int = LONGEST_SERIES) -> DataFrame:
+                   min_history: int) -> DataFrame:
     """Percent of strictly earlier values strictly below the current one.
 
     NULL until there are `min_history` earlier values; NULL values neither rank
@@ -21,11 +20,13 @@ def expanding_rank(df: DataFrame, series: list[str], order: str, value: str, out
     row's position: two rows differ first at exactly one digit, so per digit one
     running count inside the shared prefix, in value order, is enough. That is
     a handful of sorts on one partitioning instead of n history lists of length
-    n. A series longer than `longest` allows for raises.
+    n. The number of digits is that of the longest series, which one aggregate
+    over the series columns finds first.
     """
     columns = [_quoted(c) for c in df.columns]
     keys, v = ", ".join(_quoted(c) for c in series), _quoted(value)
-    levels = next(i for i in range(1, 12) if _BASE ** i >= longest)
+    longest = df.groupBy(*series).agg(F.count(value).alias("n")).agg(F.max("n")).first()[0] or 1
+    levels = max(1, -(-(int(longest)).bit_length() // _SHIFT))
     df = df.selectExpr(*columns, f"count({v}) OVER (PARTITION BY {keys} ORDER BY {_quoted(order)} "
                                  "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _pos", "0L AS _below")
     for level in range(levels):
@@ -38,9 +39,7 @@ def expanding_rank(df: DataFrame, series: list[str], order: str, value: str, out
                             f"shiftright(_pos, {(level + 1) * _SHIFT}) AS _shared")
               .selectExpr(*columns, "_pos", "_below", "_digit", *counts)
               .selectExpr(*columns, "_pos", f"_below + CASE _digit {smaller} ELSE 0 END AS _below"))
-    too_long = f"raise_error('expanding_rank: a series exceeds {_BASE ** levels} rows')"
     return df.selectExpr(*columns, f"CASE WHEN {v} IS NULL OR _pos < {min_history} THEN NULL "
-                                   f"WHEN _pos >= {_BASE ** levels} THEN CAST({too_long} AS DOUBLE) "
                                    f"ELSE 100.0D * _below / _pos END AS {_quoted(out)}")
 
 

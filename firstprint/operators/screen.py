@@ -106,14 +106,16 @@ def brier_calibration(forecasts: DataFrame, keys: list[str], p: str, outcome: st
 
 # --- Evidence genealogy ---------------------------------------------------------------
 
-def root_sources(claims: DataFrame, claim: str, parent: str, max_rounds: int = 40) -> DataFrame:
+def root_sources(claims: DataFrame, claim: str, parent: str) -> DataFrame:
     """(claim, root): each claim's earliest source, following parents.
 
     Only claims that are somebody's parent can be inside a chain, so pointer
     doubling runs on the distinct parents: a source copied a billion times is
     one row there. Each round halves the remaining depth and is written to the
     shared folder, which cuts the lineage and lets a lost executor resume.
-    A parent that is not itself recorded is a root. A cycle raises.
+    A parent that is not itself recorded is a root. A cycle raises: rounds that
+    still move when their reach exceeds the number of nodes, or an end that has
+    a parent.
     """
     has_parent = F.col(parent).isNotNull() & (F.col(parent) != F.col(claim))
     links, _ = materialize(claims.select(F.col(claim).alias("node"), F.when(has_parent, F.col(parent)).alias("up")),
@@ -121,17 +123,19 @@ def root_sources(claims: DataFrame, claim: str, parent: str, max_rounds: int = 4
     inner = links.where("up is not null").select(F.col("up").alias("node")).distinct()
     chain = inner.join(links, "node", "left").select("node", F.coalesce("up", "node").alias("root"),
                                                      F.col("up").isNotNull().alias("moved"))
-    moved = F.count_if("moved").alias("moved")
-    for _ in range(max_rounds):
-        chain, seen = materialize(chain, "genealogy", moved)
+    moved = [F.count_if("moved").alias("moved"), F.count(F.lit(1)).alias("nodes")]
+    reach = 1
+    while True:
+        chain, seen = materialize(chain, "genealogy", *moved)
         if not seen["moved"]:
             break
+        if reach > 4 * (seen["nodes"] + 1):  # no chain without a cycle is longer than its nodes and their last parent
+            raise ValueError("root_sources: parent links form a cycle")
+        reach *= 2
         hop = chain.select(F.col("node").alias("root"), F.col("root").alias("_next"))
         chain = (chain.join(hop, "root", "left")
                  .select("node", F.coalesce("_next", "root").alias("root"),
                          (F.coalesce("_next", "root") != F.col("root")).alias("moved")))
-    else:
-        raise ValueError("root_sources: parent links form a cycle")
     # A cycle whose length is a power of two ends up pointing at itself.
     ends = chain.where(F.col("root") == F.col("node")).select("node")
     if not ends.join(links.where("up is not null"), "node", "left_semi").isEmpty():
@@ -187,19 +191,24 @@ def stale_entries(entries: DataFrame, confirmed: str, today, months: int = 6) ->
     return entries.where(F.add_months(F.col(confirmed), months) < today)
 
 
+UNMAPPED = "unmapped"
+
+
 def exposure_lookthrough(holdings: DataFrame, constituents: DataFrame, drivers: DataFrame,
                          caps: DataFrame, account: str, asset: str, value: str, member: str,
                          weight: str, driver: str, cap: str) -> DataFrame:
     """Exposure per account and driver with funds opened up, against the caps.
 
     Holdings are summed per (account, asset) first. A fund is replaced by its
-    constituents, anything else stands for itself.
+    constituents, anything else stands for itself. Assets without a driver are
+    shown under UNMAPPED.
     """
     held = holdings.groupBy(account, asset).agg(F.sum(value).alias("_v"))
     opened = (held.join(constituents, asset, "left")
               .select(account, F.coalesce(F.col(member), F.col(asset)).alias("_a"),
                       (F.col("_v") * F.coalesce(F.col(weight), F.lit(Decimal(1)))).alias("_v")))
-    mapped = opened.join(drivers.select(F.col(asset).alias("_a"), driver), "_a")
+    mapped = (opened.join(drivers.select(F.col(asset).alias("_a"), driver), "_a", "left")
+              .withColumn(driver, F.coalesce(driver, F.lit(UNMAPPED))))
     exposure = mapped.groupBy(account, driver).agg(F.sum("_v").cast("double").alias("exposure"))
     totals = held.groupBy(account).agg(F.sum("_v").cast("double").alias("_t"))
     return (exposure.join(totals, account).join(caps, driver, "left")

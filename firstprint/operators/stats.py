@@ -41,51 +41,55 @@ def spearman_corr(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     return cells.withColumn("rho", _enough(F.col("rho")))
 
 
-def _bartlett(sums: Column, lag: int, horizon: Column) -> Column:
-    return F.when(horizon >= lag, 2.0 * (1.0 - F.lit(lag) / (horizon + 1)) * sums).otherwise(0.0)
+def _overlap(series: Column, horizon: Column) -> Column:
+    """Twice the Bartlett-weighted sum of the lagged products of an array, for the lags 1 to `horizon`."""
+    last = F.least(F.coalesce(horizon.cast("int"), F.lit(0)), F.size(series) - 1)
 
+    def products(lag: Column) -> Column:
+        pairs = F.zip_with(F.slice(series, lag + 1, F.size(series) - lag), F.slice(series, 1, F.size(series) - lag), lambda a, b: a * b)
+        return F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x)
 
-def score_columns(df: DataFrame, keys: list[str], order: str, max_lag: int) -> DataFrame:
-    """Add the score u of the rank regression and its lagged products."""
-    cell = Window.partitionBy(*keys)
-    dated = Window.partitionBy(*keys).orderBy(order)
-    rho = F.avg(F.col("zx") * F.col("zy")).over(cell)
-    df = df.withColumn("_rho", rho).withColumn(
-        "_u", F.col("zx") * (F.col("zy") - F.col("_rho") * F.col("zx")))
-    return df.withColumns({f"_u{lag}": F.col("_u") * F.lag("_u", lag).over(dated)
-                           for lag in range(1, max_lag + 1)})
+    weighted = F.aggregate(F.sequence(F.lit(1), last), F.lit(0.0),
+                           lambda total, lag: total + 2.0 * (1.0 - lag / (horizon + 1)) * products(lag))
+    return F.when(last >= 1, weighted).otherwise(0.0)
+
+
+def _in_order(order: str, *columns: str) -> Column:
+    """The columns of a cell as one array of structs in date order; a cell is no longer than its calendar."""
+    return F.sort_array(F.collect_list(F.struct(order, *columns)))
 
 
-def hac_aggregates(max_lag: int) -> list[Column]:
+def score_columns(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the score u of the rank regression."""
+    rho = F.avg(F.col("zx") * F.col("zy")).over(Window.partitionBy(*keys))
+    df = df.withColumn("_rho", rho)
+    return df.withColumn("_u", F.col("zx") * (F.col("zy") - F.col("_rho") * F.col("zx")))
+
+
+def hac_aggregates(order: str) -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), F.max("_rho").alias("rho"),
             F.avg(F.col("zx") * F.col("zx")).alias("_sxx"),
-            F.avg(F.col("_u") * F.col("_u")).alias("_s0"),
-            *[F.coalesce(F.sum(f"_u{lag}"), F.lit(0.0)).alias(f"_s{lag}")
-              for lag in range(1, max_lag + 1)]]
+            F.avg(F.col("_u") * F.col("_u")).alias("_s0"), _in_order(order, "_u").alias("_us")]
 
 
-def hac_t(horizon: Column, max_lag: int) -> Column:
-    """t of rho from the Bartlett-weighted long-run variance of the score."""
-    s = F.col("_s0")
-    for lag in range(1, max_lag + 1):
-        s = s + _bartlett(F.col(f"_s{lag}") / F.col("n"), lag, horizon)
+def hac_t(horizon: Column) -> Column:
+    """t of rho from the Bartlett-weighted long-run variance of the score; the lag length is the horizon."""
+    s = F.col("_s0") + _overlap(F.col("_us._u"), horizon) / F.col("n")
     var = F.try_divide(s, F.col("_sxx") * F.col("_sxx")) / F.col("n")
     return F.when((F.col("n") >= MIN_CELL) & (var > 0), F.col("rho") / F.sqrt(var))
 
 
-def newey_west_t(df: DataFrame, keys: list[str], order: str, x: str, y: str,
-                 horizon: str, max_lag: int) -> DataFrame:
+def newey_west_t(df: DataFrame, keys: list[str], order: str, x: str, y: str, horizon: str) -> DataFrame:
     """rho and its t-statistic per cell; the lag length is the cell's horizon."""
-    scored = score_columns(rank_scores(df, keys, x, y), keys, order, max_lag)
-    cells = scored.groupBy(*keys).agg(*hac_aggregates(max_lag))
-    return cells.select(*keys, "n", _enough(F.col("rho")).alias("rho"),
-                        hac_t(F.col(horizon), max_lag).alias("t_nw"))
+    scored = score_columns(rank_scores(df, keys, x, y), keys)
+    cells = scored.groupBy(*keys).agg(*hac_aggregates(order))
+    return cells.select(*keys, "n", _enough(F.col("rho")).alias("rho"), hac_t(F.col(horizon)).alias("t_nw"))
 
 
 def quintile_columns(df: DataFrame, keys: list[str], order: str, x: str, min_history: int,
-                     turn: Column | None = None, longest: int = 4096) -> DataFrame:
+                     turn: Column | None = None) -> DataFrame:
     """Add `_side`: +1 in the top fifth of the signal's own past, -1 in the bottom."""
-    df = expanding_rank(df, keys, order, x, "_past", min_history, longest)
+    df = expanding_rank(df, keys, order, x, "_past", min_history)
     side = F.when(F.col("_past") >= 80, 1).when(F.col("_past") < 20, -1).otherwise(0)
     if turn is not None:
         side = F.when(turn, F.signum(F.col(x)).cast("int")).otherwise(side)
@@ -131,12 +135,12 @@ def consistent_mark(t: Column, rho: Column, half1: Column, half2: Column) -> Col
 
 
 def split_half_consistency(df: DataFrame, keys: list[str], date: str, split, x: str, y: str,
-                           horizon: str, max_lag: int) -> DataFrame:
+                           horizon: str) -> DataFrame:
     """rho of both halves beside the whole cell's rho and t, and the verdict."""
-    scored = score_columns(rank_scores(df, keys, x, y), keys, date, max_lag)
+    scored = score_columns(rank_scores(df, keys, x, y), keys)
     cells = half_columns(scored, keys, date, split, x, y).groupBy(*keys).agg(
-        *hac_aggregates(max_lag), *half_aggregates())
-    cells = cells.withColumn("t_nw", hac_t(F.col(horizon), max_lag))
+        *hac_aggregates(date), *half_aggregates())
+    cells = cells.withColumn("t_nw", hac_t(F.col(horizon)))
     return cells.select(
         *keys, "n", _enough(F.col("rho")).alias("rho"), "t_nw", "rho_half1", "rho_half2",
         consistent_mark(F.col("t_nw"), F.col("rho"), F.col("rho_half1"), F.col("rho_half2"))
@@ -144,15 +148,14 @@ def split_half_consistency(df: DataFrame, keys: list[str], date: str, split, x:
 
 
 def signal_grid(pairs: DataFrame, keys: list[str], date: str, x: str, y: str, split,
-                signal: str = "signal", horizon: str = "horizon", max_lag: int = 4,
-                min_history: int = 104) -> DataFrame:
+                signal: str = "signal", horizon: str = "horizon", min_history: int = 104) -> DataFrame:
     """Every statistic of every cell in one grouped job."""
-    df = score_columns(rank_scores(pairs, keys, x, y), keys, date, max_lag)
+    df = score_columns(rank_scores(pairs, keys, x, y), keys)
     df = half_columns(df, keys, date, split, x, y)
     df = quintile_columns(df, keys, date, x, min_history, turn=F.col(signal) == "turn")
-    cells = df.groupBy(*keys).agg(*hac_aggregates(max_lag), *half_aggregates(),
+    cells = df.groupBy(*keys).agg(*hac_aggregates(date), *half_aggregates(),
                                   *quintile_aggregates(y))
-    cells = cells.withColumn("t_nw", hac_t(F.col(horizon), max_lag))
+    cells = cells.withColumn("t_nw", hac_t(F.col(horizon)))
     return cells.select(
         *keys, "n", _enough(F.col("rho")).alias("rho"), "t_nw", "top_minus_bottom_pct", "top_n",
         "bottom_n", "rho_half1", "rho_half2",
@@ -160,8 +163,7 @@ def signal_grid(pairs: DataFrame, keys: list[str], date: str, x: str, y: str, sp
         .alias("consistent"))
 
 
-def ols_hac(df: DataFrame, keys: list[str], order: str, y: str, xs: list[str], horizon: str,
-            max_lag: int) -> DataFrame:
+def ols_hac(df: DataFrame, keys: list[str], order: str, y: str, xs: list[str], horizon: str) -> DataFrame:
     """Coefficients and overlap-robust t of y on three standardized regressors.
 
     Standardizing makes the intercept orthogonal to the rest, so the normal
@@ -169,7 +171,9 @@ def ols_hac(df: DataFrame, keys: list[str], order: str, y: str, xs: list[str], h
     form from window means. Each coefficient's variance is then the long-run
     variance of one score series. Cells under 100 rows are dropped.
     """
-    cell, dated = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(order)
+    if len(xs) != 3:
+        raise ValueError("ols_hac: three regressors")
+    cell = Window.partitionBy(*keys)
     df = df.withColumns({"_y": _standard(F.col(y), keys),
                          **{f"_x{i}": _standard(F.col(c), keys) for i, c in enumerate(xs)}})
 
@@ -198,19 +202,14 @@ def ols_hac(df: DataFrame, keys: list[str], order: str, y: str, xs: list[str], h
     df = df.withColumns({f"_q{i}": F.col("_e") / F.col("n")
                          * (F.col(f"_a{i}0") * F.col("_x0") + F.col(f"_a{i}1") * F.col("_x1")
                             + F.col(f"_a{i}2") * F.col("_x2")) for i in range(3)})
-    df = df.withColumns({f"_q{i}_{lag}": F.col(f"_q{i}") * F.lag(f"_q{i}", lag).over(dated)
-                         for i in range(3) for lag in range(1, max_lag + 1)})
     cells = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.max(f"_b{i}").alias(f"coef{i}") for i in range(3)],
-        *[F.sum(F.col(f"_q{i}") * F.col(f"_q{i}")).alias(f"_v{i}_0") for i in range(3)],
-        *[F.coalesce(F.sum(f"_q{i}_{lag}"), F.lit(0.0)).alias(f"_v{i}_{lag}")
-          for i in range(3) for lag in range(1, max_lag + 1)]).where(F.col("n") >= MIN_CONTROL)
+        *[F.sum(F.col(f"_q{i}") * F.col(f"_q{i}")).alias(f"_v{i}") for i in range(3)],
+        _in_order(order, "_q0", "_q1", "_q2").alias("_qs")).where(F.col("n") >= MIN_CONTROL)
 
     def t(i):
-        v = F.col(f"_v{i}_0")
-        for lag in range(1, max_lag + 1):
-            v = v + _bartlett(F.col(f"_v{i}_{lag}"), lag, F.col(horizon))
+        v = F.col(f"_v{i}") + _overlap(F.col(f"_qs._q{i}"), F.col(horizon))
         return F.when(v > 0, F.col(f"coef{i}") / F.sqrt(v))
 
     return cells.select(*keys, "n", F.col("coef0").alias("coef_signal"), t(0).alias("t_signal"),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from functools import reduce
+
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from firstprint.operators.growth import latest_of_key
 
-MAX_PRUNED_SLICES = 1000
-
 
 def first_per_key(rows: DataFrame, keys: list[str], arrival: str) -> DataFrame:
     """First arrival per key, by aggregation: copies of a hot key meet map-side."""
@@ -26,38 +26,59 @@ def conform(rows: DataFrame, header: list[str], keep: list[str] = ()) -> DataFra
 def new_rows(batch: DataFrame, store: DataFrame | None, keys: list[str], arrival: str) -> DataFrame:
     """Batch rows whose key is new to the store and to the batch."""
     first = first_per_key(batch, keys, arrival)
-    return first if store is None else first.join(store.select(*keys), keys, "left_anti")
+    return first if store is None else first.join(_renamed(store, keys), _same(first, keys), "left_anti")
+
+
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_is_{k}") for k in keys])
+
 
+def _same(df: DataFrame, keys: list[str]) -> Column:
+    """Equal keys, a missing one equal to a missing one."""
+    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(f"_is_{k}")) for k in keys])
 
-def read_store(spark: SparkSession, path: str) -> DataFrame | None:
+
+def read_store(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The stored rows, None before the first ones; with a schema, slice values keep its types."""
     try:
-        return spark.read.parquet(path)
+        stored = spark.read.parquet(path)
+        return stored if schema is None else spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
+SLICE = "slice"
+
+
+def _slice(column: str) -> Column:
+    """Folder name of a slice: '=' before a value, nothing else for a missing one."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("none")).alias(SLICE)
+
+
 def append_dedup(batch: DataFrame, path: str, header: list[str], keys: list[str], arrival: str,
                  partition_by: str | None = None) -> int:
     """Append the new rows to a parquet store and return how many there were.
 
-    Stored rows are never rewritten. With `partition_by` (one of the keys) only
-    the slices the batch touches are read back, as long as they are few; a batch
-    touching more is checked against the whole store.
+    Stored rows are never rewritten. With `partition_by` (one of the keys) a semi
+    join with the batch's slices lets Spark read back only the ones it touches.
+    A folder name cannot tell a blank slice from a missing one, so slices are
+    kept in the folder under a marked copy of the value, and whole in the rows.
     """
     spark = batch.sparkSession
     batch = conform(batch, header, [arrival])
-    store = read_store(spark, path)
+    schema = batch.select(*header).schema
+    if partition_by:
+        schema = T.StructType([*schema.fields, T.StructField(SLICE, T.StringType())])
+    store = read_store(spark, path, schema)
     if store is not None and partition_by:
-        touched = batch.select(partition_by).distinct().limit(MAX_PRUNED_SLICES + 1).collect()
-        if len(touched) <= MAX_PRUNED_SLICES:
-            store = store.where(F.col(partition_by).isin([r[0] for r in touched]))
+        store = store.join(batch.select(_slice(partition_by)).distinct(), SLICE, "left_semi")
     counted = Observation()
     fresh = (new_rows(batch, store, keys, arrival).select(*header)
              .observe(counted, F.count(F.lit(1)).alias("n")))
-    writer = fresh.write.mode("append")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    writer = (fresh.withColumn(SLICE, _slice(partition_by)) if partition_by else fresh).write.mode("append")
+    (writer.partitionBy(SLICE) if partition_by else writer).parquet(path)
     return counted.get["n"]
 
 

@@ -133,7 +133,7 @@ def spearman_corr(spark, sf):
 
 @query("newey_west_t", f"{CELL_SPEC} n:i rho:n t_nw:n", *BASE, SCORED, "result AS (SELECT * FROM tstats)")
 def newey_west_t(spark, sf):
-    return stats.newey_west_t(pairs(spark, sf), CELL, "report_date", "x", "y", "horizon", 4)
+    return stats.newey_west_t(pairs(spark, sf), CELL, "report_date", "x", "y", "horizon")
 
 
 @query("quintile_spread", f"{CELL_SPEC} top_minus_bottom_pct:n top_n:i bottom_n:i", *BASE, QUINTILES,
@@ -148,7 +148,7 @@ def quintile_spread(spark, sf):
   SELECT t.*, rho_half1, rho_half2, {VERDICT}
   FROM tstats t LEFT JOIN half_wide USING (series, entry_lag, horizon, signal))""")
 def split_half_consistency(spark, sf):
-    return stats.split_half_consistency(pairs(spark, sf), CELL, "report_date", SPLIT, "x", "y", "horizon", 4)
+    return stats.split_half_consistency(pairs(spark, sf), CELL, "report_date", SPLIT, "x", "y", "horizon")
 
 
 @query("signal_grid", f"{CELL_SPEC} n:i rho:n t_nw:n top_minus_bottom_pct:n top_n:i bottom_n:i rho_half1:n "
@@ -232,4 +232,4 @@ def ols_hac(spark, sf):
             .unpivot(["series", "report_date", "horizon", "y", "past_flow", "past_price"],
                      ["chg1", "chg4", "crowd"], "signal", "x").where(F.col("x").isNotNull()))
     return stats.ols_hac(rows, ["series", "horizon", "signal"], "report_date", "y",
-                         ["x", "past_flow", "past_price"], "horizon", 4)
+                         ["x", "past_flow", "past_price"], "horizon")

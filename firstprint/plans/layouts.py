@@ -8,7 +8,7 @@ from firstprint.functions.staging import once
 from firstprint.operators import reshape as R
 from firstprint.plans.registry import query
 from firstprint.plans.tables import FX_DAILY, fx_daily, money, table
-from firstprint.session import scratch_dir, spread
+from firstprint.session import scratch_dir
 from firstprint.sources import delimited as DL, fields as FD, jsons as J, pages as PG, xmls as XM
 
 
@@ -55,7 +55,7 @@ def preamble_csv(spark, sf):
                     day(F.date_add(first, 1), "yyyy-MM-dd"), F.lit(",1,"), F.col("l_quantity"), F.lit("\r\n"),
                     day(first, "MM/dd/yyyy"), F.lit(",2,"), F.col("l_quantity") + 1, F.lit("\n"))
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    files = spread(table(spark, sf, "lineitem")).select(*keys, body.alias("body"))
+    files = table(spark, sf, "lineitem").select(*keys, body.alias("body"))
     rows = DL.preamble_rows(files, "body", "date", "tonne", keep=keys)
     rows = once(rows, [*keys, "line"], date=parse_any_date(DL.cell("header", "cells", "date")),
                 tonnes=parse_number(DL.cell("header", "cells", lambda h: h.contains("tonne"))))
@@ -94,7 +94,7 @@ def json_header_rows(spark, sf):
         F.array(text("l_suppkey"), nothing, money("l_extendedprice").cast("string"), text("l_quantity")),
         F.array(F.lit("X1"), F.lit("0"), nothing, text("l_linenumber")),
         F.array(F.lit("9999"), F.lit("0"), F.lit("0"), F.lit("0"))))
-    payloads = spread(table(spark, sf, "lineitem")).select("l_returnflag", body.alias("body"))
+    payloads = table(spark, sf, "lineitem").select("l_returnflag", body.alias("body"))
     rows = J.trade_records(J.header_rows(payloads, "body", ["l_returnflag"]), "CTY_CODE", ["GEN_VAL_MO", "ALL_VAL_MO"],
                            ["GEN_QY1_MO", "QTY_1_MO"], ["l_returnflag"])
     return rows.groupBy("l_returnflag", "cty_code").agg(
@@ -174,7 +174,7 @@ def sql_clean(c: str) -> str:
 def html_table_rows(spark, sf):
     """Page paragraphs marked up as table rows; rows naming 'The x' open a section."""
     marked = F.replace(F.replace("html", F.lit("<p>"), F.lit("<tr><td>")), F.lit("</p>"), F.lit("</td></tr>"))
-    pages = spread(table(spark, sf, "pages")).select("page_id", marked.alias("html"))
+    pages = table(spark, sf, "pages").select("page_id", marked.alias("html"))
     rows = PG.html_table_rows(pages, "html", ["page_id"], r"The ([a-z]+)")
     return rows.select("page_id", "position", "section", F.size("cells").alias("cells"),
                        F.md5(F.array_join("cells", "|").cast("binary")).alias("digest"))
@@ -193,7 +193,7 @@ LINK = '<a href="/([^"]*)">(.*?)</a>'
   SELECT page_id, id, {sql_clean('t')} AS text, context FROM carried WHERE {sql_clean('t')} <> ''
   QUALIFY row_number() OVER (PARTITION BY page_id, id ORDER BY position) = 1)""")
 def html_links_with_context(spark, sf):
-    pages = spread(table(spark, sf, "pages")).select("page_id", "html")
+    pages = table(spark, sf, "pages").select("page_id", "html")
     return PG.html_links_with_context(pages, "html", ["page_id"], LINK, 1, 2, "[A-Z][a-z]+")
 
 
@@ -212,7 +212,7 @@ def text_field_extract(spark, sf):
     prose = F.concat(F.lit("The Company announces that on "), day, F.lit(" it purchased. Aggregate number of own shares bought: "),
                      shares, F.lit(" Average price paid per share: pence "), price)
     notice = F.when(F.col("l_linestatus") == "F", table_form).otherwise(prose)
-    rows = PG.text_field_extract(spread(table(spark, sf, "lineitem")), notice, PG.OWN_SHARE_PATTERNS, ["l_orderkey", "l_linenumber"])
+    rows = PG.text_field_extract(table(spark, sf, "lineitem"), notice, PG.OWN_SHARE_PATTERNS, ["l_orderkey", "l_linenumber"])
     return rows.select("l_orderkey", "l_linenumber", F.try_to_date("trade_date", "d MMMM yyyy").alias("trade_date"),
                        F.col("shares").try_cast("double").alias("shares"), F.col("avg_price_gbp_pence").try_cast("double").alias("avg_price"),
                        F.col("low_pence").alias("low"), "programme")
@@ -271,7 +271,7 @@ def paired_columns_to_long(spark, sf):
     kinds = words("", "金額", "数量", "金額", "数量", "金額")
     cells = F.array(F.lit("1998/01"), *[F.col(c).cast("string") for c in
                                         ("l_extendedprice", "l_linenumber", "l_quantity", "l_discount", "l_tax")])
-    return R.paired_columns_to_long(spread(table(spark, sf, "lineitem")), ["l_orderkey", "l_linenumber"], cells, names, kinds)
+    return R.paired_columns_to_long(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], cells, names, kinds)
 
 
 @query("windows_to_long", "yyyymm window is_total:b name value:n", """detail AS (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -17,6 +18,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.files.maxPartitionBytes": "32MB",
 }
 
 
@@ -39,30 +41,18 @@ def local_session(app: str = "firstprint", cpus: int = 8, memory: str = "8g") ->
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Every executor must see it, so the root is whatever `spark.checkpoint.dir`
-    (or an already set checkpoint folder) names; a local folder is used only
-    when neither is set.
+    Every executor must see it, so the root is what `spark.checkpoint.dir` (or an already set checkpoint folder) names.
+    Where neither is set, a session in one process gets a folder of its own; any other is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="firstprint-")
         spark.sparkContext.setCheckpointDir(root)
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer pieces than there are cores.
-
-    For steps that spend far more time per row than moving it costs, such as
-    parsing texts from a handful of files. A scan with pieces enough, as on any
-    large table, is left as it is and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialize(df: DataFrame, label: str, *metrics: Column) -> tuple[DataFrame, dict]:
     """Cut lineage by writing to the shared folder and reading back.
 

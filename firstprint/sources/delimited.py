@@ -16,20 +16,39 @@ def csv_strings(spark: SparkSession, path: str, header: list[str], encoding: str
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     try:
-        df = (spark.read.option("header", True).option("encoding", encoding).option("multiLine", False)
-              .csv(path))
+        found = _by_name(spark, path, header, encoding)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
-    present = [F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string").alias(c) for c in header]
-    return df.select(*[F.nullif(c, F.lit("")).alias(n) for c, n in zip(present, header)])
+    return found.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in header])
+
+
+def _by_name(spark: SparkSession, path: str, header: list[str], encoding: str = "UTF-8") -> DataFrame:
+    """The named columns of all files, with `_path` and `_position` (the order of rows in a file).
+
+    Every file has its own header line, whatever the order of its columns: files are read together by header. Cells may
+    hold commas, line ends and doubled quotes; a file is therefore read by one task.
+    """
+    lines = spark.read.option("encoding", encoding).option("wholetext", False).text(path)
+    first = (lines.where("_metadata.file_block_start = 0")
+             .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
+             .groupBy("path").agg(F.min_by("value", "at").alias("value")))
+    sets = first.groupBy("value").agg(F.collect_list("path").alias("paths")).collect()  # file names, by kind of header
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_path"]] + [T.StructField("_position", T.LongType())])
+    out = None
+    for row in sorted(sets, key=lambda r: r["value"]):
+        df = (spark.read.option("header", True).option("encoding", encoding).option("multiLine", True)
+              .option("escape", '"').csv(row["paths"]))
+        named = [F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string").alias(c) for c in header]
+        df = df.select(*named, F.input_file_name().alias("_path"), F.monotonically_increasing_id().alias("_position"))
+        out = df if out is None else out.unionByName(df)
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 def multi_file_last_wins(spark: SparkSession, glob: str, header: list[str], keys: list[str]) -> DataFrame:
-    """Rows of all files of a set, columns by name; the last file by path wins per key."""
-    df = spark.read.option("header", True).csv(glob).select(*[F.col(f"`{c}`") for c in header])
-    return last_file_wins(df.withColumn("_path", F.input_file_name()), keys, "_path")
+    """Rows of all files of a set, columns by name; per key the last file by path wins, and in it the last row."""
+    return last_file_wins(_by_name(spark, glob, header), keys, "_path", "_position")
 
 
 def last_file_wins(df: DataFrame, keys: list[str], path: str, position: str | None = None) -> DataFrame:
@@ -46,7 +65,11 @@ def preamble_rows(df: DataFrame, body: str, header_start: str, header_word: str
     `header_word`), whatever stands above it; files without one give no rows.
     """
     lines = F.split(F.regexp_replace(F.col(body), "\r", ""), "\n")
-    cells = lambda line: F.transform(F.split(line, ",", -1), lambda c: F.trim(F.regexp_replace(c, '^"|"$', "")))
+
+    def cells(line):
+        """Cells of one line; quoted ones may hold commas and doubled quotes."""
+        found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',(\s*"(?:[^"]|"")*"\s*(?=,|$)|[^,]*)'), F.lit(1))
+        return F.transform(found, lambda c: F.trim(F.replace(F.regexp_replace(F.trim(c), '^"|"$', ""), F.lit('""'), F.lit('"'))))
 
     def is_header(line):
         low = F.lower(F.ltrim(F.regexp_replace(line, '^[﻿"]+', "")))

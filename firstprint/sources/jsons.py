@@ -35,7 +35,10 @@ def status_records(df: DataFrame, body: str, list_field: str, fields: list[str],
 
 
 def header_rows(df: DataFrame, body: str, keep: list[str] = ()) -> DataFrame:
-    """Array of arrays whose first row is the header, as rows of a field map."""
+    """Array of arrays whose first row is the header, as rows of a field map.
+
+    Of columns with the same name the last one stands.
+    """
     table = F.from_json(F.col(body), "array<array<string>>")
     staged = once(df, keep, _t=table)
     head = F.get("_t", F.lit(0))
@@ -43,7 +46,10 @@ def header_rows(df: DataFrame, body: str, keep: list[str] = ()) -> DataFrame:
     def as_map(row):
         width = F.least(F.size(row), F.size(head))
         values = F.transform(F.slice(row, 1, width), lambda v: F.coalesce(v, F.lit("")))
-        return F.map_from_arrays(F.slice(head, 1, width), values)
+        names = F.slice(head, 1, width)
+        last = F.filter(F.sequence(F.lit(0), F.greatest(width, F.lit(1)) - 1), lambda i: (i < width) & ~F.array_contains(
+            F.slice(names, i + 2, F.size(names)), F.get(names, i)))
+        return F.map_from_arrays(F.transform(last, lambda i: F.get(names, i)), F.transform(last, lambda i: F.get(values, i)))
 
     body_rows = F.transform(F.slice("_t", 2, F.size("_t")), as_map)
     return staged.select(*keep, F.posexplode(body_rows).alias("position", "fields"))

@@ -17,21 +17,22 @@ def xml_rows(df: DataFrame, body: str, path: list[str], fields: list[str],
              keep: list[str] = ()) -> DataFrame:
     """Rows of the element at `path` below the root, its leaves as strings.
 
-    An error envelope raises. Records whose leaves are all blank are dropped.
+    An error envelope raises, and so does a payload that is not XML; a blank one has no rows. Records whose leaves are all blank are dropped.
     """
     leaf = ", ".join(f"`{f}`: string" for f in fields)
     inner = f"array<struct<{leaf}>>"
-    for tag in reversed(path[:-1]):
-        inner = f"struct<`{path[path.index(tag) + 1]}`: {inner}>"
-    schema = (f"header struct<resultCode: string, resultMsg: string>, "
-              f"`{path[0]}` {inner}" if len(path) > 1 else
-              f"header struct<resultCode: string, resultMsg: string>, `{path[0]}` {inner}")
-    staged = df.select(*keep, F.from_xml(F.col(body), schema).alias("_x"))
+    for tag in reversed(path[1:]):
+        inner = f"struct<`{tag}`: {inner}>"
+    schema = f"header struct<resultCode: string, resultMsg: string>, `{path[0]}` {inner}, _unread string"
+    parsed = F.from_xml(F.col(body), schema, {"columnNameOfCorruptRecord": "_unread"})
+    staged = df.select(*keep, F.when(F.trim(body) != "", parsed).alias("_x"))
     code = F.col("_x.header.resultCode")
     bad = code.isNotNull() & ~code.isin("00", "0000", "INFO-0", "NORMAL SERVICE.")
     items = F.col("_x." + ".".join(f"`{t}`" for t in path))
     checked = F.when(bad, F.raise_error(F.concat(F.lit("API error "), code, F.lit(": "),
                                                  F.coalesce(F.col("_x.header.resultMsg"), F.lit("")))))
+    checked = checked.when(F.col("_x._unread").isNotNull(), F.raise_error(
+        F.concat(F.lit("not XML: "), F.left(F.col("_x._unread"), F.lit(300)))))
     rows = staged.select(*keep, F.posexplode(checked.otherwise(items)).alias("position", "_r"))
     trimmed = [F.trim(F.coalesce(F.col(f"_r.`{f}`"), F.lit(""))).alias(f) for f in fields]
     out = rows.select(*keep, "position", *trimmed)

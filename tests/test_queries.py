@@ -2,7 +2,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from firstprint.plans.registry import ORACLES, QUERIES
 from tools.check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -19,10 +20,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
-    text, ok = compare(spark, con, SF, name, queries()[name], oracle_sql()[name])
+    text, ok = compare(spark, con, SF, name, QUERIES[name], ORACLES[name])
     assert ok, text

@@ -40,14 +40,14 @@ def test_rho_and_robust_t(spark, lag):
     rng = random.Random(lag)
     x = [rng.randint(0, 30) for _ in range(200)]
     y = [a + rng.gauss(0, 20) for a in x]
-    r = stats.newey_west_t(cells(spark, x, y, horizon=lag), ["c", "horizon"], "d", "x", "y", "horizon", 4).first()
+    r = stats.newey_west_t(cells(spark, x, y, horizon=lag), ["c", "horizon"], "d", "x", "y", "horizon").first()
     rho, t = reference_t(x, y, lag)
     assert r["rho"] == pytest.approx(rho) and r["t_nw"] == pytest.approx(t)
 
 
 def test_small_and_constant_cells(spark):
-    small = stats.newey_west_t(cells(spark, range(20), range(20)), ["c", "horizon"], "d", "x", "y", "horizon", 2).first()
-    flat = stats.newey_west_t(cells(spark, [1] * 40, range(40)), ["c", "horizon"], "d", "x", "y", "horizon", 2).first()
+    small = stats.newey_west_t(cells(spark, range(20), range(20)), ["c", "horizon"], "d", "x", "y", "horizon").first()
+    flat = stats.newey_west_t(cells(spark, [1] * 40, range(40)), ["c", "horizon"], "d", "x", "y", "horizon").first()
     assert (small["rho"], small["t_nw"]) == (None, None) and (flat["rho"], flat["t_nw"]) == (0.0, None)
 
 
@@ -71,7 +71,7 @@ def test_halves_must_agree(spark):
     same = [a + rng.gauss(0, 0.3) for a in x]
     split = D0 + dt.timedelta(days=700)
     flipped = same[:100] + [-v for v in same[100:]]
-    args = (["c", "horizon"], "d", split, "x", "y", "horizon", 2)
+    args = (["c", "horizon"], "d", split, "x", "y", "horizon")
     yes = stats.split_half_consistency(cells(spark, x, same), *args).first()
     no = stats.split_half_consistency(cells(spark, x, flipped), *args).first()
     assert yes["consistent"] == "yes" and no["consistent"] == "" and no["rho_half2"] < 0 < no["rho_half1"]
@@ -83,7 +83,7 @@ def test_ols_recovers_known_slopes_and_hac_t(spark):
     y = 1 + 2 * a - 0.5 * b + rng.normal(scale=0.01, size=240)
     rows = [("k", 3, D0 + dt.timedelta(days=7 * i), *map(float, v)) for i, v in enumerate(zip(y, a, b, c))]
     df = spark.createDataFrame(rows, "k string, h int, d date, y double, a double, b double, c double")
-    r = stats.ols_hac(df, ["k", "h"], "d", "y", ["a", "b", "c"], "h", 4).first()
+    r = stats.ols_hac(df, ["k", "h"], "d", "y", ["a", "b", "c"], "h").first()
     z = lambda v: (v - v.mean()) / v.std()
     X = np.column_stack([np.ones(240), z(a), z(b), z(c)])
     inv = np.linalg.inv(X.T @ X)
@@ -96,7 +96,7 @@ def test_ols_recovers_known_slopes_and_hac_t(spark):
     t = beta / np.sqrt(np.diag(inv @ s @ inv))
     assert r["coef_signal"] == pytest.approx(beta[1]) and r["coef_signal"] * y.std() / a.std() == pytest.approx(2.0, abs=0.01)
     assert [r["t_signal"], r["t_past_flow"], r["t_past_price"]] == pytest.approx(list(t[1:]), rel=1e-6)
-    assert stats.ols_hac(df.limit(99), ["k", "h"], "d", "y", ["a", "b", "c"], "h", 4).count() == 0
+    assert stats.ols_hac(df.limit(99), ["k", "h"], "d", "y", ["a", "b", "c"], "h").count() == 0
 
 
 # --- Screening --------------------------------------------------------------------------
@@ -182,6 +182,8 @@ def test_exposure_opens_funds(spark):
     got = {r["drv"]: (r["exposure"], r["over_cap"]) for r in
            S.exposure_lookthrough(hold, parts, drivers, caps, "acc", "asset", "v", "m", "w", "drv", "cap").collect()}
     assert got == {"ai": (160.0, True), "oil": (40.0, False)}
+    unknown = S.exposure_lookthrough(hold, parts, drivers.where("drv = 'ai'"), caps, "acc", "asset", "v", "m", "w", "drv", "cap")
+    assert {r["drv"]: r["exposure"] for r in unknown.collect()} == {"ai": 160.0, "unmapped": 40.0}
 
 
 def test_point_in_time(spark):
