@@ -2,15 +2,18 @@
 
 A text's set holds the 64-bit hashes of its distinct five-word shingles. Each hash falls into one of BUCKETS buckets; a
 bucket keeps its smallest hash as a 16-bit register: the number of leading zeros, and the MANTISSA bits after the first
-one. Bands of ROWS registers (empty ones borrow from the next filled one) are the keys under which texts meet. A pair
+one. Bands of ROWS registers (empty ones borrow from filled ones) are the keys under which texts meet. A pair
 that meets is first measured on its registers, corrected for registers that agree by chance, then confirmed on the full
-sets. At a similarity of 0.85 a pair fails to meet in any of the 32 bands once in 10^8.
+sets. At a similarity of 0.85 a pair fails to meet in any of the 32 bands four times in
+10^6, at 0.9 once in 10^9.
 
 Work never grows with the square of a group of copies:
 
 * Texts with the same set form one class, found by an aggregate; only one text of a class goes further.
-* In a band's group every member is compared with one pivot. The components of those links are found, and only members
-  that are still in different components of the same group are compared with each other, if their sizes allow a link.
+* In a band's group every member is compared with one pivot, and the components of those links are found.
+* Groups whose members are not all in one component by then are cut into blocks of bounded weight. A task gets two blocks,
+  compares members of different components, and joins components as it goes, so that it returns no more links than a
+  forest has; comparisons inside what it has joined are left out.
 * Components come from rounds of large-star and small-star over the links, each written to the shared folder. Groups are
   reduced by aggregates that add up before the shuffle, and joins on a hot group can be split by Spark.
 
@@ -25,20 +28,23 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from firstprint.llm.caching import Remembered
+from firstprint.llm.frames import frame
 from firstprint.session import materialize
 
 SHINGLE = 5
 BANDS = 32
-ROWS = 5
+ROWS = 7
 BUCKETS = BANDS * ROWS
 MANTISSA = 10
 # Six standard deviations of the register estimate at 0.85 lie within this.
 ESTIMATE_SLACK = 0.2
+BLOCK_ROWS = 512
+BLOCK_WEIGHT = 400_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,12 +88,23 @@ def registers(values: np.ndarray, buckets: int = BUCKETS, mantissa: int = MANTIS
     return out
 
 
+@cache
+def _turns(buckets: int) -> np.ndarray:
+    """For every bucket, the order in which it would borrow from the others."""
+    at = np.arange(buckets, dtype=np.uint64)
+    return _mix(at[:, None] * np.uint64(buckets) + at[None, :] + np.uint64(1)).argsort(axis=1).argsort(axis=1)
+
+
 def band_keys(regs: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    """One 64-bit key per band; an empty register takes the next filled one, told apart by its distance."""
-    filled = np.flatnonzero(regs)
-    at = np.arange(len(regs))
-    source = filled[np.searchsorted(filled, at) % len(filled)]
-    dense = regs[source].astype(np.uint64) + ((source - at) % len(regs)).astype(np.uint64) * np.uint64(1 << 16)
+    """One 64-bit key per band.
+
+    An empty register borrows from the filled one that comes first in its own order. Each has another order, so the
+    borrowed ones of two texts agree about as often as filled ones do, however few are filled.
+    """
+    dense = regs.copy()
+    filled, empty = np.flatnonzero(regs), np.flatnonzero(regs == 0)
+    if len(empty):
+        dense[empty] = regs[filled[_turns(len(regs))[np.ix_(empty, filled)].argmin(axis=1)]]
     key = np.arange(bands, dtype=np.uint64)
     for column in dense.reshape(bands, -1).T:
         key = _mix(key * _MULTIPLIER + column)
@@ -121,22 +138,21 @@ def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = Remembered(xxhash.xxh64_intdigest)
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+        for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"]):
             values = shingle_set(text, hashes)
             if len(values):
                 regs = registers(values)
-                rows.append((doc_id, len(values), xxhash.xxh3_128_digest(values.tobytes()), regs.tobytes(), band_keys(regs)))
+                rows.append((doc_id, text_hash, len(values), xxhash.xxh3_128_digest(values.tobytes()), regs.tobytes(), band_keys(regs)))
             else:
-                rows.append((doc_id, 0, None, None, None))
-        yield pd.DataFrame(rows, columns=["doc_id", "n", "node", "regs", "bands"]).astype({"doc_id": "Int64"})
+                rows.append((doc_id, text_hash, 0, None, None, None))
+        yield frame("doc_id text_hash n node regs bands", rows)
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = Remembered(xxhash.xxh64_intdigest)
     for batch in batches:
         sets = [shingle_set(text, hashes) for text in batch["text"]]
-        yield pd.DataFrame({"node": [xxhash.xxh3_128_digest(x.tobytes()) for x in sets],
-                            "members": [x.view(np.int64) for x in sets]})
+        yield frame("node members", ((xxhash.xxh3_128_digest(x.tobytes()), x.view(np.int64)) for x in sets))
 
 
 @pandas_udf(DoubleType())
@@ -147,8 +163,51 @@ def estimated(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series) -> pd.
     return pd.Series(estimate(rows(a), rows(b), n_a.to_numpy(), n_b.to_numpy()))
 
 
-def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _block_links(percent: int):
+    """Links that join the components of a block of members: rows of (group, part, node, n, top, regs, members), by group."""
+    def forest(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+        parts, nodes, n, tops, regs, sets = zip(*rows)
+        parts, n = np.array(parts), np.array(n)
+        across = parts.min() != parts.max()
+        _, top = np.unique(np.array(tops, object), return_inverse=True)
+        if top.max() == 0:
+            return []
+        regs = np.frombuffer(b"".join(regs), np.uint16).reshape(len(rows), -1)
+        starts = np.concatenate([[0], np.cumsum(n)[:-1]])
+        values, places = np.unique(np.concatenate(sets), return_inverse=True)
+        mark, found = np.zeros(len(values), bool), []
+        for i in range(len(rows)):
+            may = (top != top[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+            others = np.flatnonzero(may & (parts != parts[i]) if across else may)
+            if not len(others):
+                continue
+            likely = estimate(regs[others], regs[i][None, :], n[others], np.broadcast_to(n[i], len(others)))
+            others = others[likely >= percent / 100 - ESTIMATE_SLACK]
+            if not len(others):
+                continue
+            own = places[starts[i]:starts[i] + n[i]]
+            mark[own] = True
+            for j in others:
+                shared = int(mark[places[starts[j]:starts[j] + n[j]]].sum())
+                if 100 * shared >= percent * (n[i] + n[j] - shared) and top[j] != top[i]:
+                    found.append((nodes[i], nodes[j]))
+                    top[top == top[j]] = top[i]
+            mark[own] = False
+        return found
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, rows = None, []
+        for batch in batches:
+            found = []
+            for key, *row in zip(*(batch[c] for c in ("group", "part", "node", "n", "top", "regs", "members"))):
+                if key != group and rows:
+                    found += forest(rows)
+                    rows = []
+                group = key
+                rows.append(tuple(row))
+            yield frame("a b", found)
+        yield frame("a b", forest(rows) if rows else [])
+    return run
 
 
 def links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -189,15 +248,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id (the smallest doc_id it is linked with, itself included).
+    """One row per row of `docs`: doc_id, n_shingles, component_id (the smallest doc_id it is linked with, itself included),
+    and text_hash, which tells apart rows that share a doc_id.
 
     Two texts are linked if 100 * intersection >= percent * union of their sets. A null text, or one without words, has an
     empty set and is linked with nothing. Texts of any length are read whole. Rows that share a doc_id stand each for
     themselves; a repeated row gives a repeated result. A row with a null doc_id takes the component of its text, null if
     no row with an id is in it. Other columns are not read. An empty table gives no rows.
     """
-    sketched = docs.select("doc_id", "text").mapInPandas(
-        _sketched, "doc_id bigint, n int, node binary, regs binary, bands array<bigint>")
+    sketched = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(
+        _sketched, "doc_id bigint, text_hash bigint, n int, node binary, regs binary, bands array<bigint>")
     rows, _ = materialize(sketched, "sketches")
     filled = rows.where("n > 0")
     classes = filled.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"),
@@ -217,11 +277,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     first, _ = materialize(links(spokes, nodes, sets, percent), "links-to-pivots")
     labelled = met.join(components(first), "node", "left").select("key", "pivot", "node", "n", F.coalesce("top", "node").alias("top"))
     labelled, _ = materialize(labelled, "labelled")
-    still = labelled.groupBy("key").agg(F.min("top").alias("low"), F.max("top").alias("high")).where("low != high")
-    members = labelled.where("node != pivot").join(still.select("key"), "key", "left_semi").select("key", "node", "n", "top")
-    one, two = members.toDF("key", "a", "n_a", "top_a"), members.toDF("key", "b", "n_b", "top_b")
-    apart = one.join(two, "key").where((F.col("top_a") < F.col("top_b")) & _sizes_allow(F.col("n_a"), F.col("n_b"), percent))
-    second = links(apart.select("a", "b").distinct(), nodes, sets, percent)
+    still = labelled.groupBy("key").agg(F.min("top").alias("low"), F.max("top").alias("high"),
+                                        F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight")).where("low != high")
+    pieces = F.greatest(F.ceil(F.col("members") / BLOCK_ROWS), F.ceil(F.col("weight") / BLOCK_WEIGHT)).cast("int")
+    blocks = labelled.where("node != pivot").join(still.select("key", pieces.alias("pieces")), "key")
+    blocks = blocks.withColumn("part", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    blocks = blocks.select(F.concat_ws(" ", "key", F.least("part", "other"), F.greatest("part", "other")).alias("group"),
+                           "part", "node", "n", "top")
+    blocks = blocks.join(nodes.select("node", "regs"), "node").join(sets, "node")
+    blocks = blocks.repartition("group").sortWithinPartitions("group", "node")
+    second = blocks.mapInPandas(_block_links(percent), "a binary, b binary").distinct()
 
     tops, _ = materialize(components(first.union(second)), "components")
     lowest = tops.join(nodes, "node").groupBy("top").agg(F.min("least").alias("component_id"))
@@ -229,4 +295,4 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     named = nodes.join(named, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
     return rows.join(named, "node", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "text_hash")

@@ -26,4 +26,4 @@ FROM lowest LEFT JOIN size USING (doc_id)
 @query("op10_minhash_near_dedup", SQL)
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    return found.drop("text_hash").withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
