@@ -30,19 +30,24 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= language.LEAST_SCORE)).select("doc.*")
 
 
-def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group of near-duplicates.
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of `docs` whose (doc_id, text) is not among the rejected (doc_id, text_hash); the columns stay as they are.
 
-    Rows without a doc_id cannot stand for a group and are not dropped.
+    A row without a doc_id is never rejected by name.
     """
-    others = neardup.near_duplicates(docs).where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    gone = rejected.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    same = (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_hash"])
+    return docs.join(gone, same, "left_anti")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest doc_id of each group of near-duplicates."""
+    return without(docs, neardup.near_duplicates(docs).where("doc_id != component_id"))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a passage of the benchmark."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("n_hit > 0").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return without(docs, decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
