@@ -97,3 +97,11 @@ GROUP_FIELDS = {
         "nonreportable": ("nonrept_positions_long_all", "nonrept_positions_short_all", None),
     },
 }
+
+# Western Easter Sundays as published.
+EASTER_SUNDAYS = """
+    1990-04-15 1991-03-31 1992-04-19 1993-04-11 1994-04-03 1995-04-16 1996-04-07 1997-03-30 1998-04-12 1999-04-04
+    2000-04-23 2001-04-15 2002-03-31 2003-04-20 2004-04-11 2005-03-27 2006-04-16 2007-04-08 2008-03-23 2009-04-12
+    2010-04-04 2011-04-24 2012-04-08 2013-03-31 2014-04-20 2015-04-05 2016-03-27 2017-04-16 2018-04-01 2019-04-21
+    2020-04-12 2021-04-04 2022-04-17 2023-04-09 2024-03-31 2025-04-20 2026-04-05 2027-03-28 2028-04-16 2029-04-01
+    2030-04-21""".split()

@@ -4,22 +4,18 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from firstprint.functions.fixed_values import EASTER_SUNDAYS
 from firstprint.operators import asof, calendar as C
 from firstprint.plans.registry import query
 from firstprint.plans.tables import table
-from firstprint.session import materialize
 
 # The calendar written out: holidays per year by rule, then one row per day.
-# Easter here is the anonymous Gregorian computus, a different derivation.
-DAYS = """days AS (
+# Easter here comes from the published dates.
+DAYS = f"""days AS (
   SELECT CAST(unnest(generate_series((SELECT date_trunc('year', min(o_orderdate)) FROM orders) - INTERVAL 12 MONTH,
     (SELECT date_trunc('year', max(o_orderdate)) FROM orders) + INTERVAL 24 MONTH - INTERVAL 1 DAY,
-    INTERVAL 1 DAY)) AS DATE) AS day), years AS (SELECT DISTINCT year(day) AS y FROM days), computus AS (
-  SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM years), computus2 AS (
-  SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM computus), computus3 AS (
-  SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - (c % 4)) % 7 AS l FROM computus2), easters AS (
-  SELECT y, make_date(y, (h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114) // 31,
-                      (h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114) % 31 + 1) AS easter FROM computus3), fixed AS (
+    INTERVAL 1 DAY)) AS DATE) AS day), years AS (SELECT DISTINCT year(day) AS y FROM days), easters AS (
+  SELECT CAST(unnest({EASTER_SUNDAYS}) AS DATE) AS easter), fixed AS (
   SELECT make_date(y, m, d) AS h FROM years CROSS JOIN (VALUES (1, 1), (6, 19), (7, 4), (12, 25)) t(m, d)), holidays AS (
   SELECT CASE isodow(h) WHEN 6 THEN h - 1 WHEN 7 THEN h + 1 ELSE h END AS h FROM fixed
   WHERE NOT (isodow(h) = 6 AND month(h) = 1)
@@ -35,7 +31,6 @@ DAYS = """days AS (
 def calendar(spark, sf):
     """Every day from the year before the first order to the year after the last."""
     span = table(spark, sf, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
-    span, _ = materialize(span, "span")  # two dates, read by every step that follows
     first = F.add_months(F.trunc("a", "year"), -12)
     last = F.date_sub(F.add_months(F.trunc("b", "year"), 24), F.lit(1))
     return C.calendar_of(span.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("day")))

@@ -47,9 +47,11 @@ def stream_weekly_counts(spark, sf):
        """result AS (
   SELECT series, strftime(report_date, '%Y-%m-%d') AS report_date, net, net_change, move_rank_pct, net_rank_pct FROM flagged)""")
 def stream_gap_delta_rank(spark, sf):
-    """Weekly positions are published as files first, then followed as a stream."""
+    """Weekly positions are published as files, weeks of all years in each, and followed as a stream of several batches."""
     path = scratch_dir(spark, "weekly-positions")
     weekly = positions(spark, sf).select("series", F.date_format("report_date", "yyyy-MM-dd").alias("report_date"), "net")
-    weekly.coalesce(1).write.parquet(path)
-    stream = spark.readStream.schema(weekly.schema).parquet(path)
-    return drain(spark, X.stream_gap_delta_rank(stream, "series"), "gap-ranks")
+    weekly = weekly.withColumn("arrival", F.lit(0))
+    weekly.repartition(3, "report_date").write.parquet(f"{path}/files")
+    stream = spark.readStream.schema(weekly.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/files")
+    X.stream_gap_delta_rank(stream, path, f"{path}/state", "series", "arrival").awaitTermination()
+    return spark.read.parquet(f"{path}/ranked")

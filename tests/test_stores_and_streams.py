@@ -89,18 +89,20 @@ def test_stream_weeks_run_monday_to_sunday(spark, tmp_path):
     assert got == {dt.date(2024, 1, 7): 2, dt.date(2024, 1, 14): 1}
 
 
-def test_stream_ranks_over_two_batches_equal_one(spark, tmp_path):
-    schema = "series string, report_date string, net double"
-    weeks = [("s", (dt.date(2020, 1, 7) + dt.timedelta(days=7 * i)).isoformat(), float((i * 37) % 53)) for i in range(80)]
+def test_stream_ranks_over_batches_with_late_and_missing_weeks(spark, tmp_path):
+    schema = "series string, report_date string, net double, at int"
+    weeks = [("s", (dt.date(2020, 1, 7) + dt.timedelta(days=7 * i)).isoformat(), float((i * 37) % 53), i) for i in range(80)]
+    weeks[40] = (*weeks[40][:2], None, 40)
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
-    for rows in (weeks[:50], weeks[50:] + weeks[10:12]):
+    reprint = [(s, d, 999.0, 900 + at) for s, d, _, at in weeks[10:12]]
+    for rows in (weeks[:20] + weeks[30:50], weeks[50:] + reprint, weeks[20:30]):
         write(spark, src, rows, schema)
-        run(X.stream_gap_delta_rank(spark.readStream.schema(schema).parquet(src), "series"), out)
-    got = {r["report_date"]: r for r in spark.read.parquet(out).collect()}
+        X.stream_gap_delta_rank(spark.readStream.schema(schema).parquet(src), out, out + "-state", "series", "at").awaitTermination()
+    got = {r["report_date"]: r for r in spark.read.parquet(out + "/ranked").collect()}
     nets = [w[2] for w in weeks]
-    assert len(got) == 80
+    moves = [None if i == 0 or None in nets[i - 1:i + 1] else abs(nets[i] - nets[i - 1]) for i in range(80)]
+    assert len(got) == 80 and got[weeks[40][1]]["net_rank_pct"] is None
     for i in (60, 79):
-        r = got[weeks[i][1]]
-        moves = [abs(b - a) for a, b in zip(nets, nets[1:i])]
-        assert r["net_rank_pct"] == pytest.approx(100.0 * sum(v < nets[i] for v in nets[:i]) / i)
-        assert r["move_rank_pct"] == pytest.approx(100.0 * sum(v < abs(nets[i] - nets[i - 1]) for v in moves) / len(moves))
+        for rank, values in (("net_rank_pct", nets), ("move_rank_pct", moves)):
+            past = [v for v in values[:i] if v is not None]
+            assert got[weeks[i][1]][rank] == pytest.approx(100.0 * sum(v < values[i] for v in past) / len(past))
