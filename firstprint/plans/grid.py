@@ -18,14 +18,16 @@ def price_of(spark, sf):
     return daily_price(spark, sf).where(F.col("ticker") == "A").select("date", "price")
 
 
-@query("asof_forward", "o_orderkey:i day:d obs_date:d obs_value:n", DAILY_PRICE, """result AS (
-  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, min(p.date) AS obs_date, arg_min(p.price, p.date) AS obs_value
-  FROM orders LEFT JOIN daily_price p ON p.ticker = 'A' AND p.date >= CAST(o_orderdate AS DATE)
-    AND p.date <= CAST(o_orderdate AS DATE) + 7 GROUP BY 1, 2)""")
+@query("asof_forward", "o_orderkey:i ticker day:d obs_date:d obs_value:n", DAILY_PRICE, """result AS (
+  SELECT o_orderkey, t.ticker, CAST(o_orderdate AS DATE) AS day, min(p.date) AS obs_date, arg_min(p.price, p.date) AS obs_value
+  FROM orders CROSS JOIN (VALUES ('A'), ('N'), ('R')) t(ticker) LEFT JOIN daily_price p ON p.ticker = t.ticker
+    AND p.date >= CAST(o_orderdate AS DATE) AND p.date <= CAST(o_orderdate AS DATE) + 7 GROUP BY 1, 2, 3)""")
 def asof_forward(spark, sf):
-    lookup = asof.forward_lookup(price_of(spark, sf), [], "date", "price")
-    left = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
-    return asof.asof_forward(left, lookup, [], "day", "obs")
+    """Every order against the next price of every ticker."""
+    lookup = asof.forward_lookup(daily_price(spark, sf).select("ticker", "date", "price"), ["ticker"], "date", "price")
+    tickers = F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R"))).alias("ticker")
+    left = table(spark, sf, "orders").select("o_orderkey", tickers, F.to_date("o_orderdate").alias("day"))
+    return asof.asof_forward(left, lookup, ["ticker"], "day", "obs")
 
 
 FORWARD = """prices AS (SELECT date, price FROM daily_price WHERE ticker = 'A'), entries AS (

@@ -122,14 +122,14 @@ GLOSSES = [("ß", "sharp s"), ("ü", "u umlaut"), ("ê", "e circumflex"), ("é",
 
 
 @query("ordered_gloss", "doc_id:i gloss", """titles AS (
-  SELECT doc_id, split_part(text, chr(10), 1) AS t FROM documents)""", """result AS (
+  SELECT doc_id, text AS t FROM documents)""", """result AS (
   SELECT doc_id, CASE WHEN regexp_full_match(t, '[\\x00-\\x7F]*') THEN t
     WHEN contains(t, 'ß') THEN 'sharp s (' || t || ')' WHEN contains(t, 'ü') THEN 'u umlaut (' || t || ')'
     WHEN contains(t, 'ê') THEN 'e circumflex (' || t || ')' WHEN contains(t, 'é') THEN 'e acute (' || t || ')'
     ELSE t END AS gloss FROM titles)""")
 def ordered_gloss(spark, sf):
     return table(spark, sf, "documents").select(
-        "doc_id", X.ordered_gloss(F.split("text", "\n")[0], GLOSSES).alias("gloss"))
+        "doc_id", X.ordered_gloss("text", GLOSSES).alias("gloss"))
 
 
 @query("story_key", "story_id n:i first_doc:i", """keyed AS (
@@ -141,12 +141,12 @@ def story_key(spark, sf):
 
 
 @query("split_suffix", "doc_id:i known_title known_outlet guessed_title guessed_outlet", """titles AS (
-  SELECT doc_id, split_part(text, chr(10), 1) AS t, source FROM documents)""", """result AS (
+  SELECT doc_id, text AS t, source FROM documents)""", """result AS (
   SELECT doc_id, trim(t) AS known_title, source AS known_outlet,
          trim(t || ' - ' || lang_part) AS guessed_title, trim(source) AS guessed_outlet
   FROM (SELECT *, 'desk' AS lang_part FROM titles))""")
 def split_suffix(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.split("text", "\n")[0].alias("t"), "source")
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("t"), "source")
     known = X.split_suffix(F.concat_ws(" - ", "t", "source"), F.col("source"))
     guessed = X.split_suffix(F.concat_ws(" - ", "t", F.lit("desk"), "source"), F.lit(""))
     return docs.select("doc_id", known["title"].alias("known_title"), known["outlet"].alias("known_outlet"),
@@ -194,14 +194,14 @@ def distinct_ranked_items(spark, sf):
 
 @query("phrase_entity_match", "doc_id:i entity", """names AS (
   SELECT p_name AS entity FROM part UNION SELECT split_part(p_name, ' ', 1) FROM part
-  UNION SELECT split_part(text, ' ', 1) FROM benchmark),
+  UNION SELECT text FROM benchmark),
   short_names AS (SELECT entity FROM names WHERE length(trim(entity)) > 0)""", """result AS (
   SELECT doc_id, entity FROM documents JOIN short_names ON contains(lower(text), lower(entity))
   WHERE regexp_matches(text, '(?i)(^|[^A-Za-z0-9])' || regexp_escape(entity) || '($|[^A-Za-z0-9])'))""")
 def phrase_entity_match(spark, sf):
     part = table(spark, sf, "part").select(F.col("p_name").alias("entity"))
     first = part.select(F.split("entity", " ")[0].alias("entity"))
-    bench = table(spark, sf, "benchmark").select(F.split("text", " ")[0].alias("entity"))
+    bench = table(spark, sf, "benchmark").select(F.col("text").alias("entity"))
     names = part.union(first).union(bench).distinct().withColumn("phrase", F.col("entity"))
     return N.phrase_entity_match(table(spark, sf, "documents"), "doc_id", "text", names, "entity", "phrase")
 

@@ -132,17 +132,16 @@ CODE_TOTALS = """code_totals AS (
 def headlines(spark, sf) -> DataFrame:
     """Documents as collected stories: one row per search that caught each."""
     docs = table(spark, sf, "documents")
-    title = F.split("text", "\n")[0]
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("doc_id"), F.lit(180)).cast("int"))
     searches = F.array_compact(F.array(F.concat(F.lit("lang_"), F.col("lang")),
                                        F.when(F.col("n_chars") >= 500, F.lit("long")),
                                        F.when(F.col("text").contains("the"), F.lit("the"))))
-    return docs.select("doc_id", title.alias("title"), F.col("source").alias("outlet"), day.alias("published"),
+    return docs.select("doc_id", F.col("text").alias("title"), F.col("source").alias("outlet"), day.alias("published"),
                        "text", "n_chars", F.explode(searches).alias("query_id"))
 
 
 HEADLINES = """headlines AS (
-  SELECT doc_id, split_part(text, chr(10), 1) AS title, source AS outlet,
+  SELECT doc_id, text AS title, source AS outlet,
          DATE '2024-01-01' + CAST(doc_id % 180 AS INTEGER) AS published, text, n_chars, query_id
   FROM documents, LATERAL (SELECT unnest(list_filter(
     ['lang_' || lang, CASE WHEN n_chars >= 500 THEN 'long' END, CASE WHEN contains(text, 'the') THEN 'the' END],
