@@ -215,8 +215,8 @@ def headline_filter(spark, sf):
 # --- Composite tables -----------------------------------------------------------------
 
 @query("growth_tables", "source item period:d window value:n value_year_ago:n yoy_pct:n",
-       RELEASE, WINDOW_RELEASE, ORIGIN_RELEASE, CODE_TOTALS, MEMBERSHIPS, MEMBER_MONTHS, BREADTH, STAGED,
-       """all_rows AS (
+       RELEASE, WINDOW_RELEASE, ORIGIN_RELEASE, CODE_TOTALS, MEMBERSHIPS, MEMBER_MONTHS, BREADTH,
+       """all_rows AS MATERIALIZED (
   SELECT 'flash' AS source, item, period, "window", value FROM window_release
   UNION ALL SELECT 'origin', code || ':' || origin, period, 'MONTH', value FROM origin_release
   UNION ALL SELECT 'origin', code || ':-', period, 'MONTH', total FROM code_totals

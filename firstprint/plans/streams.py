@@ -15,15 +15,6 @@ def event_stream(spark, sf):
             .withColumn("ts", F.col("ts").cast("timestamp")))
 
 
-def drain(spark, stream, label: str):
-    """Run a stream to the end into files of the shared folder, and read them."""
-    path = scratch_dir(spark, label)
-    run = (stream.writeStream.format("parquet").option("path", path)
-           .option("checkpointLocation", path + "-state").trigger(availableNow=True).start())
-    run.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
-
-
 @query("stream_append_dedup", "user_id:i event_type day event_id:i value:n", """result AS (
   SELECT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day, event_id, value FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type, strftime(ts, '%Y-%m-%d') ORDER BY event_id) = 1)""")
@@ -35,12 +26,21 @@ def stream_append_dedup(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("stream_weekly_counts", "week_ending:d event_type n:i", """weekly AS (
-  SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS week_ending, event_type, count(DISTINCT user_id) AS n
-  FROM events GROUP BY 1, 2)""", """result AS (
-  SELECT * FROM weekly WHERE CAST(week_ending + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY)""")
+@query("stream_weekly_counts", "week_ending:d search n:i", """weekly AS (
+  SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS week_ending, event_type AS search, count(DISTINCT user_id) AS n
+  FROM events GROUP BY 1, 2 UNION ALL
+  SELECT CAST(date_trunc('week', ts) AS DATE) + 6, 'total', count(DISTINCT user_id) FROM events GROUP BY 1)""", """spine AS (
+  SELECT CAST(unnest(generate_series(min(week_ending), max(week_ending), INTERVAL 7 DAY)) AS DATE) AS week_ending FROM weekly)""",
+       """result AS (
+  SELECT week_ending, search, coalesce(n, 0) AS n FROM spine CROSS JOIN (
+    SELECT DISTINCT event_type AS search FROM events UNION SELECT 'total' UNION SELECT 'never') names
+  LEFT JOIN weekly USING (week_ending, search))""")
 def stream_weekly_counts(spark, sf):
-    return drain(spark, X.stream_weekly_counts(event_stream(spark, sf), "ts", "event_type", "user_id", "2 days"), "weekly-counts")
+    """Users per week and event type, a type that never comes, and the total."""
+    path = scratch_dir(spark, "weekly-counts")
+    X.stream_weekly_counts(event_stream(spark, sf), path, f"{path}/state", "ts", "event_type", "user_id").awaitTermination()
+    kinds = sorted(r["event_type"] for r in table(spark, sf, "events").select("event_type").distinct().collect())  # a handful
+    return X.weekly_counts(spark, path, [*kinds, "never"])
 
 
 @query("stream_gap_delta_rank", "series report_date net:n net_change:n move_rank_pct:n net_rank_pct:n", POSITIONS, FLOWS,

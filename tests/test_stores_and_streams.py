@@ -73,20 +73,17 @@ def test_stream_keeps_the_first_print_over_restarts(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == [("a", "1"), ("b", "2")]
 
 
-def run(stream, out):
-    (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-state")
-     .trigger(availableNow=True).start().awaitTermination())
-
-
 def test_stream_weeks_run_monday_to_sunday(spark, tmp_path):
-    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    src, out, schema = str(tmp_path / "src"), str(tmp_path / "out"), "ts timestamp, query string, story string"
     at = lambda d, h=12: dt.datetime(2024, 1, d, h)
-    write(spark, src, [(at(1, 0), "q", "s1"), (at(7, 23), "q", "s2"), (at(3), "q", "s1"), (at(8, 0), "q", "s3"), (at(30), "q", "s9")],
-          "ts timestamp, query string, story string")
-    stream = spark.readStream.schema("ts timestamp, query string, story string").parquet(src)
-    run(X.stream_weekly_counts(stream, "ts", "query", "story", "2 days"), out)
-    got = {r["week_ending"]: r["n"] for r in spark.read.parquet(out).collect()}
-    assert got == {dt.date(2024, 1, 7): 2, dt.date(2024, 1, 14): 1}
+    first = [(at(1, 0), "q", "s1"), (at(7, 23), "q", "s2"), (at(3), "q", "s1"), (at(3), "r", "s1"), (at(22), "q", "s9"), (None, "q", "s8")]
+    late = [(at(7, 1), "q", "s4"), (at(8, 0), "q", "s3"), (at(3), "q", "s1")]
+    for rows in (first, late):
+        write(spark, src, rows, schema)
+        X.stream_weekly_counts(spark.readStream.schema(schema).parquet(src), out, out + "-state", "ts", "query", "story").awaitTermination()
+    got = {(r["week_ending"].day, r["search"]): r["n"] for r in X.weekly_counts(spark, out, ["q", "r"]).collect()}
+    assert got == {(7, "total"): 3, (7, "q"): 3, (7, "r"): 1, (14, "total"): 1, (14, "q"): 1, (14, "r"): 0,
+                   (21, "total"): 0, (21, "q"): 0, (21, "r"): 0, (28, "total"): 1, (28, "q"): 1, (28, "r"): 0}
 
 
 def test_stream_ranks_over_batches_with_late_and_missing_weeks(spark, tmp_path):
