@@ -16,18 +16,20 @@ PILLAR_WEIGHTS = {"claim_reality": 15, "control_capture": 15, "duration": 10,
 
 
 def liquidity_gate(daily: DataFrame, name: str, date: str, dollar_volume: str, intended,
-                   days: int = 90, share: float = 0.10, build_days: int = 5) -> DataFrame:
+                   days: int = 90, share: float = 0.10, build_days: int = 5, least_days: int = 30) -> DataFrame:
     """Average dollar volume over each name's trailing days, and the capacity it gives.
 
     The trailing frame is in calendar days and the input has one row per name
-    and day, so a frame never holds more than `days` rows.
+    and day, so a frame never holds more than `days` rows. A name passes from
+    `least_days` calendar days after its first one on.
     """
     w = (Window.partitionBy(name).orderBy(F.unix_date(F.col(date)))
          .rangeBetween(-(days - 1), 0))
     capacity = F.col("adv") * share * build_days
     mean = F.sum(dollar_volume).over(w).cast("double") / F.count(dollar_volume).over(w)
-    return (daily.withColumn("adv", mean)
-            .withColumn("capacity", capacity).withColumn("passes", F.col("capacity") >= intended))
+    known = F.date_diff(F.col(date), F.min(date).over(Window.partitionBy(name).orderBy(date))) + 1 >= least_days
+    return (daily.withColumn("adv", mean).withColumn("capacity", capacity)
+            .withColumn("passes", known & (F.col("capacity") >= intended)))
 
 
 def universe_dedup(listings: DataFrame, issuer: str, kind: str, value: str, floor: float,

@@ -212,6 +212,24 @@ def headline_filter(spark, sf):
     return D.origin_headline(rows, ["period", "code"], "origin", "value", codes=["Brand#1", "Brand#2", "Brand#12"])
 
 
+@query("headline_predicates", "p_partkey:i total:b token:b", """named AS (
+  SELECT p_partkey, p_brand AS brand, CASE WHEN p_size % 5 = 0 THEN p_name || ' Total' WHEN p_size % 7 = 0 THEN p_type || ' AREA Grand Total'
+    ELSE p_name END AS item, CASE WHEN p_size % 3 = 0 THEN 'estat_hs:' || p_brand WHEN p_size % 11 = 0 THEN 'timeseries:world_total'
+    ELSE p_brand END AS source FROM part)""", """result AS (
+  SELECT p_partkey, starts_with(source, 'estat_hs') OR (source <> 'timeseries:world_total' AND NOT ends_with(item, 'AREA Grand Total')
+    AND (contains(upper(item), 'TOTAL') OR contains(lower(item), 'bolt'))) AS total,
+    contains(upper(item), 'WIDGET') OR contains(upper(item), 'GRAND') AS token FROM named)""")
+def headline_predicates(spark, sf):
+    """Totals, listed items and tokens among the names of all parts."""
+    name, brand, size = F.col("p_name"), F.col("p_brand"), F.col("p_size")
+    item = F.when(size % 5 == 0, F.concat(name, F.lit(" Total"))).when(
+        size % 7 == 0, F.concat("p_type", F.lit(" AREA Grand Total"))).otherwise(name)
+    source = F.when(size % 3 == 0, F.concat(F.lit("estat_hs:"), brand)).when(
+        size % 11 == 0, F.lit("timeseries:world_total")).otherwise(brand)
+    return table(spark, sf, "part").select("p_partkey", D.total_headline(item, source, ["Bolt"]).alias("total"),
+                                           D.token_headline(item, ["widget", "grand"]).alias("token"))
+
+
 # --- Composite tables -----------------------------------------------------------------
 
 @query("growth_tables", "source item period:d window value:n value_year_ago:n yoy_pct:n",

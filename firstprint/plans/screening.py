@@ -15,10 +15,11 @@ from firstprint.session import materialize
 @query("liquidity_gate", "supplier:i day:d adv:f capacity:f passes:b", """daily AS (
   SELECT l_suppkey AS supplier, CAST(l_shipdate AS DATE) AS day, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v
   FROM lineitem GROUP BY 1, 2), averaged AS (
-  SELECT supplier, day, CAST(sum(v) OVER w AS DOUBLE) / count(*) OVER w AS adv FROM daily
+  SELECT supplier, day, CAST(sum(v) OVER w AS DOUBLE) / count(*) OVER w AS adv,
+         day - min(day) OVER (PARTITION BY supplier) + 1 >= 30 AS known FROM daily
   WINDOW w AS (PARTITION BY supplier ORDER BY day RANGE BETWEEN INTERVAL 89 DAY PRECEDING AND CURRENT ROW))""",
        """result AS (
-  SELECT supplier, day, adv, adv * 0.1 * 5 AS capacity, adv * 0.1 * 5 >= 20000 AS passes FROM averaged)""")
+  SELECT supplier, day, adv, adv * 0.1 * 5 AS capacity, known AND adv * 0.1 * 5 >= 20000 AS passes FROM averaged)""")
 def liquidity_gate(spark, sf):
     daily = (table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("supplier"), F.to_date("l_shipdate").alias("day"))
              .agg(F.sum(money("l_extendedprice")).alias("v")))

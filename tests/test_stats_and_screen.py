@@ -102,9 +102,9 @@ def test_ols_recovers_known_slopes_and_hac_t(spark):
 # --- Screening --------------------------------------------------------------------------
 
 def test_liquidity_gate(spark):
-    df = spark.createDataFrame([("n", D0 + dt.timedelta(days=i), v) for i, v in ((0, 100.0), (5, 300.0), (100, 20.0))], "n string, d date, v double")
+    df = spark.createDataFrame([("n", D0 + dt.timedelta(days=i), v) for i, v in ((0, 100.0), (5, 300.0), (29, 500.0), (100, 20.0))], "n string, d date, v double")
     got = S.liquidity_gate(df, "n", "d", "v", 100.0, days=90).orderBy("d").collect()
-    assert [(r["adv"], r["capacity"], r["passes"]) for r in got] == [(100.0, 50.0, False), (200.0, 100.0, True), (20.0, 10.0, False)]
+    assert [(r["adv"], r["capacity"], r["passes"]) for r in got] == [(100.0, 50.0, False), (200.0, 100.0, False), (300.0, 150.0, True), (260.0, 130.0, True)]
 
 
 def test_funnel_keeps_the_first_failure(spark):
