@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -21,7 +23,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 100
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx(value, [0.5 - edge, 0.5 + edge], accuracy).alias("_b"), *also)
     bracket = first.select(*keys, "n", "_b")
-    inside = (rows.join(bracket, keys)
+    inside = (_with_same_keys(rows, bracket, keys)
               .where(F.col("_v") <= F.col("_b")[1])
               .withColumn("_v", F.when(F.col("_v") >= F.col("_b")[0], F.col("_v")))
               .groupBy(*keys, "n", "_v").agg(F.count(F.lit(1)).alias("_c")))
@@ -33,4 +35,11 @@ def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 100
 
     middle = (at(F.floor((F.col("n") - 1) / 2)) + at(F.floor(F.col("n") / 2))) / 2.0
     medians = ranked.groupBy(*keys, "n").agg(middle.alias("median"))
-    return medians if not also else medians.join(first.drop("n", "_b"), keys)
+    return medians if not also else _with_same_keys(medians, first.drop("n", "_b"), keys)
+
+
+def _with_same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on the keys, a missing key equal to a missing one."""
+    named = right.withColumnsRenamed({k: f"_is_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(named[f"_is_{k}"]) for k in keys])
+    return left.join(named, same).drop(*[f"_is_{k}" for k in keys])

@@ -5,26 +5,28 @@ from pyspark.sql import functions as F
 from firstprint.operators import diff as D, growth as G
 from firstprint.plans.registry import query
 from firstprint.plans.tables import money, table
-from firstprint.session import materialize
 
 
-def snapshot(spark, sf, lines: str | None):
-    """Monthly shares per brand and nation, and brand totals as '-', from the lines given.
+# The earlier snapshot lacks the last months and the late line numbers, so the later one brings both new rows and revisions.
+BEFORE = "l_shipdate < timestamp_ntz'2001-05-01' AND NOT (l_shipdate >= timestamp_ntz'2001-03-01' AND l_linenumber > 5)"
 
-    The earlier snapshot lacks the last months and the late line numbers, so
-    the later one brings both new rows and revisions.
-    """
-    line = table(spark, sf, "lineitem")
-    if lines:
-        line = line.where(lines)
+
+def facts(spark, sf):
+    """Monthly value per brand and nation, of all lines and of those known before, in one pass over them."""
     part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("code"))
     supplier = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("origin"))
-    sums = (line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey)
+    line = table(spark, sf, "lineitem")
+    thousands = lambda amount: F.sum(amount).cast("double") / 1000
+    return (line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey)
             .groupBy(F.trunc("l_shipdate", "month").alias("period"), "code", "origin")
-            .agg((F.sum(money("l_extendedprice")).cast("double") / 1000).alias("value"))
+            .agg(thousands(money("l_extendedprice")).alias("now"),
+                 thousands(F.when(F.expr(BEFORE), money("l_extendedprice"))).alias("before"))
             .withColumn("source", F.lit("us")))
-    # A snapshot is a stored table: everything below reads it, not the facts.
-    sums, _ = materialize(sums, "snapshot")
+
+
+def snapshot(facts, column: str):
+    """Monthly shares per brand and nation, and brand totals as '-', with year-ago growth."""
+    sums = facts.where(F.col(column).isNotNull()).select("period", "code", "origin", "source", F.col(column).alias("value"))
     cents = (sums.groupBy("source", "period", "code")
              .agg((F.sum((F.col("value") * 100000).cast("decimal(28,0)")).cast("double") / 100000).alias("value"))
              .withColumn("origin", F.lit("-")))
@@ -34,9 +36,6 @@ def snapshot(spark, sf, lines: str | None):
     return G.yoy_self_join(both, ["source", "code", "origin"])
 
 
-BEFORE = "l_shipdate < timestamp_ntz'2001-05-01' AND NOT (l_shipdate >= timestamp_ntz'2001-03-01' AND l_linenumber > 5)"
-
-
 def _snapshot_sql(name: str, where: str) -> str:
     return f"""{name}_sums AS (
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS period, p_brand AS code,
@@ -64,8 +63,8 @@ SNAPSHOTS = (_snapshot_sql("previous", "l_shipdate < TIMESTAMP '2001-05-01' AND
 
 
 def changes(spark, sf):
-    return D.snapshot_diff(snapshot(spark, sf, BEFORE), snapshot(spark, sf, None),
-                           ["source", "period", "code", "origin"], "value")
+    both = facts(spark, sf)
+    return D.snapshot_diff(snapshot(both, "before"), snapshot(both, "now"), ["source", "period", "code", "origin"], "value")
 
 
 @query("snapshot_diff", "source period:d code origin value:n previous_value:n change", SNAPSHOTS, """result AS (
@@ -100,8 +99,9 @@ def change_counts(spark, sf):
   UNION ALL SELECT period, code, origin, 'share', share_pct - prior, value FROM material
   WHERE origin <> '-' AND abs(share_pct - prior) >= 5)""")
 def intel_flags(spark, sf):
-    current = snapshot(spark, sf, None)
-    diff = D.snapshot_diff(snapshot(spark, sf, BEFORE), current, ["source", "period", "code", "origin"], "value")
+    both = facts(spark, sf)
+    current = snapshot(both, "now")
+    diff = D.snapshot_diff(snapshot(both, "before"), current, ["source", "period", "code", "origin"], "value")
     headline = D.origin_headline(current, ["period", "code"], "origin", "value")
     prior = current.select("code", "origin", F.add_months("period", 1).alias("period"),
                            F.col("share_pct").alias("prior"))

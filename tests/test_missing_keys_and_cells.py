@@ -78,3 +78,10 @@ def test_lags_follow_the_horizon(spark, horizon):
     u = zx * (zy - rho * zx)
     s = (u * u).mean() + sum(2 * (1 - k / (horizon + 1)) * (u[k:] * u[:-k]).sum() / len(u) for k in range(1, horizon + 1))
     assert got == pytest.approx(rho / np.sqrt(s / len(u)), rel=1e-9)
+
+
+def test_medians_of_a_missing_key(spark):
+    from firstprint.operators.quantiles import exact_median
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "k string, v double")
+    got = {r["k"]: (r["n"], r["median"], r["top"]) for r in exact_median(df, ["k"], "v", also=[F.max("v").alias("top")]).collect()}
+    assert got == {None: (2, 2.0, 3.0), "a": (1, 2.0, 2.0)}
