@@ -118,7 +118,7 @@ def stage_spans(title) -> Column:
 
     # A month appears where its last span puts it: the map keeps the last position of each month.
     flat = F.flatten(F.transform(spans, months))
-    placed = F.transform(flat, lambda x, i: F.struct(x["month"].alias("month"), i.alias("at")))
+    placed = F.transform(flat, lambda x, i: F.named_struct(F.lit("month"), x["month"], F.lit("at"), i))
     last = F.aggregate(placed, F.array_repeat(F.lit(-1), 100), lambda held, x: F.transform(
         held, lambda at, month: F.when(month == x["month"], x["at"]).otherwise(at)))
     return F.filter(flat, lambda x, i: F.get(last, x["month"]) == i)
