@@ -13,8 +13,10 @@ spread over SHARDS groups.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -22,12 +24,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from firstprint.llm.caching import Remembered
+from firstprint.llm.frames import frame
 from firstprint.session import materialize
 
 WINDOW = 2048
 STEP = 8
 DEPTH = 3
-SHARDS = 4096
+SHARDS = 1024
 END_ID = 1
 
 
@@ -157,11 +160,43 @@ def pack(pieces: DataFrame, window: int = WINDOW, step: int = STEP, depth: int =
                          F.coalesce(F.sum(F.col("piece.length")).over(earlier), F.lit(0)).alias("offset"))
 
 
-def word_ids(tokenizer_file: str) -> Callable[[str], bytes]:
-    """A function from one word to its ids, as little-endian unsigned 32-bit numbers."""
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-    return lambda word: np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+class WordIds:
+    """From one word to its ids, as little-endian unsigned 32-bit numbers.
+
+    A word of Latin letters with ASCII signs behind it is two pieces for a lower-casing byte-level BPE, and these go to the
+    model itself, without the tokenizer's regular expressions. That way is taken only if it agrees with the tokenizer on
+    PROBES; all other words always go through the tokenizer.
+    """
+
+    PROBES = ("word", "Word,", "ÉTÉ!!", "straße.", "a***", "&&&", "ñÑ", "the", "re", "x", "$")
+    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)\Z")
+
+    def __init__(self, tokenizer_file: str):
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level BPE shows these bytes as themselves
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.signs = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+        self.pieces = Remembered(self._piece, most=100_000)
+        self.direct = all(self._split(w) == self._whole(w) for w in self.PROBES)
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        tokens = self.tokenizer.model.tokenize("".join(map(self.signs.__getitem__, piece.encode())))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def _split(self, word: str) -> bytes | None:
+        found = self.PLAIN.match(word)
+        if not found:
+            return None
+        letters, signs = found[1].lower(), found[2]
+        return (self.pieces[letters] if letters else b"") + (self.pieces[signs] if signs else b"")
+
+    def __call__(self, word: str) -> bytes:
+        ids = self._split(word) if self.direct else None
+        return self._whole(word) if ids is None else ids
 
 
 def encoded(text: str | None, ids: Remembered, end: bytes) -> bytes:
@@ -182,7 +217,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, end
     give repeated pieces, a null doc_id is carried like any other, and other columns are not read.
     """
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, end, width = Remembered(word_ids(tokenizer_file)), np.array([end_id], "<u4").tobytes(), 4 * window
+        known, end, width = Remembered(WordIds(tokenizer_file), most=150_000), np.array([end_id], "<u4").tobytes(), 4 * window
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -191,8 +226,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, end
                     part = data[at:at + width]
                     rows.append((doc_id, at // 4, len(part) // 4, zlib.crc32(part), len(data) // 4)
                                 + ((np.frombuffer(part, "<u4").astype(np.int32),) if with_ids else ()))
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            yield frame("doc_id start length ids_crc32 doc_tokens" + " ids" * with_ids, rows)
 
     kinds = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
     return docs.select("doc_id", "text").mapInPandas(cut, kinds + ", ids array<int>" * with_ids)
