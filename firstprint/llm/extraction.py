@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame, functions as F
 from firstprint.llm.caching import Remembered
 from firstprint.llm.frames import frame
 
-PATH_SIZE = 192
+PATH_SIZE = 384
 WORD_SIZE = 64
 SHARES = 8
 HIDDEN = 24
 SAMPLE_PAGES = 200
-LAYOUTS = 640
+LAYOUTS = 1200
 EPOCHS = 8
 SEED = 7
 
@@ -101,7 +101,7 @@ def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
         else:
             if tag in CLOSED_BY_SAME and stack and stack[-1][0] == tag:
                 drop(len(stack) - 1)
-            if tag in VOID or found[3].endswith("/"):
+            if tag in VOID:  # a slash at the end closes nothing else in HTML
                 continue
             names = [tag]
             if "=" in found[3]:
@@ -153,7 +153,8 @@ def rows_of(blocks: list[tuple[str, tuple[str, ...], float]], vectors: Vectors)
     for i, (text, path, linked) in enumerate(blocks):
         words = _WORD.findall(text.lower())
         out[i, :PATH_SIZE] = vectors.paths[path]
-        out[i, PATH_SIZE:PATH_SIZE + WORD_SIZE] = vectors.of_words(words) / (2 * np.sqrt(max(1, len(words))))
+        spoken = vectors.of_words(words)
+        out[i, PATH_SIZE:PATH_SIZE + WORD_SIZE] = spoken / max(1.0, np.linalg.norm(spoken))  # one word said often stays small
         stops = sum(text.count(x) for x in ".!?")
         capitals = len(text) - len(_CAPITAL.sub("", text))
         out[i, PATH_SIZE + WORD_SIZE:] = (linked, np.log1p(len(words)) / 4, stops / (len(words) + 1), text[-1] in ".!?",
@@ -250,10 +251,10 @@ def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCH
 
 # Names that pages commonly give to their parts.
 FURNITURE = {
-    "menu": (("nav", "ul", "div"), ("nav", "menu", "navbar", "breadcrumb", "topnav", "site-nav", "tabs", "toc", "pagination")),
+    "menu": (("nav", "ul", "div", "td"), ("nav", "menu", "navbar", "breadcrumb", "topnav", "site-nav", "tabs", "toc", "pagination")),
     "header": (("header", "div"), ("header", "masthead", "site-header", "top-bar", "branding", "logo")),
     "footer": (("footer", "div"), ("footer", "site-footer", "copyright", "legal", "bottom", "colophon")),
-    "sidebar": (("aside", "div"), ("sidebar", "side", "related", "widget", "trending", "popular", "recommended", "more-links")),
+    "sidebar": (("aside", "div", "td"), ("sidebar", "side", "related", "widget", "trending", "popular", "recommended", "more-links")),
     "advert": (("div", "aside", "section"), ("ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner", "promotion")),
     "notice": (("div", "section", "p"), ("cookie", "consent", "notice", "alert", "gdpr", "popup", "modal", "newsletter", "subscribe", "paywall")),
     "form": (("form", "div"), ("form", "search", "login", "signup", "contact-form", "search-box")),
@@ -271,7 +272,7 @@ def _layout(sentences: list[str], rng: random.Random) -> tuple[str, list[int]]:
     marked = lambda text: "\x01" + text
 
     def named(tag: str, names: tuple[str, ...] | str, inner: str) -> str:
-        name = names if isinstance(names, str) else rng.choice(names) if rng.random() < 0.8 or tag in ("div", "section", "p", "ol") else ""
+        name = names if isinstance(names, str) else rng.choice(names) if rng.random() < 0.8 or tag in ("div", "section", "p", "ol", "td") else ""
         if rng.random() < 0.1 and name:
             name = name.title().replace("-", "")
         attribute = f' {rng.choice(("class", "id"))}="{name}"' if name else ""
@@ -301,18 +302,18 @@ def _layout(sentences: list[str], rng: random.Random) -> tuple[str, list[int]]:
         made = [f"<h1>{marked(words(3, 12))}</h1>"] if rng.random() < 0.9 else []
         for _ in range(rng.randint(1, 10)):
             kind = rng.random()
-            if kind < 0.72:
+            if kind < 0.62:
                 made.append(f"<p>{marked(say(1, 6))}</p>")
-            elif kind < 0.78:
+            elif kind < 0.68:
                 made.append(f"<h2>{marked(words(1, 6))}</h2>")
-            elif kind < 0.84:
+            elif kind < 0.74:
                 made.append(f"<ul>{''.join(f'<li>{marked(say(1, 2))}</li>' for _ in range(rng.randint(2, 4)))}</ul>")
-            elif kind < 0.88:
+            elif kind < 0.78:
                 made.append(f"<blockquote>{marked(say(1, 2))}</blockquote>")
-            elif kind < 0.94:
+            elif kind < 0.84:
                 made.append(f"<p><b>{marked(say(1, 1))}<br>{marked(say(1, 2))}")
-            elif rng.random() < 0.5:
-                made.append(furniture(rng.choice(("advert", "notice", "share", "sidebar"))))
+            elif kind < 0.96:
+                made.append(furniture(rng.choice(("advert", "advert", "notice", "share", "sidebar", "form"))))
             else:
                 made.append(f"<p>{marked(words(1, 2))}.</p>")
         return "".join(made)
@@ -345,8 +346,10 @@ def training_pages(sample: list[str], layouts: int = LAYOUTS) -> tuple[list[np.n
 
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> dict:
     """Train on layouts filled with sentences of the `sample_pages` pages whose ids have the smallest md5."""
-    chosen = pages.where("html is not null").orderBy(F.md5(F.col("page_id").cast("string")), "page_id").limit(sample_pages)
-    return train(*training_pages([r["html"] for r in chosen.select("html").collect()]))
+    ids = pages.where("html is not null").select("page_id").distinct()
+    ids = ids.orderBy(F.md5(F.col("page_id").cast("string")), "page_id").limit(sample_pages)  # ids alone are compared
+    chosen = pages.select("page_id", "html").join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
+    return train(*training_pages([r["html"] for r in chosen.orderBy("page_id").collect()]))
 
 
 def texts_of(pages: list[str | None], model: dict, vectors: Vectors, group: int = 64) -> list[str]:
