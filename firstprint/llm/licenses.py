@@ -180,7 +180,7 @@ def license_spans(docs: DataFrame, templates: dict[str, str] | None = None) -> D
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = Index(templates) if templates else standard_index()
-        hashes = Remembered(xxhash.xxh64_intdigest)
+        hashes = Remembered(xxhash.xxh64_intdigest, most=50_000)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):

@@ -43,8 +43,10 @@ BUCKETS = BANDS * ROWS
 MANTISSA = 10
 # Six standard deviations of the register estimate at 0.85 lie within this.
 ESTIMATE_SLACK = 0.2
-BLOCK_ROWS = 512
-BLOCK_WEIGHT = 400_000
+BLOCK_ROWS = 256
+BLOCK_WEIGHT = 200_000
+# Rows that a task returns at a time.
+SMALL = 500
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,24 +137,26 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = Remembered(xxhash.xxh64_intdigest)
+    hashes = Remembered(xxhash.xxh64_intdigest, most=50_000)
     for batch in batches:
-        rows = []
-        for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"]):
-            values = shingle_set(text, hashes)
-            if len(values):
-                regs = registers(values)
-                rows.append((doc_id, text_hash, len(values), xxhash.xxh3_128_digest(values.tobytes()), regs.tobytes(), band_keys(regs)))
-            else:
-                rows.append((doc_id, text_hash, 0, None, None, None))
-        yield frame("doc_id text_hash n node regs bands", rows)
+        for at in range(0, len(batch), SMALL):
+            part, rows = batch[at:at + SMALL], []
+            for doc_id, text_hash, text in zip(part["doc_id"], part["text_hash"], part["text"]):
+                values = shingle_set(text, hashes)
+                if len(values):
+                    regs = registers(values)
+                    rows.append((doc_id, text_hash, len(values), xxhash.xxh3_128_digest(values.tobytes()), regs.tobytes(), band_keys(regs)))
+                else:
+                    rows.append((doc_id, text_hash, 0, None, None, None))
+            yield frame("doc_id text_hash n node regs bands", rows)
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = Remembered(xxhash.xxh64_intdigest)
+    hashes = Remembered(xxhash.xxh64_intdigest, most=50_000)
     for batch in batches:
-        sets = [shingle_set(text, hashes) for text in batch["text"]]
-        yield frame("node members", ((xxhash.xxh3_128_digest(x.tobytes()), x.view(np.int64)) for x in sets))
+        for at in range(0, len(batch), SMALL):
+            sets = [shingle_set(text, hashes) for text in batch["text"][at:at + SMALL]]
+            yield frame("node members", ((xxhash.xxh3_128_digest(x.tobytes()), x.view(np.int64)) for x in sets))
 
 
 @pandas_udf(DoubleType())
