@@ -23,16 +23,16 @@ from firstprint.session import materialize
 
 ORDERS = (1, 2)
 BUCKETS = 10_000
-TRUSTED_ROWS = 10_000
+TRUSTED_ROWS = 10_000  # of the SQL statement alone: the operator counts every trusted row
 PRIOR = 10_000
 LEAST_RATIO = -0.07
 LEAST_WORDS = 50
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """The ids of at most `rows` labelled documents of quality 1: those whose ids have the smallest md5."""
+def trusted_ids(labels: DataFrame, rows: int | None = None) -> DataFrame:
+    """The ids of the labelled documents of quality 1: all, or `rows` of them, whose ids have the smallest md5."""
     ids = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    return ids.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows)
+    return ids if rows is None else ids.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows)
 
 
 def grams(words: Column, orders: tuple[int, ...] = ORDERS) -> Column:
@@ -51,9 +51,12 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
                 orders: tuple[int, ...] = ORDERS) -> DataFrame:
     """(bucket, raw, trusted): counts over every text, and over the texts of the trusted ids.
 
-    `trusted` is bounded by its parameter, so it is broadcast.
+    `trusted` has distinct ids and grows with the corpus, so how it is joined is left to Spark. Rows without a doc_id are
+    trusted by nobody and stay out of the join, where they would all meet in one task.
     """
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted.withColumn("is_trusted", F.lit(1))), "doc_id", "left")
+    named = docs.select("doc_id", "text").where("doc_id is not null")
+    marked = named.join(trusted.withColumn("is_trusted", F.lit(1)), "doc_id", "left").select("text", "is_trusted").unionAll(
+        docs.where("doc_id is null").select("text", F.lit(None).cast("int").alias("is_trusted")))
     words = once(marked, [F.coalesce("is_trusted", F.lit(0)).alias("is_trusted")], w=white_words(F.col("text")))
     each = words.select("is_trusted", F.explode(grams(F.col("w"), orders)).alias("gram"))
     return each.groupBy(bucket(F.col("gram"), buckets).alias("bucket")).agg(
@@ -115,7 +118,7 @@ def verdicts(docs: DataFrame, weight_list: list[int], buckets: int = BUCKETS,
 
 
 def quality_rules(docs: DataFrame, raw: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
-                  trusted_rows: int = TRUSTED_ROWS, least_ratio: float = LEAST_RATIO,
+                  trusted_rows: int | None = None, least_ratio: float = LEAST_RATIO,
                   orders: tuple[int, ...] = ORDERS) -> DataFrame:
     """Verdicts on `docs`, with multinomials of the raw corpus and its trusted documents."""
     counts, _ = materialize(gram_counts(raw, trusted_ids(labels, trusted_rows), buckets, orders), "gram-counts")

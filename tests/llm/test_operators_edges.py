@@ -118,6 +118,15 @@ def test_quality_counts_and_verdicts(docs, none, labels):
     assert [r["ratio"] for r in unlabelled] == [0.0]
 
 
+def test_quality_counts_every_trusted_row(spark):
+    n = quality.TRUSTED_ROWS + 2_000
+    df = spark.range(n).selectExpr("id as doc_id", "concat('w', id % 50, ' common') as text").unionAll(
+        spark.createDataFrame([(None, "w1 common"), (None, "w2 common")], "doc_id bigint, text string"))
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality")
+    counts = quality.gram_counts(df, quality.trusted_ids(labels)).agg({"trusted": "sum", "raw": "sum"}).first()
+    assert (counts["sum(trusted)"], counts["sum(raw)"]) == (3 * n, 3 * (n + 2))
+
+
 def test_repeat_words_against_brute_force(spark):
     texts = ["a b c d a b c", "x x x x x", "a b c x a b c y b c x", "one two", "p q r p q r p q"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
