@@ -200,6 +200,33 @@ def test_licenses_edges(docs, none, spark):
     assert [r["license"] for r in found if r["doc_id"] is None] == ["CC-BY-NC-4.0-notice"]
 
 
+def scanned(words):
+    return licenses.scan(words, licenses.gram_hashes(words, Remembered(licenses.xxhash.xxh64_intdigest)), licenses.standard_index())
+
+
+def test_licenses_with_inserted_blocks():
+    whole = ["MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0-header", "GPL-3.0-header", "MPL-2.0-header", "Unlicense"]
+    for name in whole:
+        template = licenses.words_of(licenses.TEMPLATES[name])
+        for size in (10, 25, 40):
+            for share in (0.35, 0.5, 0.65):
+                cut = int(share * len(template))
+                words = [b"pre"] * 3 + template[:cut] + [b"put%d" % i for i in range(size)] + template[cut:] + [b"post"] * 3
+                assert scanned(words) == [(name, 3, 3 + len(template) + size, len(template), 1.0)], (name, size, share)
+        far = template[:len(template) // 2] + [b"x"] * (len(template) + 1) + template[len(template) // 2:]
+        assert name not in [x[0] for x in scanned(far)]  # the gap is bounded
+    mit = licenses.words_of(licenses.TEMPLATES["MIT"])
+    twice = mit[:80] + [b"x"] * 20 + mit[80:] + mit[:60] + [b"y"] * 30 + mit[60:]
+    assert [(x[0], x[1], x[2], x[3]) for x in scanned(twice)] == [
+        ("MIT", 0, len(mit) + 20, len(mit)), ("MIT", len(mit) + 20, 2 * len(mit) + 50, len(mit))]
+
+
+def test_license_openings_and_whole_texts():
+    for name in licenses.TEMPLATES:
+        template = licenses.words_of(licenses.TEMPLATES[name])
+        assert scanned(template) == [(name, 0, len(template), len(template), 1.0)]
+
+
 def test_banded_alignment_equals_the_whole_one():
     """A band as wide as both texts is the plain local alignment; the band of the scan finds the same."""
     index, rng = licenses.standard_index(), np.random.default_rng(2)
