@@ -35,12 +35,22 @@ EPOCHS = 8
 SEED = 7
 
 # HTML's element groups.
-UNSEEN = {"script", "style", "head", "title", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video"}
+UNSEEN = {"script", "style", "head", "title", "noscript", "template", "svg", "iframe", "canvas", "audio", "video"}
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "template"}
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
           "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
-          "u", "var", "wbr", "picture", "source"}
+          "u", "var", "wbr", "picture", "source", "object", "param",
+          "math", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt", "mroot", "msup", "msub", "msubsup", "mover",
+          "munder", "munderover", "mmultiscripts", "mprescripts", "mtable", "mtr", "mtd", "mstyle", "merror", "mpadded",
+          "mphantom", "menclose", "maction", "semantics", "annotation"}
+# What a head may hold; anything else ends a head that was left open.
+HEADED = {"base", "basefont", "bgsound", "link", "meta", "title", "noscript", "noframes", "script", "style", "template"}
+# Tags that end an svg that was left open, unless they stand in one of its elements that hold HTML.
+LEAVES_SVG = {"b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3", "h4",
+              "h5", "h6", "head", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small",
+              "span", "strong", "strike", "sub", "sup", "table", "tt", "u", "ul", "var"}
+SVG_HOLDS_HTML = {"foreignobject", "desc", "title"}
 CLOSED_BY_SAME = {"p", "li", "dt", "dd", "option", "tr", "td", "th"}
 
 _MARKUP = re.compile(r"(?s)<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
@@ -69,6 +79,8 @@ def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
 
     def add(text: str) -> None:
         nonlocal linked
+        if stack and stack[-1][0] == "head" and text.strip():
+            drop(len(stack) - 1)
         if text and not hidden:
             parts.append(text)
             if links:
@@ -81,6 +93,19 @@ def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
             links -= tag == "a"
         del stack[index:]
 
+    def leave(tag: str) -> None:
+        """Close a head or an svg that was left open before `tag`."""
+        if not hidden:
+            return
+        for index in range(len(stack) - 1, -1, -1):
+            above = stack[index][0]
+            if above in SVG_HOLDS_HTML or above == "head" and tag in HEADED:
+                return
+            if above == "head" or above == "svg" and tag in LEAVES_SVG:
+                drop(index)
+                if above == "head":
+                    return
+
     while at < len(page):
         found = _MARKUP.search(page, at)
         if not found:
@@ -99,6 +124,9 @@ def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
                     drop(index)
                     break
         else:
+            leave(tag)
+            if tag == "head" and any(x != "html" for x, _ in stack):  # a head within a body is none
+                continue
             if tag in CLOSED_BY_SAME and stack and stack[-1][0] == tag:
                 drop(len(stack) - 1)
             if tag in VOID:  # a slash at the end closes nothing else in HTML

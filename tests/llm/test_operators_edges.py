@@ -331,6 +331,25 @@ def test_extraction_edges(spark):
     assert extraction.main_texts(df.where("false"), model).count() == 0
 
 
+def test_blocks_after_elements_left_open():
+    texts = lambda page: [x[0] for x in extraction.blocks_of(page)]
+    for page in ("<html><head><title>t</title><body><p>One.</p><p>Two.</p></body></html>",
+                 "<html><head><meta charset=x><link href=y><style>s</style><script>z</script><p>One.</p><p>Two.</p>",
+                 "<head><title>t</title><div><p>One.</p></div><p>Two.", "<head><title>t</title>One.<p>Two.</p>",
+                 "<head></head><body><head><p>One.</p><p>Two.</p>",
+                 "<body><svg><path d=m><text>drawn</text><p>One.</p><p>Two.</p>",
+                 "<body><p>One.</p><div><svg><g><text>drawn</text><div>Two.</div></div>"):
+        assert texts(page) == ["One.", "Two."], page
+    assert texts("<svg><foreignObject><p>held</p></foreignObject><text>drawn</text></svg><p>One.</p>") == ["One."]
+
+
+def test_blocks_keep_math_and_object_text():
+    texts = lambda page: [x[0] for x in extraction.blocks_of(page)]
+    assert texts("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>") == ["So x=2 holds."]
+    assert texts("<object data=a><param name=b>Seen <b>instead</b>.</object><p>One.</p>") == ["Seen instead.", "One."]
+    assert texts("<div><object data=a><p>One.</p><p>Two.</p></div>") == ["One.", "Two."]
+
+
 def test_extraction_learns_its_layouts():
     rows, marks = extraction.training_pages(["<p>Birds sing early. Nobody minds. The river runs on, wide and slow.</p>"])
     cut = len(rows) * 4 // 5
