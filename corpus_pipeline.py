@@ -33,16 +33,16 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The rows of `docs` whose (doc_id, text) is not among the rejected (doc_id, text_hash); the columns stay as they are.
 
-    A row without a doc_id is never rejected by name.
+    A null doc_id is an id like any other.
     """
     gone = rejected.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    same = (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_hash"])
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_hash"])
     return docs.join(gone, same, "left_anti")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group of near-duplicates."""
-    return without(docs, neardup.near_duplicates(docs).where("doc_id != component_id"))
+    """Keep the document with the smallest doc_id of each group of near-duplicates; a row without an id goes if one with an id stays."""
+    return without(docs, neardup.near_duplicates(docs).where("not (doc_id <=> component_id)"))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,3 +48,13 @@ def test_pipeline_is_its_stages_one_after_another(spark, con):
         kept = now
     packed = run(spark, SF).collect()
     assert {r["doc_id"] for r in packed} == kept
+
+
+def test_stages_reject_rows_without_an_id(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    words = " ".join(f"word{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, words), (None, words), (None, "alone " + words[::-1]), (None, "so " + item), (2, "other " * 9)],
+                                 "doc_id bigint, text string")
+    left = lambda name: sorted((r["doc_id"] or 0, r["text"][:5]) for r in dict(STAGES)[name](spark, docs, SF).collect())
+    assert left("near_duplicates") == sorted([(1, words[:5]), (0, "alone"), (0, ("so " + item)[:5]), (2, "other")])
+    assert left("benchmark_decontamination") == sorted([(1, words[:5]), (0, words[:5]), (0, "alone"), (2, "other")])
