@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ["packing", "extraction", "toxicity", "language", "licenses", "quality", "token_counts", "chat", "decontaminate", "neardup"]
+MODULES = ["packing", "extraction", "toxicity", "language", "licenses", "quality", "token_counts", "chat", "decontaminate", "neardup",
+           "alignment"]
 
 
 def load_all() -> None:
