@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ["packing", "extraction", "toxicity", "language", "licenses", "quality", "token_counts", "chat", "decontaminate", "neardup",
-           "alignment", "negatives"]
+           "alignment", "negatives", "forest"]
 
 
 def load_all() -> None:
