@@ -85,6 +85,8 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_sizes = np.array([len(self.a_bytes[i]) for i in range(len(self.a_bytes))])
+        self.b_sizes = np.array([len(b) for b in self.b_bytes])
         plain = [p for i, p in enumerate(pieces) if not self.b.is_byte(i) and not self.b.is_control(i) and not self.b.is_unknown(i)]
         self.cut_at_spaces = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in plain)
         self.cut_at_signs = not any(re.search(f"{LETTER}{SIGN}", p) for p in plain)
@@ -108,8 +110,8 @@ class Aligner:
         all_b = self.b.encode([s[1:] if s[0] == " " else "a" + s for s in stretches], num_threads=1)
         all_b = [ids if s[0] == " " else ids[self.ahead:] for s, ids in zip(stretches, all_b)]
         spoken = [s.encode("utf-8", "surrogatepass") for s in stretches]
-        good = [b"".join([self.a_bytes[i] for i in a]) == s == b"".join([self.b_bytes[i] for i in b])
-                for s, a, b in zip(spoken, all_a, all_b)]
+        spelled_a, spelled_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        good = [b"".join(map(spelled_a, a)) == s == b"".join(map(spelled_b, b)) for s, a, b in zip(spoken, all_a, all_b)]
         aligned = iter(self._aligned([a for a, ok in zip(all_a, good) if ok], [b for b, ok in zip(all_b, good) if ok]))
         return [next(aligned) if ok else None for ok in good]
 
@@ -118,16 +120,19 @@ class Aligner:
         a, b = list(chain.from_iterable(all_a)), list(chain.from_iterable(all_b))
         if not a:
             return []
-        ends_a = np.cumsum([len(self.a_bytes[i]) for i in a])
-        ends_b = np.cumsum([len(self.b_bytes[i]) for i in b])
-        ends = np.union1d(ends_a, ends_b)
-        pairs = np.array(b)[np.searchsorted(ends_b, ends)] << 32 | np.array(a)[np.searchsorted(ends_a, ends)]
-        cuts = np.intersect1d(ends_a, ends_b)
+        numbers_a, numbers_b = np.array(a), np.array(b)
+        ends_a, ends_b = np.cumsum(self.a_sizes[numbers_a]), np.cumsum(self.b_sizes[numbers_b])
+        both = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        again = np.r_[both[1:] == both[:-1], False]
+        ends, cuts = both[~again], both[again]
+        pairs = numbers_b[np.searchsorted(ends_b, ends)] << 32 | numbers_a[np.searchsorted(ends_a, ends)]
         till_a, till_b, till = (np.searchsorted(x, cuts) + 1 for x in (ends_a, ends_b, ends))
         shown_a, shown_b = list(map(str, a)), list(map(str, b))
         groups, last_a, last_b = [], 0, 0
         for next_a, next_b in zip(till_a.tolist(), till_b.tolist()):
-            groups.append(",".join(shown_a[last_a:next_a]) + "|" + ",".join(shown_b[last_b:next_b]))
+            of_a = shown_a[last_a] if next_a == last_a + 1 else ",".join(shown_a[last_a:next_a])
+            of_b = shown_b[last_b] if next_b == last_b + 1 else ",".join(shown_b[last_b:next_b])
+            groups.append(f"{of_a}|{of_b}")
             last_a, last_b = next_a, next_b
         last = np.searchsorted(till_a, np.cumsum([len(ids) for ids in all_a])) + 1  # groups till the end of each stretch
         found, done, packed, at = [], 0, pairs.astype("<i8").tobytes(), 0
@@ -161,11 +166,11 @@ class Remembering:
         """One entry for each of different keys."""
         found, new, young, old = {}, [], self.young, self.old
         for key in keys:
-            if key in young:
-                found[key] = young[key]
-            elif key in old:
-                found[key] = young[key] = old[key]
-            else:
+            if value := young.get(key):
+                found[key] = value
+            elif value := old.get(key):
+                found[key] = young[key] = value
+            else:  # new, or without a value: worked out again
                 new.append(key)
         for key, value in zip(new, self.f(new) if new else ()):
             found[key] = value
