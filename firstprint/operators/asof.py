@@ -29,19 +29,18 @@ def asof_forward(left: DataFrame, lookup: DataFrame, by: list[str], day, prefix:
     return left.withColumn("_day", day).join(right, [*by, "_day"], how).drop("_day")
 
 
-def forward_return(left: DataFrame, obs: DataFrame, by: list[str], date: str, obs_date: str,
-                   obs_value: str, entry_lags: list[int], horizons: list[int]) -> DataFrame:
-    """Log change from the entry observation to the one h weeks after it.
+def forward_return(left: DataFrame, obs: DataFrame, cells: DataFrame, series: list[str], by: list[str], date: str,
+                   obs_date: str, obs_value: str) -> DataFrame:
+    """Log change of a target from the entry observation to the one h weeks after it, for every cell of a series.
 
-    One row per (left row, entry lag, horizon) with both ends present.
+    `cells` is the grid as a table: per series (columns `series`) the targets (columns `by`, the keys of `obs`), each
+    entry_lag and each horizon to try. One row per left row and cell with both ends present; a series without cells has none.
     """
     lookup = forward_lookup(obs, by, obs_date, obs_value)
-    lags = F.explode(F.array(*[F.lit(n) for n in entry_lags]))
-    weeks = F.explode(F.array(*[F.lit(h) for h in horizons]))
-    entry = asof_forward(left.withColumn("entry_lag", lags), lookup, by,
-                         F.date_add(F.col(date), F.col("entry_lag")), "entry", "inner")
-    both = asof_forward(entry.withColumn("horizon", weeks), lookup, by,
-                        F.date_add(F.col("entry_date"), F.col("horizon") * 7), "exit", "inner")
+    ways = cells.groupBy(*series, *by, "entry_lag").agg(F.collect_set("horizon").alias("_weeks"))
+    entry = asof_forward(left.join(ways, series), lookup, by, F.date_add(F.col(date), F.col("entry_lag")), "entry", "inner")
+    each = entry.withColumn("horizon", F.explode("_weeks")).drop("_weeks")
+    both = asof_forward(each, lookup, by, F.date_add(F.col("entry_date"), F.col("horizon") * 7), "exit", "inner")
     return both.withColumn("fwd_return", F.ln(F.col("exit_value") / F.col("entry_value")))
 
 
@@ -50,7 +49,7 @@ def multi_asof_controls(left: DataFrame, flow: DataFrame, price: DataFrame, by:
                         entry_lag: int = 6, past_days: int = 28) -> DataFrame:
     """Forward flow beside the past flow and past price move known at entry.
 
-    A row missing any of the five observations is dropped.
+    Flows, prices and left rows share the keys `by`. A row missing any of the five observations is dropped.
     """
     flows = forward_lookup(flow, by, obs_date, obs_value)
     prices = forward_lookup(price, by, obs_date, obs_value)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from firstprint.functions.text import story_key
 from firstprint.operators import asof, screen as S
-from firstprint.plans.grid import price_of
+from firstprint.plans.grid import against_targets, prices
 from firstprint.plans.registry import query
 from firstprint.plans.tables import DAILY_PRICE, RELEASE, money, release, table
 from firstprint.session import materialize
@@ -286,15 +286,16 @@ def point_in_time_packet(spark, sf):
             .unionByName(steps.withColumn("part", F.lit("reveal"))))
 
 
-@query("milestone_lead_times", "c_custkey:i t0:d t2:d t6:d lead_days:i move_before:n rerating_done:n", DAILY_PRICE, """stones AS (
+@query("milestone_lead_times", "c_custkey:i ticker t0:d t2:d t6:d lead_days:i move_before:n rerating_done:n", DAILY_PRICE, """stones AS (
   SELECT o_custkey AS c_custkey, CAST(min(o_orderdate) AS DATE) AS t0,
     CAST(min(o_orderdate) FILTER (o_orderstatus = 'F') AS DATE) AS t2,
     CAST(max(o_orderdate) AS DATE) AS t6 FROM orders GROUP BY 1), priced AS (
-  SELECT s.*, (SELECT arg_min(price, date) FROM daily_price WHERE ticker = 'A' AND date BETWEEN t0 AND t0 + 7) AS p0,
-    (SELECT arg_min(price, date) FROM daily_price WHERE ticker = 'A' AND date BETWEEN t2 AND t2 + 7) AS p2,
-    (SELECT arg_min(price, date) FROM daily_price WHERE ticker = 'A' AND date BETWEEN t6 AND t6 + 7) AS p6 FROM stones s)""",
+  SELECT s.*, t.ticker, (SELECT arg_min(price, date) FROM daily_price p WHERE p.ticker = t.ticker AND date BETWEEN t0 AND t0 + 7) AS p0,
+    (SELECT arg_min(price, date) FROM daily_price p WHERE p.ticker = t.ticker AND date BETWEEN t2 AND t2 + 7) AS p2,
+    (SELECT arg_min(price, date) FROM daily_price p WHERE p.ticker = t.ticker AND date BETWEEN t6 AND t6 + 7) AS p6
+  FROM stones s CROSS JOIN (VALUES ('A'), ('N'), ('R')) t(ticker))""",
        """result AS (
-  SELECT c_custkey, t0, t2, t6, date_diff('day', t0, t2) AS lead_days, ln(p2 / p0) AS move_before,
+  SELECT c_custkey, ticker, t0, t2, t6, date_diff('day', t0, t2) AS lead_days, ln(p2 / p0) AS move_before,
          ln(p2 / p0) / nullif(ln(p6 / p0), 0) AS rerating_done FROM priced)""")
 def milestone_lead_times(spark, sf):
     orders = table(spark, sf, "orders")
@@ -304,10 +305,10 @@ def milestone_lead_times(spark, sf):
                                F.lit("t0"), F.when(F.col("o_orderstatus") == "F", F.lit("t2"))))).alias("stone"))
     stones = S.milestone_dates(events, "c_custkey", "stone", "date", ["t0", "t2"])
     last = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max(day).alias("t6"))
-    rows = stones.join(last, "c_custkey")
-    lookup = asof.forward_lookup(price_of(spark, sf), [], "date", "price")
+    rows = against_targets(stones.join(last, "c_custkey"))
+    lookup = asof.forward_lookup(prices(spark, sf), ["ticker"], "date", "price")
     for stone in ("t0", "t2", "t6"):
-        rows = asof.asof_forward(rows, lookup, [], stone, f"p_{stone}")
+        rows = asof.asof_forward(rows, lookup, ["ticker"], stone, f"p_{stone}")
     return S.lead_times(rows, "t0", "t2", "p_t0_value", "p_t2_value", "p_t6_value")
 
 
