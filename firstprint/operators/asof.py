@@ -29,16 +29,28 @@ def asof_forward(left: DataFrame, lookup: DataFrame, by: list[str], day, prefix:
     return left.withColumn("_day", day).join(right, [*by, "_day"], how).drop("_day")
 
 
-def forward_return(left: DataFrame, obs: DataFrame, cells: DataFrame, series: list[str], by: list[str], date: str,
-                   obs_date: str, obs_value: str) -> DataFrame:
-    """Log change of a target from the entry observation to the one h weeks after it, for every cell of a series.
+def forward_return(left: DataFrame, obs: DataFrame, by: list[str], date: str, obs_date: str,
+                   obs_value: str, entry_lags: list[int], horizons: list[int]) -> DataFrame:
+    """Log change from the entry observation to the one h weeks after it.
 
-    `cells` is the grid as a table: per series (columns `series`) the targets (columns `by`, the keys of `obs`), each
-    entry_lag and each horizon to try. One row per left row and cell with both ends present; a series without cells has none.
+    One row per (left row, entry lag, horizon) with both ends present.
     """
+    lags = F.explode(F.array(*[F.lit(n) for n in entry_lags]))
+    weeks = F.array(*[F.lit(h) for h in horizons])
+    return _returns(left.withColumn("entry_lag", lags).withColumn("_weeks", weeks), obs, by, date, obs_date, obs_value)
+
+
+def grid_returns(left: DataFrame, cells: DataFrame, obs: DataFrame, series: list[str], by: list[str], date: str,
+                 obs_date: str, obs_value: str) -> DataFrame:
+    """The same for a grid that is a table: `cells` has, per series (columns `series`), the targets (columns `by`, the keys
+    of `obs`), entry lags and horizons to try. A series without cells has no rows."""
+    ways = cells.groupBy(*series, *by, "entry_lag").agg(F.collect_set("horizon").alias("_weeks"))  # a cell's few horizons
+    return _returns(left.join(ways, series), obs, by, date, obs_date, obs_value)
+
+
+def _returns(left: DataFrame, obs: DataFrame, by: list[str], date: str, obs_date: str, obs_value: str) -> DataFrame:
     lookup = forward_lookup(obs, by, obs_date, obs_value)
-    ways = cells.groupBy(*series, *by, "entry_lag").agg(F.collect_set("horizon").alias("_weeks"))
-    entry = asof_forward(left.join(ways, series), lookup, by, F.date_add(F.col(date), F.col("entry_lag")), "entry", "inner")
+    entry = asof_forward(left, lookup, by, F.date_add(F.col(date), F.col("entry_lag")), "entry", "inner")
     each = entry.withColumn("horizon", F.explode("_weeks")).drop("_weeks")
     both = asof_forward(each, lookup, by, F.date_add(F.col("entry_date"), F.col("horizon") * 7), "exit", "inner")
     return both.withColumn("fwd_return", F.ln(F.col("exit_value") / F.col("entry_value")))

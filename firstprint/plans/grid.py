@@ -58,7 +58,7 @@ FORWARD = """entries AS (
 
 def forward(spark, sf, left=None):
     left = positions(spark, sf).select("series", "report_date") if left is None else left
-    return asof.forward_return(left, prices(spark, sf), cells(spark, sf), ["series"], ["ticker"], "report_date", "date", "price")
+    return asof.grid_returns(left, cells(spark, sf), prices(spark, sf), ["series"], ["ticker"], "report_date", "date", "price")
 
 
 @query("forward_return", "series ticker report_date:d entry_lag:i horizon:i entry_date:d exit_date:d fwd_return:n",

@@ -112,6 +112,21 @@ def test_expanding_rank_equals_brute_force(spark):
     assert got == [pytest.approx(v) if v is not None else None for v in (brute_rank(values, i, 52) for i in range(len(values)))]
 
 
+def test_expanding_rank_of_many_series_with_ties_and_gaps(spark):
+    rng = random.Random(9)
+    lengths = {None: 40, "a": 1, "b": 257, "c": 64, "d": 3}
+    values = {k: [None if rng.random() < 0.2 else float(rng.randint(-3, 3)) for _ in range(n)] for k, n in lengths.items()}
+    values["d"] = [None] * 3
+    rows = [(k, i, v, f"x{i}") for k, vs in values.items() for i, v in enumerate(vs)]
+    rng.shuffle(rows)
+    got = ranks.expanding_rank(spark.createDataFrame(rows, "series string, d int, net double, rest string"), ["series"], "d", "net", "r", 2)
+    assert got.columns == ["series", "d", "net", "rest", "r"]
+    for r in got.collect():
+        assert r["r"] == pytest.approx(brute_rank(values[r["series"]], r["d"], 2)) and r["rest"] == f"x{r['d']}"
+    none = spark.createDataFrame([], "series string, d int, net double")
+    assert ranks.expanding_rank(none, ["series"], "d", "net", "r", 1).count() == 0
+
+
 def test_expanding_rank_never_looks_ahead(spark):
     rng = random.Random(4)
     values = [rng.random() for _ in range(300)]
