@@ -43,6 +43,18 @@ def stream_weekly_counts(spark, sf):
     return X.weekly_counts(spark, path, [*kinds, "never"])
 
 
+@query("stream_weekly_windows", "week_ending:d search n:i", """marks AS (
+  SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS week_ending, event_type AS search, user_id FROM events
+  UNION ALL SELECT CAST(date_trunc('week', ts) AS DATE) + 6, 'total', user_id FROM events)""", """result AS (
+  SELECT week_ending, search, count(DISTINCT user_id) AS n FROM marks
+  WHERE CAST(week_ending + 1 AS TIMESTAMP) <= (SELECT max(ts) - INTERVAL 2 DAY FROM events) GROUP BY 1, 2)""")
+def stream_weekly_windows(spark, sf):
+    """Users per event type of every week that two days of lateness have passed."""
+    path = scratch_dir(spark, "weekly-windows")
+    X.stream_weekly_windows(event_stream(spark, sf), f"{path}/final", f"{path}/state", "ts", "event_type", "user_id", "2 days").awaitTermination()
+    return spark.read.schema("week_ending date, search string, n bigint").parquet(f"{path}/final")
+
+
 @query("stream_gap_delta_rank", "series report_date net:n net_change:n move_rank_pct:n net_rank_pct:n", POSITIONS, FLOWS,
        """result AS (
   SELECT series, strftime(report_date, '%Y-%m-%d') AS report_date, net, net_change, move_rank_pct, net_rank_pct FROM flagged)""")

@@ -215,6 +215,18 @@ def test_forward_return(spark):
     assert got[(6, 1)] == pytest.approx(math.log(114 / 107)) and got[(3, 4)] == pytest.approx(math.log(132 / 104))
 
 
+def test_a_grid_tries_every_cell_of_a_series(spark):
+    day = lambda i: dt.date(2026, 1, 5) + dt.timedelta(days=i)
+    obs = spark.createDataFrame([(t, day(i), base + i) for t, base in (("x", 100.0), ("y", 50.0)) for i in range(40)], "t string, date date, v double")
+    left = spark.createDataFrame([("a", day(1)), ("b", day(1)), ("c", day(1))], "series string, report_date date")
+    cells = spark.createDataFrame([("a", "x", 6, 1), ("a", "x", 6, 4), ("a", "y", 3, 1), ("b", "y", 3, 2), ("b", "z", 3, 2)],
+                                  "series string, t string, entry_lag int, horizon int")
+    got = {(r["series"], r["t"], r["entry_lag"], r["horizon"]): r["fwd_return"] for r in
+           asof.grid_returns(left, cells, obs, ["series"], ["t"], "report_date", "date", "v").collect()}
+    assert got == {("a", "x", 6, 1): pytest.approx(math.log(114 / 107)), ("a", "x", 6, 4): pytest.approx(math.log(135 / 107)),
+                   ("a", "y", 3, 1): pytest.approx(math.log(61 / 54)), ("b", "y", 3, 2): pytest.approx(math.log(68 / 54))}
+
+
 def test_asof_backward(spark):
     df = weekly(spark, list(range(60)))
     r = asof.asof_backward(df, ["series"], "report_date", "net").first()

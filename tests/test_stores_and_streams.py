@@ -103,3 +103,42 @@ def test_stream_ranks_over_batches_with_late_and_missing_weeks(spark, tmp_path):
         for rank, values in (("net_rank_pct", nets), ("move_rank_pct", moves)):
             past = [v for v in values[:i] if v is not None]
             assert got[weeks[i][1]][rank] == pytest.approx(100.0 * sum(v < values[i] for v in past) / len(past))
+
+
+def test_weekly_windows_are_final_after_the_watermark(spark, tmp_path):
+    src, out, schema = str(tmp_path / "src"), str(tmp_path / "out"), "ts timestamp, query string, story string"
+    at = lambda d, h=12: dt.datetime(2024, 1, d, h)
+    batches = [[(at(1, 0), "q", "s1"), (at(7, 23), "q", "s2"), (at(3), "r", "s1"), (at(9), "q", "s1"), (None, "q", "s8")],  # watermark: 7th, 12 h
+               [(at(7, 20), "q", "s4"), (at(7, 21), "q", "s4"), (at(10), "q", "s5")],  # late but in time; then the 8th, 12 h: first week over
+               [(at(7, 22), "q", "s6"), (at(20), "r", "s9")],  # s6 is too late
+               [(at(28), "q", "s1")]]
+    for rows in batches:
+        write(spark, src, rows, schema)
+        X.stream_weekly_windows(spark.readStream.schema(schema).parquet(src), out, out + "-state", "ts", "query", "story", "2 days").awaitTermination()
+    got = sorted((r["week_ending"].day, r["search"], r["n"]) for r in spark.read.parquet(out).collect())
+    assert got == [(7, "q", 3), (7, "r", 1), (7, "total", 3), (14, "q", 2), (14, "total", 2), (21, "r", 1), (21, "total", 1)]
+
+
+def test_a_late_week_changes_what_follows_it_only(spark, tmp_path):
+    schema = "series string, report_date string, net double, at int"
+    day = lambda i: (dt.date(2019, 1, 1) + dt.timedelta(days=7 * i)).isoformat()
+    weeks = [("s", day(i), float((i * 29) % 31), i) for i in range(150)] + [("t", day(i), 1.0, i) for i in range(5)]
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+
+    def run(rows):
+        write(spark, src, rows, schema)
+        X.stream_gap_delta_rank(spark.readStream.schema(schema).parquet(src), out, out + "-state", "series", "at", 3).awaitTermination()
+        return {(r["series"], r["report_date"]): r.asDict() for r in spark.read.parquet(out + "/ranked").collect()}
+
+    files = lambda: {p for p in (tmp_path / "out" / "ranked").rglob("*.parquet")}
+    late = ("s", day(120), 30.5, 999)
+    first = run([w for w in weeks if w[1] != day(120) or w[0] != "s"])
+    before = files()
+    second = run([late, ("s", day(3), 77.0, 1000), (None, day(4), 1.0, 0), ("s", None, 1.0, 0)])  # a replayed week, no series, no date
+    assert {k for k in second if second[k] != first.get(k)} <= {("s", day(i)) for i in range(120, 150)}
+    assert second[("s", day(3))]["net"] == weeks[3][2] and second[("s", day(120))]["net"] == 30.5
+    assert {p.parent.name for p in files() - before} == {"year=2021"}  # weeks 105 to 149 and no other year
+    nets = [30.5 if i == 120 else weeks[i][2] for i in range(150)]
+    for i in (121, 149):
+        assert second[("s", day(i))]["net_rank_pct"] == pytest.approx(100.0 * sum(v < nets[i] for v in nets[:i]) / i)
+        assert second[("s", day(i))]["net_change"] == pytest.approx(nets[i] - nets[i - 1])
