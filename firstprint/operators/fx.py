@@ -52,18 +52,21 @@ def lagged_week_window_mean(rates: DataFrame, keys: list[str], date: str, rate:
 
 def window_fx_restate(rows: DataFrame, means: DataFrame, period: str = "period",
                       window: str = "window", value: str = "value", yoy: str = "yoy_pct",
-                      scale: float = 1.0, suffix: str = "usd") -> DataFrame:
+                      scale: float = 1.0, suffix: str = "usd", by: list[str] = ()) -> DataFrame:
     """Restate a print and its year-ago base at the mean rates of their windows.
 
+    `by` names key columns of rows and means, such as the currency a row is restated in.
+
     `fx_effect_pt` is the local growth less the restated growth: the part of
     the growth that is the currency. NULL wherever a rate is missing.
     """
-    now = means.select(F.col("period").alias(period), F.col("window").alias(window),
+    keys = [*by, period, window]
+    now = means.select(*by, F.col("period").alias(period), F.col("window").alias(window),
                        F.col("rate").alias("rate_now"))
-    ago = means.select(F.add_months("period", 12).alias(period), F.col("window").alias(window),
+    ago = means.select(*by, F.add_months("period", 12).alias(period), F.col("window").alias(window),
                        F.col("rate").alias("rate_ago"))
     base = F.col(f"{value}_year_ago")
-    out = (rows.join(now, [period, window], "left").join(ago, [period, window], "left")
+    out = (rows.join(now, keys, "left").join(ago, keys, "left")
            .withColumn(f"value_{suffix}", F.col(value) * scale / F.col("rate_now"))
            .withColumn(f"yoy_pct_{suffix}",
                        pct_change(F.col(value) / F.col("rate_now"), base / F.col("rate_ago"))))

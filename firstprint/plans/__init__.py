@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ["growth", "weekly", "rates", "changes", "grid", "news", "calendars", "scalars",
-           "stores", "layouts", "screening", "streams"]
+           "stores", "layouts", "screening", "streams", "releases"]
 
 
 def load_all() -> None:

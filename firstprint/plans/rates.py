@@ -54,24 +54,25 @@ RESTATED = """grown AS (
     AND b.period = a.period - INTERVAL 12 MONTH)"""
 
 
-@query("window_fx_restate", "item period:d window value:n yoy_pct:n rate_now:n value_usd:n yoy_pct_usd:n "
+@query("window_fx_restate", "item period:d window quote value:n yoy_pct:n rate_now:n value_usd:n yoy_pct_usd:n "
        "fx_effect_pt:n yoy_pct_customs:n", WINDOW_RELEASE, FX_DAILY, MEANS, LAGGED, RESTATED, """result AS (
-  SELECT g.item, g.period, g."window", g.value, g.yoy_pct, n.rate AS rate_now, g.value / n.rate AS value_usd,
+  SELECT g.item, g.period, g."window", quotes.quote, g.value, g.yoy_pct, n.rate AS rate_now, g.value / n.rate AS value_usd,
          ((g.value / n.rate) / nullif(value_year_ago / o.rate, 0) - 1.0) * 100.0 AS yoy_pct_usd,
          g.yoy_pct - ((g.value / n.rate) / nullif(value_year_ago / o.rate, 0) - 1.0) * 100.0 AS fx_effect_pt,
          ((g.value / cn.rate) / nullif(value_year_ago / co.rate, 0) - 1.0) * 100.0 AS yoy_pct_customs
-  FROM grown g
-  LEFT JOIN means n ON n.quote = 'A' AND n.period = g.period AND n."window" = g."window"
-  LEFT JOIN means o ON o.quote = 'A' AND o.period = g.period - INTERVAL 12 MONTH AND o."window" = g."window"
-  LEFT JOIN lagged_means cn ON cn.quote = 'A' AND cn.period = g.period AND cn."window" = g."window"
-  LEFT JOIN lagged_means co ON co.quote = 'A' AND co.period = g.period - INTERVAL 12 MONTH
+  FROM grown g CROSS JOIN (VALUES ('A'), ('N'), ('R')) quotes(quote)
+  LEFT JOIN means n ON n.quote = quotes.quote AND n.period = g.period AND n."window" = g."window"
+  LEFT JOIN means o ON o.quote = quotes.quote AND o.period = g.period - INTERVAL 12 MONTH AND o."window" = g."window"
+  LEFT JOIN lagged_means cn ON cn.quote = quotes.quote AND cn.period = g.period AND cn."window" = g."window"
+  LEFT JOIN lagged_means co ON co.quote = quotes.quote AND co.period = g.period - INTERVAL 12 MONTH
     AND co."window" = g."window")""")
 def window_fx_restate(spark, sf):
-    grown = G.yoy_self_join(window_release(spark, sf), ["item", "window"])
-    rates = fx_daily(spark, sf).where(F.col("quote") == "A")
+    quotes = F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R")))
+    grown = G.yoy_self_join(window_release(spark, sf), ["item", "window"]).withColumn("quote", quotes)
+    rates = fx_daily(spark, sf)
     market = fx.window_mean(rates, ["quote"], "date", "rate")
     customs = fx.lagged_week_window_mean(rates, ["quote"], "date", "rate")
-    out = fx.window_fx_restate(grown, market)
-    extra = (fx.window_fx_restate(grown, customs, suffix="customs")
-             .select("item", "period", "window", "yoy_pct_customs"))
-    return out.join(extra, ["item", "period", "window"])
+    out = fx.window_fx_restate(grown, market, by=["quote"])
+    extra = (fx.window_fx_restate(grown, customs, suffix="customs", by=["quote"])
+             .select("item", "period", "window", "quote", "yoy_pct_customs"))
+    return out.join(extra, ["item", "period", "window", "quote"])
