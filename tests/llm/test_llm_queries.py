@@ -20,7 +20,7 @@ def con():
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
