@@ -48,9 +48,27 @@ def iso(date) -> Column:
 
 
 # --- Published windows ----------------------------------------------------------
+#
+# Labels are read token by token: numbers, words, and every other sign by itself. White space only separates.
 
-# Parts of date labels: signs between the ends of a range, signs inside a date, numbers.
-_TO, _JOINT, _YEAR, _ONE_OR_TWO = "[-–∼~]", "[-/.]", "[0-9]{4}", "[0-9]{1,2}"
+_RANGE_SIGNS, _DATE_SIGNS = ["-", "–", "∼", "~"], [".", "/"]
+
+
+def tokens(text) -> Column:
+    """The numbers, words and single signs of a text, in order; none for a null."""
+    found = F.regexp_extract_all(F.coalesce(_col(text), F.lit("")), F.lit(r"[0-9]+|\p{L}+|\S"), F.lit(0))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def _is_number(token: Column) -> Column:
+    return F.substring(token, 1, 1).between("0", "9")
+
+
+def _fold(text, start: dict[str, Column], step) -> Column:
+    """The state after all tokens of a text; `step(state, token)` gives the fields of the next state."""
+    names = list(start)
+    return F.aggregate(tokens(text), F.struct(*[start[n].alias(n) for n in names]),
+                       lambda state, token: F.struct(*[c.alias(n) for n, c in zip(names, step(state, token))]))
 
 
 def _window_of_day(day: Column, full: str) -> Column:
@@ -58,38 +76,66 @@ def _window_of_day(day: Column, full: str) -> Column:
 
 
 def classify_window(label, full: str = "FULL") -> Column:
-    """Window named by the last day of a range label; '' when it names none."""
-    whole_date = f"(?:{_YEAR}{_JOINT})?(?:{_ONE_OR_TWO}{_JOINT})?({_ONE_OR_TWO})"
-    last = F.regexp_extract(F.trim(_col(label)), rf"{_TO}\s*{whole_date}\s*일?\s*$", 1)
-    return F.when(last != "", _window_of_day(last.try_cast("int"), full)).otherwise("")
+    """Window named by the last day of a range label; '' when it names none.
+
+    A range sign opens the end of the range. Numbers joined by date signs go on with it, and the last of them is its day,
+    which a day mark may follow. Anything else means that the label does not end in a date.
+    """
+    def step(state, token):
+        opens, joint, number = token.isin(_RANGE_SIGNS), token.isin(_DATE_SIGNS), _is_number(token)
+        goes_on = F.when(number, (state["day"] == "") | state["joined"]).when(joint, (state["day"] != "") & ~state["joined"]).otherwise(token == "일")
+        return (opens | (state["open"] & goes_on), ~opens & joint,
+                F.when(opens, "").when(number, token).otherwise(state["day"]))
+
+    end = _fold(label, {"open": F.lit(False), "joined": F.lit(False), "day": F.lit("")}, step)
+    is_day = end["open"] & ~end["joined"] & F.length(end["day"]).between(1, 2)
+    return F.when(is_day, _window_of_day(end["day"].try_cast("int"), full)).otherwise("")
 
 
 def english_window(label, retrieved, full: str = "FULL") -> Column:
     """('month', 'window') of a label such as 'Aug.1~Aug.10', which has no year.
 
     The year is the retrieval year, or the one before when the label's month is
-    still ahead of the retrieval month.
+    still ahead of the retrieval month. A word before a number is a month; the
+    first number behind the range sign is the last day, and ends the label.
     """
-    name = r"([A-Za-z]{3,9})\.?\s*"
-    pattern = rf"{name}{_ONE_OR_TWO}\s*{_TO}\s*(?:{name})?({_ONE_OR_TWO})"
-    part = [F.regexp_extract(_col(label), pattern, i) for i in (1, 2, 3)]
-    name = F.lower(F.substring(F.when(part[1] != "", part[1]).otherwise(part[0]), 1, 3))
-    months = F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS])
-    month = F.array_position(months, name)
+    def step(state, token):
+        read = state["last"] != ""
+        number, word = _is_number(token), F.length(token).between(3, 9) & token.rlike("^[A-Za-z]+$")
+        ranged = state["ranged"] | (token.isin(_RANGE_SIGNS) & (state["first"] != ""))
+        return (F.when(~read & word, F.lower(F.substring(token, 1, 3))).otherwise(state["name"]),
+                F.when(~state["ranged"] & number & (state["name"] != ""), token).otherwise(state["first"]), ranged,
+                F.when(~read & state["ranged"] & number, token).otherwise(state["last"]))
+
+    blank = F.lit("")
+    end = _fold(label, {"name": blank, "first": blank, "ranged": F.lit(False), "last": blank}, step)
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS]), end["name"])
     year = F.year(_col(retrieved)) - F.when(month > F.month(_col(retrieved)), 1).otherwise(0)
-    known = (part[0] != "") & (month > 0)
+    known = (month > 0) & (end["last"] != "")
     return F.struct(
         F.when(known, F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0")))
         .otherwise("").alias("month"),
-        F.when(known, _window_of_day(part[2].try_cast("int"), full)).otherwise("").alias("window"))
+        F.when(known, _window_of_day(end["last"].try_cast("int"), full)).otherwise("").alias("window"))
 
 
 def find_month(*texts) -> Column:
-    """First month written in any of the texts, looked at in order."""
-    joined = F.concat_ws("\n", *[_col(t) for t in texts])
-    pattern = f"(20[0-9]{{2}}){_JOINT}?(0[1-9]|1[0-2])"
-    year, month = (F.regexp_extract(joined, pattern, i) for i in (1, 2))
-    return F.when(year != "", F.concat_ws("-", year, month)).otherwise("")
+    """First month from 2000 on that is written in any of the texts, looked at in order.
+
+    A month is a number that begins with its four-digit year and two-digit month, or the year alone and, behind a date sign
+    or a hyphen, a number that begins with the month.
+    """
+    def months(text):
+        words = tokens(text)
+
+        def of(token, i):
+            apart = (F.length(token) == 4) & F.get(words, i + 1).isin([*_DATE_SIGNS, "-"])
+            month = F.when(F.length(token) >= 6, F.substring(token, 5, 2)).when(apart, F.substring(F.get(words, i + 2), 1, 2))
+            good = _is_number(token) & F.startswith(token, F.lit("20")) & (F.length(month) == 2) & month.try_cast("int").between(1, 12)
+            return F.when(good, F.concat_ws("-", F.substring(token, 1, 4), month))
+
+        return F.get(F.array_compact(F.transform(words, of)), F.lit(0))
+
+    return F.coalesce(*[months(t) for t in texts], F.lit(""))
 
 
 def stage_word(text) -> Column:
@@ -101,21 +147,30 @@ def stage_word(text) -> Column:
 def stage_spans(title) -> Column:
     """Array of (month, stage) from spans such as '1-6月：確報、7月：9桁速報'.
 
-    Where two spans name the same month the later one in the title stands.
+    Commas and closing brackets end a span, a colon parts its months from its stage. The months end in the word for month,
+    behind one number or two with a range sign between them. Where two spans name the same month the later one in the title
+    stands.
     """
-    months_named = rf"({_ONE_OR_TWO})\s*(?:[～-]\s*({_ONE_OR_TWO}))?\s*月"
-    pattern = rf"{months_named}\s*[:：]\s*([^,、）)]+)"
-    grab = lambda i: F.regexp_extract_all(_col(title), F.lit(pattern), F.lit(i))
-    spans = F.arrays_zip(grab(1).alias("a"), grab(2).alias("b"), grab(3).alias("w"))
-
-    def months(span):
-        first = span["a"].cast("int")
-        last = F.when(span["b"] != "", span["b"].cast("int")).otherwise(first)
-        stage = stage_word(span["w"])
-        listed = F.when((stage != "") & (first <= last), F.sequence(first, last)).otherwise(
-            F.array().cast("array<int>"))
-        return F.transform(listed, lambda m: F.named_struct(F.lit("month"), m, F.lit("stage"), stage))
-
+    spans = F.split(F.translate(F.coalesce(_col(title), F.lit("")), "、）)：", ",,,:"), ",")
+    spans = F.filter(spans, lambda span: F.contains(span, F.lit(":")))
+    # Each step is a transform of its own, so that what the next one mentions twice is worked out once.
+    read = F.transform(spans, lambda span: F.named_struct(
+        F.lit("signs"), F.regexp_extract_all(F.substring_index(span, ":", 1), F.lit(r"[0-9]+|\S"), F.lit(0)),
+        F.lit("stage"), stage_word(F.substr(span, F.locate(":", span) + 1))))
+    read = F.filter(read, lambda x: (F.size(x["signs"]) >= 2) & (x["stage"] != ""))
+
+    def ends(x):
+        from_end = lambda n: F.get(x["signs"], F.size(x["signs"]) - n)
+        number = lambda token: F.when(_is_number(token) & (F.length(token) <= 2), token.try_cast("int"))
+        return F.named_struct(F.lit("last"), F.when(from_end(1) == "月", number(from_end(2))),
+                              F.lit("first"), F.when(from_end(3).isin("～", "-"), number(from_end(4))), F.lit("stage"), x["stage"])
+
+    def months(x):
+        first = F.coalesce(x["first"], x["last"])
+        listed = F.when(first <= x["last"], F.sequence(first, x["last"])).otherwise(F.array().cast("array<int>"))
+        return F.transform(listed, lambda m: F.named_struct(F.lit("month"), m, F.lit("stage"), x["stage"]))
+
+    spans = F.transform(read, ends)
     # A month appears where its last span puts it: the map keeps the last position of each month.
     flat = F.flatten(F.transform(spans, months))
     placed = F.transform(flat, lambda x, i: F.named_struct(F.lit("month"), x["month"], F.lit("at"), i))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firstprint.functions.fixed_values import DOC_TYPE_TOPICS
 from firstprint.functions.periods import business_days_between, document_date
 from firstprint.operators.growth import top_n_per_group
+from firstprint.operators.store import read_store
 
 STALE_DAYS = 10
 
@@ -51,6 +54,33 @@ def new_since(df: DataFrame, seen: str, since) -> DataFrame:
     return df.where(F.col(seen) >= since)
 
 
+def stored_watermark(spark: SparkSession, path: str):
+    """The last value that was finished, NULL before the first one. Finished values are appended, so a lost write loses none."""
+    marks = read_store(spark, path)
+    return None if marks is None else marks.agg(F.max("finished")).first()[0]
+
+
+def work_since(df: DataFrame, seen: str, path: str, work: Callable[[DataFrame], None]) -> DataFrame:
+    """Work on the rows seen at or after the stored watermark, then store the newest value seen as the next one.
+
+    The value itself is read again the next time, as rows of that day may still come: `work` must take rows it has had
+    before, as append_dedup does. The watermark is written only after `work` has ended well, so a run that fails moves
+    nothing, and the next one starts where the last good one ended. Rows without a value have no place in time and are
+    left out. Without new rows nothing is written. Returns the rows that were worked on.
+    """
+    spark = df.sparkSession
+    last = stored_watermark(spark, path)
+    rows = df.where(F.col(seen).isNotNull()) if last is None else new_since(df, seen, F.lit(last))
+    newest = rows.agg(F.max(seen).alias("finished"))  # fixed before the work: what arrives meanwhile is for the next run
+    reached = newest.first()["finished"]
+    if reached is None:
+        return rows
+    rows = rows.where(F.col(seen) <= F.lit(reached))
+    work(rows)
+    spark.createDataFrame([(reached,)], newest.schema).coalesce(1).write.mode("append").parquet(path)
+    return rows
+
+
 def last_n_vwap(trades: DataFrame, keys: list[str], date: str, shares: str, pence: str,
                 today, n: int = 5, ties: list[str] = ()) -> DataFrame:
     """Pace of the latest n trades: shares, money, mean price, days since."""

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from firstprint.operators import store as K
-from firstprint.operators.filings import new_since as rows_since
+from firstprint.operators.filings import new_since as rows_since, work_since
 from firstprint.plans.registry import query
 from firstprint.plans.tables import RELEASE, money, release, table
 from firstprint.session import scratch_dir
@@ -111,3 +111,19 @@ def rebuild_from_raw(spark, sf):
   SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-15')""")
 def new_since(spark, sf):
     return rows_since(table(spark, sf, "orders"), "o_orderdate", dt.datetime(2001, 6, 15)).select("o_orderkey")
+
+
+@query("new_since_watermark", "o_orderkey:i run:i", """result AS (
+  SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1998-07-01' THEN 1 ELSE 2 END AS run FROM orders)""")
+def new_since_watermark(spark, sf):
+    """Two runs over growing orders: the second starts at the last day of the first, and stores what it had not seen."""
+    path = scratch_dir(spark, "watermark")
+    orders = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+
+    def run(number, rows):
+        keep = lambda new: K.append_dedup(new.withColumn("run", F.lit(number)), f"{path}/store", ["o_orderkey", "run"], ["o_orderkey"], "day")
+        work_since(rows, "day", f"{path}/marks", keep)
+
+    run(1, orders.where("day < date '1998-07-01'"))
+    run(2, orders)
+    return spark.read.parquet(f"{path}/store")

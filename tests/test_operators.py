@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from firstprint.functions.periods import week_ending_sunday
-from firstprint.operators import asof, diff as D, flows as P, fx, growth as G, ranks, series as S
+from firstprint.operators import asof, diff as D, flows as P, fx, growth as G, ranks, series as S, releases
 from firstprint.operators.quantiles import exact_median
 
 D0 = dt.date(2015, 1, 6)
@@ -341,3 +341,44 @@ def test_whole_percent_ranks_round_half_to_even(spark):
 def test_week_ending(spark):
     r = spark.range(1).select(week_ending_sunday(F.lit(dt.date(2026, 9, 21))).alias("d")).first()
     assert r["d"] == dt.date(2026, 9, 27)
+
+
+# --- Growth tables -------------------------------------------------------------------------
+
+def test_several_grains_from_one_scan(spark):
+    rows = spark.createDataFrame([(1, "a", "x", 2.0), (1, "a", "y", 3.0), (1, None, "x", 5.0), (2, "a", "x", 7.0)], "p int, k string, m string, v double")
+    got = releases.grain_sums(rows, {"fine": ["p", "k"], "coarse": ["p"], "other": ["m"]}, v=F.sum("v"))
+    assert sorted((r["grain"], r["p"], r["k"] or "-", r["m"], r["v"]) for r in got.collect() if r["grain"] != "other") == [
+        ("coarse", 1, "-", None, 10.0), ("coarse", 2, "-", None, 7.0), ("fine", 1, "-", None, 5.0), ("fine", 1, "a", None, 5.0), ("fine", 2, "a", None, 7.0)]
+    assert {r["m"]: r["v"] for r in got.where("grain = 'other'").collect()} == {"x": 14.0, "y": 3.0}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_partners_share_the_total_of_their_code(spark):
+    m = lambda y: dt.date(y, 5, 1)
+    rows = [(m(2025), "E", "8542", "1", "One", 1000.0, 2.0), (m(2026), "E", "8542", "1", "One", 1500.0, 3.0), (m(2026), "E", "8542", "2", "Two", 4500.0, 1.0)]
+    df = spark.createDataFrame(rows, "period date, imex string, code string, cty string, name string, v double, q double")
+    got = {(r["period"].year, r["cty"]): r for r in releases.partner_table(df, ["imex", "code"], "cty", "name", F.col("v"), F.col("q"), "EA").collect()}
+    one, total = got[(2026, "1")], got[(2026, "-")]
+    assert (one["value"], one["value_year_ago"], one["yoy_pct"], one["share_of_code_pct"], one["qty1"], one["unit1"]) == (1.5, 1.0, 50.0, 25.0, 3.0, "EA")
+    assert (total["name"], total["value"], total["yoy_pct"], total["share_of_code_pct"], total["qty1"]) == ("ALL COUNTRIES", 6.0, 500.0, 100.0, None)
+    assert got[(2026, "2")]["yoy_pct"] is None and len(got) == 5
+
+
+def test_press_stages_collapse_and_rates_restate(spark):
+    m = lambda y: dt.date(y, 5, 1)
+    press = spark.createDataFrame([(m(2026), "MONTH_DP", "E:x", 120.0, 9.0, 1), (m(2026), "MONTH_PROV", "E:x", 110.0, 8.0, 2), (m(2026), "D10", "E:x", 30.0, 7.0, 1),
+                                   (m(2025), "MONTH_PROV", "E:x", 100.0, 6.0, 1)],
+                                  "period date, stage string, item string, value double, published double, arrival int")
+    series = spark.createDataFrame([(m(2026), "s", "E:y", 5.0)], "period date, series string, item string, value double")
+    codes = spark.createDataFrame([(m(2026), "PROV9", "E:HS1", 4.0), (m(2026), "DETAILED", "E:HS1", 3.0), (m(2025), "PROV9", "E:HS1", 2.0)],
+                                  "period date, stage string, item string, value double")
+    rate = lambda now, ago: spark.createDataFrame([("J", m(2026), "MONTH", now), ("J", m(2025), "MONTH", ago)], "quote string, period date, window string, rate double")
+    got = {(r["source"], r["period"].year, r["period_type"]): r for r in releases.customs_table(
+        press, series, codes, rate(150.0, 120.0), rate(160.0, 120.0), ["J"], {"MONTH_PROV": 1, "MONTH_DP": 2}, {"PROV9": 1, "DETAILED": 2}).collect()}
+    month = got[("press_release", 2026, "MONTH")]
+    assert (month["value"], month["published"], month["value_year_ago"], month["value_usd"]) == (120.0, 9.0, 100.0, 800.0)
+    assert month["yoy_pct"] == pytest.approx(20.0) and month["yoy_pct_usd"] == pytest.approx(-4.0)
+    assert month["fx_effect_pt"] == pytest.approx(24.0) and month["yoy_pct_customs"] == pytest.approx(-10.0)
+    assert got[("press_release", 2026, "D10")]["value_usd"] is None and got[("estat_hs:DETAILED", 2026, "MONTH")]["yoy_pct"] == pytest.approx(50.0)
+    assert len(got) == 6

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from firstprint.operators import store as K
+from firstprint.operators import filings, store as K
 from firstprint.streaming import stores as X
 
 SCHEMA = "k string, v string, n int"
@@ -142,3 +142,27 @@ def test_a_late_week_changes_what_follows_it_only(spark, tmp_path):
     for i in (121, 149):
         assert second[("s", day(i))]["net_rank_pct"] == pytest.approx(100.0 * sum(v < nets[i] for v in nets[:i]) / i)
         assert second[("s", day(i))]["net_change"] == pytest.approx(nets[i] - nets[i - 1])
+
+
+def test_a_watermark_moves_only_after_good_work(spark, tmp_path):
+    marks, store = str(tmp_path / "marks"), str(tmp_path / "store")
+    rows = lambda *days: spark.createDataFrame([(i, dt.date(2024, 1, d) if d else None) for i, d in enumerate(days)], "id int, day date")
+    seen = []
+
+    def work(new):
+        seen.append(sorted(r["day"].day for r in new.collect()))
+        K.append_dedup(new, store, ["id", "day"], ["id"], "id")
+
+    def broken(new):
+        work(new)
+        raise RuntimeError("lost")
+
+    ids = lambda: sorted(int(r["id"]) for r in spark.read.parquet(store).collect())
+    filings.work_since(rows(1, 2, None), "day", marks, work)
+    with pytest.raises(RuntimeError):
+        filings.work_since(rows(1, 2, None, 2, 5), "day", marks, broken)
+    assert filings.stored_watermark(spark, marks) == dt.date(2024, 1, 2) and ids() == [0, 1, 3, 4]
+    filings.work_since(rows(1, 2, None, 2, 5, 3), "day", marks, work)  # the failed run again: nothing twice, nothing lost
+    assert filings.stored_watermark(spark, marks) == dt.date(2024, 1, 5) and ids() == [0, 1, 3, 4, 5]
+    assert seen == [[1, 2], [2, 2, 5], [2, 2, 3, 5]]
+    assert filings.work_since(rows(1), "day", marks, work).count() == 0 and len(seen) == 3
