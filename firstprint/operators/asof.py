@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def forward_lookup(obs: DataFrame, by: list[str], date: str, value: str, day: str = "day",
@@ -78,6 +78,29 @@ def multi_asof_controls(left: DataFrame, flow: DataFrame, price: DataFrame, by:
             .withColumn("past_price", F.ln(F.col("price_now_value") / F.col("price_past_value"))))
 
 
+def asof_sweep(left: DataFrame, obs: DataFrame, by: list[str], day: str, obs_date: str, obs_value: str, prefix: str,
+               backward: bool = False, max_gap: int | None = None) -> DataFrame:
+    """Attach `{prefix}_date` and `{prefix}_value`: the next observation on or after the day, or with `backward` the last one on
+    or before it, however far away, or NULL if it is more than `max_gap` days off.
+
+    Both sides are cut to one row per key and day and laid on one line, which a single ordered scan per key fills in; no
+    observation is copied. A key's line is as long as the calendar however many rows a day has, and the rows meet their
+    day's answer in an equality join, where Spark splits a hot day. Of several observations of a day the smallest value counts.
+    """
+    seen = obs.where(F.col(obs_date).isNotNull()).groupBy(*by, F.col(obs_date).alias("_day")).agg(F.min(obs_value).alias("_v"))
+    found = F.struct(F.col("_day").alias("date"), F.col("_v").alias("value"))
+    asked = left.select(*by, F.col(day).alias("_day")).where("_day is not null").distinct()
+    line = seen.select(*by, "_day", found.alias("_o")).unionByName(asked, allowMissingColumns=True)
+    # The observation of a day comes before the question about that day, whichever way the scan runs.
+    along = Window.partitionBy(*by).orderBy(F.asc("_day") if backward else F.desc("_day"), F.col("_o").isNull())
+    answer = F.last("_o", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    answers = line.withColumn("_a", answer).where("_o is null")
+    if max_gap is not None:
+        answers = answers.withColumn("_a", F.when(F.abs(F.date_diff("_a.date", "_day")) <= max_gap, F.col("_a")))
+    answers = answers.select(*by, "_day", F.col("_a.date").alias(f"{prefix}_date"), F.col("_a.value").alias(f"{prefix}_value"))
+    return left.withColumn("_day", F.col(day)).join(answers, [*by, "_day"], "left").drop("_day")
+
+
 def asof_backward(df: DataFrame, series: list[str], date: str, value: str, days: int = 364) -> DataFrame:
     """Per series: the last observation at least `days` before its latest one."""
     latest = df.groupBy(*series).agg(F.max(date).alias("latest_date"),
@@ -110,3 +133,29 @@ def overlap_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str],
              & (F.col(right_span[0]) <= F.col(left_span[1])))
     return (pairs.where(meets & (F.col("_bucket") == F.greatest("_lb", "_rb")))
             .drop("_bucket", "_lb", "_rb"))
+
+
+def overlap_counts(events: DataFrame, spans: DataFrame, event_span: tuple[str, str], span: tuple[str, str], by: list[str],
+                   name: str = "n") -> DataFrame:
+    """How many spans of each key meet each event (both ends included), for the keys where any do: no pair is formed.
+
+    An endpoint sweep: the spans that meet an event are those begun by its end less those ended before its start. Spans are
+    reduced to the starts and ends of each (key, day) before the shuffle, so a key's line is as long as the calendar and the
+    events. Spans that end before they start, or lack an end, meet nothing. The keys should be few: each event is asked for
+    every key.
+    """
+    begin, end = (F.col(c) for c in span)
+    at = lambda day, mark, value: [F.lit("day"), day, F.lit(mark), value]
+    ends = F.array(F.named_struct(*at(begin, "_s", F.lit(1)), F.lit("_e"), F.lit(0)),
+                   F.named_struct(*at(end, "_s", F.lit(0)), F.lit("_e"), F.lit(1)))
+    marks = spans.where(begin <= end).select(*by, F.inline(ends)).groupBy(*by, "day").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e"))
+    keys = marks.select(F.collect_set(F.struct(F.lit(0).alias("_"), *by))).scalar()
+    first, last = (F.col(c) for c in event_span)
+    asks = F.array(F.named_struct(*at(last, "_till", F.lit(True))), F.named_struct(*at(F.date_sub(first, 1), "_till", F.lit(False))))
+    asked = events.where(first <= last).select(F.struct("*").alias("_event"), asks.alias("_asks"), F.explode(keys).alias("_key"))
+    asked = asked.select(*[F.col(f"_key.{b}").alias(b) for b in by], "_event", F.inline("_asks"))
+    line = marks.unionByName(asked, allowMissingColumns=True)
+    upto = Window.partitionBy(*by).orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = line.withColumns({"_begun": F.sum("_s").over(upto), "_ended": F.sum("_e").over(upto)}).where("_event is not null")
+    met = F.max(F.when(F.col("_till"), F.coalesce("_begun", F.lit(0)))) - F.max(F.when(~F.col("_till"), F.coalesce("_ended", F.lit(0))))
+    return sums.groupBy(*by, "_event").agg(met.alias(name)).where(F.col(name) > 0).select(*by, "_event.*", name)

@@ -163,54 +163,52 @@ def signal_grid(pairs: DataFrame, keys: list[str], date: str, x: str, y: str, sp
         .alias("consistent"))
 
 
-def ols_hac(df: DataFrame, keys: list[str], order: str, y: str, xs: list[str], horizon: str) -> DataFrame:
-    """Coefficients and overlap-robust t of y on three standardized regressors.
+SINGULAR = 1e-10
+
 
-    Standardizing makes the intercept orthogonal to the rest, so the normal
-    equations are the regressors' 3x3 correlation matrix, inverted in closed
-    form from window means. Each coefficient's variance is then the long-run
-    variance of one score series. Cells under 100 rows are dropped.
+def ols_hac_cells(df: DataFrame, keys: list[str], order: str, y: str, xs: list[str], horizon: str) -> DataFrame:
+    """n, and coef_x and t_x of each regressor x, of y on any number of standardized regressors, for every cell.
+
+    Standardizing makes the intercept orthogonal to the rest, so the normal equations are the regressors' correlations: window
+    means over the cell. They are split by Cholesky, column by column, and inverted from the triangle. Each coefficient's
+    variance is then the long-run variance of one score series, with the cell's horizon as lag length. A regressor that is
+    constant or a combination of earlier ones leaves no pivot: all numbers of the cell but n are NULL. Cells under 100 rows
+    are dropped.
     """
-    if len(xs) != 3:
-        raise ValueError("ols_hac: three regressors")
-    cell = Window.partitionBy(*keys)
-    df = df.withColumns({"_y": _standard(F.col(y), keys),
-                         **{f"_x{i}": _standard(F.col(c), keys) for i, c in enumerate(xs)}})
-
-    def mean(a, b):
-        return F.avg(F.col(a) * F.col(b)).over(cell)
-
-    df = df.withColumns({"n": F.count(F.lit(1)).over(cell),
-                         **{f"_r{i}{j}": mean(f"_x{i}", f"_x{j}") for i in range(3) for j in range(i, 3)},
-                         **{f"_g{i}": mean(f"_x{i}", "_y") for i in range(3)}})
-    r = lambda i, j: F.col(f"_r{min(i, j)}{max(i, j)}")
-
-    def cofactor(i, j):
-        a, b = [k for k in range(3) if k != i]
-        c, d = [k for k in range(3) if k != j]
-        minor = r(a, c) * r(b, d) - r(a, d) * r(b, c)
-        return minor if (i + j) % 2 == 0 else -minor
-
-    det = sum((r(0, j) * cofactor(0, j) for j in range(1, 3)), r(0, 0) * cofactor(0, 0))
-    df = df.withColumn("_det", det)
-    df = df.withColumns({f"_a{i}{j}": F.try_divide(cofactor(i, j), F.col("_det"))
-                         for i in range(3) for j in range(3)})
-    df = df.withColumns({f"_b{i}": sum((F.col(f"_a{i}{j}") * F.col(f"_g{j}") for j in range(1, 3)),
-                                       F.col(f"_a{i}0") * F.col("_g0")) for i in range(3)})
-    df = df.withColumn("_e", F.col("_y") - F.col("_b0") * F.col("_x0")
-                       - F.col("_b1") * F.col("_x1") - F.col("_b2") * F.col("_x2"))
-    df = df.withColumns({f"_q{i}": F.col("_e") / F.col("n")
-                         * (F.col(f"_a{i}0") * F.col("_x0") + F.col(f"_a{i}1") * F.col("_x1")
-                            + F.col(f"_a{i}2") * F.col("_x2")) for i in range(3)})
+    k, cell = range(len(xs)), Window.partitionBy(*keys)
+    df = df.withColumns({"_y": _standard(F.col(y), keys), **{f"_x{i}": _standard(F.col(c), keys) for i, c in enumerate(xs)}})
+    mean = lambda a, b: F.avg(F.col(a) * F.col(b)).over(cell)
+    df = df.withColumns({"n": F.count(F.lit(1)).over(cell), **{f"_r{i}_{j}": mean(f"_x{i}", f"_x{j}") for i in k for j in range(i + 1)},
+                         **{f"_g{i}": mean(f"_x{i}", "_y") for i in k}})
+    total = lambda terms: sum(terms, F.lit(0.0))
+    lower = lambda i, j: F.col(f"_l{i}_{j}")
+    for j in k:  # the triangle
+        pivot = F.col(f"_r{j}_{j}") - total(lower(j, p) * lower(j, p) for p in range(j))
+        df = df.withColumn(f"_l{j}_{j}", F.when(pivot > SINGULAR, F.sqrt(pivot)))
+        df = df.withColumns({f"_l{i}_{j}": (F.col(f"_r{i}_{j}") - total(lower(i, p) * lower(j, p) for p in range(j))) / lower(j, j)
+                             for i in k if i > j} or {"_done": F.lit(True)})
+    turned = lambda i, j: F.col(f"_m{i}_{j}")
+    for i in k:  # its inverse
+        df = df.withColumns({f"_m{i}_{j}": (F.lit(1.0 if i == j else 0.0) - total(lower(i, p) * turned(p, j) for p in range(j, i))) / lower(i, i)
+                             for j in range(i + 1)})
+    inverse = {(i, j): total(turned(p, i) * turned(p, j) for p in k if p >= max(i, j)) for i in k for j in k}
+    df = df.withColumns({f"_a{i}_{j}": inverse[i, j] for i in k for j in k})
+    df = df.withColumns({f"_b{i}": total(F.col(f"_a{i}_{j}") * F.col(f"_g{j}") for j in k) for i in k})
+    df = df.withColumn("_u", (F.col("_y") - total(F.col(f"_b{i}") * F.col(f"_x{i}") for i in k)) / F.col("n"))
+    df = df.withColumns({f"_q{i}": F.col("_u") * total(F.col(f"_a{i}_{j}") * F.col(f"_x{j}") for j in k) for i in k})
     cells = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.max(f"_b{i}").alias(f"coef{i}") for i in range(3)],
-        *[F.sum(F.col(f"_q{i}") * F.col(f"_q{i}")).alias(f"_v{i}") for i in range(3)],
-        _in_order(order, "_q0", "_q1", "_q2").alias("_qs")).where(F.col("n") >= MIN_CONTROL)
+        F.count(F.lit(1)).alias("n"), *[F.max(f"_b{i}").alias(f"coef_{x}") for i, x in enumerate(xs)],
+        *[F.sum(F.col(f"_q{i}") * F.col(f"_q{i}")).alias(f"_v{i}") for i in k],
+        _in_order(order, *[f"_q{i}" for i in k]).alias("_qs")).where(F.col("n") >= MIN_CONTROL)
+    variance = [F.col(f"_v{i}") + _overlap(F.col(f"_qs._q{i}"), F.col(horizon)) for i in k]
+    return cells.select(*keys, "n", *[f"coef_{x}" for x in xs],
+                        *[F.when(v > 0, F.col(f"coef_{x}") / F.sqrt(v)).alias(f"t_{x}") for x, v in zip(xs, variance)])
 
-    def t(i):
-        v = F.col(f"_v{i}") + _overlap(F.col(f"_qs._q{i}"), F.col(horizon))
-        return F.when(v > 0, F.col(f"coef{i}") / F.sqrt(v))
 
-    return cells.select(*keys, "n", F.col("coef0").alias("coef_signal"), t(0).alias("t_signal"),
-                        t(1).alias("t_past_flow"), t(2).alias("t_past_price"))
+def ols_hac(df: DataFrame, keys: list[str], order: str, y: str, xs: list[str], horizon: str) -> DataFrame:
+    """The signal, the past flow and the past price move as three regressors of one outcome, under their usual names."""
+    if len(xs) != 3:
+        raise ValueError("ols_hac: three regressors")
+    cells = ols_hac_cells(df, keys, order, y, xs, horizon)
+    names = dict(zip(xs, ("signal", "past_flow", "past_price")))
+    return cells.select(*keys, "n", F.col(f"coef_{xs[0]}").alias("coef_signal"), *[F.col(f"t_{x}").alias(f"t_{name}") for x, name in names.items()])

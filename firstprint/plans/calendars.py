@@ -1,7 +1,5 @@
 """Trading calendar, event calendar and interval overlaps over the tables."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from firstprint.functions.fixed_values import EASTER_SUNDAYS
@@ -51,8 +49,6 @@ def trading_calendar(spark, sf):
     return C.add_trading_days(ordered.join(days, "day", "left"), "day", days, 10, "plus_ten")
 
 
-START = dt.date(2000, 9, 1)
-
 EVENTS = """months AS (SELECT DISTINCT CAST(date_trunc('month', day) AS DATE) AS m FROM days), lasts AS (
   SELECT CAST(date_trunc('month', day) AS DATE) AS m, day,
          row_number() OVER (PARTITION BY date_trunc('month', day) ORDER BY day DESC) AS r FROM trading), quarters AS (
@@ -71,24 +67,36 @@ EVENTS = """months AS (SELECT DISTINCT CAST(date_trunc('month', day) AS DATE) AS
     (SELECT k FROM trading z WHERE z.day = s)) AS p FROM settles))"""
 
 
-@query("event_calendar", "start:d end:d kind basis", DAYS, EVENTS, """result AS (
-  SELECT * FROM all_events WHERE "end" >= DATE '2000-09-01' AND "start" <= DATE '2001-02-28')""")
+NEAR = """near AS (
+  SELECT * FROM all_events WHERE "end" >= (SELECT CAST(min(o_orderdate) AS DATE) FROM orders)
+    AND "start" <= (SELECT CAST(max(o_orderdate) AS DATE) FROM orders))"""
+
+
+def events(spark, sf):
+    """The dated events of the whole span of the orders."""
+    day = F.to_date("o_orderdate")
+    first, last = (table(spark, sf, "orders").select(f(day)).scalar() for f in (F.min, F.max))
+    return C.event_calendar(calendar(spark, sf), first, F.date_diff(last, first))
+
+
+@query("event_calendar", "start:d end:d kind basis n_orders:i", DAYS, EVENTS, NEAR, """result AS (
+  SELECT dated.*, count(*) AS n_orders FROM (SELECT DISTINCT * FROM near) dated JOIN orders ON CAST(o_orderdate AS DATE) BETWEEN "start" AND "end" GROUP BY ALL)""")
 def event_calendar(spark, sf):
-    return C.event_calendar(calendar(spark, sf), START, 180)
+    """Every dated event with the orders placed in it; an event without any is left out."""
+    days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("a"), F.to_date("o_orderdate").alias("b"))
+    return asof.overlap_counts(events(spark, sf).distinct(), days, ("start", "end"), ("a", "b"), [], "n_orders")
 
 
-@query("interval_overlap", "kind start:d end:d o_orderpriority n:i", DAYS, EVENTS, """spans AS (
+@query("interval_overlap", "kind start:d end:d o_orderpriority n:i", DAYS, EVENTS, NEAR, """spans AS (
   SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS a, CAST(max(l_shipdate) AS DATE) AS b
-  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2, 3), near AS (
-  SELECT * FROM all_events WHERE "end" >= DATE '2000-09-01' AND "start" <= DATE '2001-02-28')""", """result AS (
-  SELECT kind, "start", "end", o_orderpriority, count(*) AS n FROM near
-  JOIN spans ON a <= "end" AND b >= "start" GROUP BY 1, 2, 3, 4)""")
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2, 3)""", """result AS (
+  SELECT kind, "start", "end", o_orderpriority, count(*) AS n FROM (SELECT DISTINCT kind, "start", "end" FROM near)
+  JOIN spans ON a <= "end" AND b >= "start" AND a <= b GROUP BY 1, 2, 3, 4)""")
 def interval_overlap(spark, sf):
     """Orders still open during each dated event, by priority."""
-    events = C.event_calendar(calendar(spark, sf), START, 180)
     shipped = (table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
                .agg(F.to_date(F.max("l_shipdate")).alias("b")))
     spans = (table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("a"))
              .join(shipped, "o_orderkey"))
-    pairs = asof.overlap_join(spans, events, ("a", "b"), ("start", "end"))
-    return pairs.groupBy("kind", "start", "end", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    dated = events(spark, sf).select("kind", "start", "end").distinct()
+    return asof.overlap_counts(dated, spans, ("start", "end"), ("a", "b"), ["o_orderpriority"])

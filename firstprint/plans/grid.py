@@ -44,6 +44,19 @@ def asof_forward(spark, sf):
     return asof.asof_forward(left, lookup, ["ticker"], "day", "obs")
 
 
+@query("asof_sweep", "o_orderkey:i ticker day:d next_date:d next_value:n last_date:d last_value:n", DAILY_PRICE, """asked AS (
+  SELECT o_orderkey, t.ticker, CAST(o_orderdate AS DATE) AS day FROM orders CROSS JOIN (VALUES ('A'), ('N'), ('R')) t(ticker)), result AS (
+  SELECT a.o_orderkey, a.ticker, a.day, CASE WHEN n.date <= a.day + 7 THEN n.date END AS next_date, CASE WHEN n.date <= a.day + 7 THEN n.price END AS next_value,
+    l.date AS last_date, l.price AS last_value FROM asked a
+  ASOF LEFT JOIN daily_price n ON n.ticker = a.ticker AND n.date >= a.day
+  ASOF LEFT JOIN daily_price l ON l.ticker = a.ticker AND l.date <= a.day)""")
+def asof_sweep(spark, sf):
+    """Every order against the next price of every ticker within a week, and the last one however old."""
+    left = against_targets(table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day")))
+    ahead = asof.asof_sweep(left, prices(spark, sf), ["ticker"], "day", "date", "price", "next", max_gap=7)
+    return asof.asof_sweep(ahead, prices(spark, sf), ["ticker"], "day", "date", "price", "last", backward=True)
+
+
 FORWARD = """entries AS (
   SELECT s.series, p.ticker, s.report_date, g.entry_lag, min(p.date) AS entry_date, arg_min(p.price, p.date) AS entry_value
   FROM positions s CROSS JOIN (VALUES (6), (3)) g(entry_lag)
@@ -252,3 +265,35 @@ def ols_hac(spark, sf):
                      ["chg1", "chg4", "crowd"], "signal", "x").where(F.col("x").isNotNull()))
     return stats.ols_hac(rows, ["series", "ticker", "horizon", "signal"], "report_date", "y",
                          ["x", "past_flow", "past_price"], "horizon")
+
+
+# Two regressors have a closed form.
+PAIR = """cells AS (
+  SELECT series, ticker, report_date, horizon, signal, x, y, past_flow FROM controls
+  UNPIVOT (x FOR signal IN (chg1, chg4, crowd)) WHERE x IS NOT NULL), m AS (
+  SELECT series, ticker, horizon, signal, count(*) AS n, avg(x) mx, avg(past_flow) mf, avg(y) my,
+    coalesce(nullif(stddev_pop(x), 0), 1) sx, coalesce(nullif(stddev_pop(past_flow), 0), 1) sf, coalesce(nullif(stddev_pop(y), 0), 1) sy
+  FROM cells GROUP BY ALL), z AS (
+  SELECT c.series, c.ticker, c.horizon, c.signal, report_date, n, (x - mx) / sx AS a, (past_flow - mf) / sf AS b, (y - my) / sy AS w
+  FROM cells c JOIN m USING (series, ticker, horizon, signal) WHERE n >= 100), g AS (
+  SELECT series, ticker, horizon, signal, avg(a*a) aa, avg(a*b) ab, avg(b*b) bb, avg(a*w) aw, avg(b*w) bw FROM z GROUP BY ALL), beta AS (
+  SELECT *, aa*bb - ab*ab AS det, (bb*aw - ab*bw) / (aa*bb - ab*ab) AS b1, (aa*bw - ab*aw) / (aa*bb - ab*ab) AS b2 FROM g), q AS (
+  SELECT z.series, z.ticker, z.horizon, z.signal, n, b1, b2,
+    row_number() OVER (PARTITION BY z.series, z.ticker, z.horizon, z.signal ORDER BY report_date) AS t,
+    (w-b1*a-b2*b)*(bb*a-ab*b)/det/n q1, (w-b1*a-b2*b)*(aa*b-ab*a)/det/n q2 FROM z JOIN beta USING (series, ticker, horizon, signal)), v AS (
+  SELECT p.series, p.ticker, p.horizon, p.signal, any_value(p.n) AS n, any_value(p.b1) b1, any_value(p.b2) b2,
+    sum(CASE WHEN p.t = r.t THEN 1.0 ELSE 2.0 * (1.0 - (p.t - r.t) / (p.horizon + 1.0)) END * p.q1 * r.q1) v1,
+    sum(CASE WHEN p.t = r.t THEN 1.0 ELSE 2.0 * (1.0 - (p.t - r.t) / (p.horizon + 1.0)) END * p.q2 * r.q2) v2
+  FROM q p JOIN q r ON p.series = r.series AND p.ticker = r.ticker AND p.horizon = r.horizon AND p.signal = r.signal
+    AND p.t - r.t BETWEEN 0 AND p.horizon GROUP BY ALL)"""
+
+
+@query("ols_hac_regressors", "series ticker horizon:i signal n:i coef_x:n coef_past_flow:n t_x:n t_past_flow:n",
+       POSITIONS, DAILY_PRICE, FX_DAILY, SIGNALS, CONTROLS, PAIR, """result AS (
+  SELECT series, ticker, horizon, signal, n, b1 AS coef_x, b2 AS coef_past_flow, CASE WHEN v1 > 0 THEN b1 / sqrt(v1) END AS t_x,
+    CASE WHEN v2 > 0 THEN b2 / sqrt(v2) END AS t_past_flow FROM v)""")
+def ols_hac_regressors(spark, sf):
+    """The signal beside one control."""
+    rows = (controls(spark, sf).unpivot(["series", "ticker", "report_date", "horizon", "y", "past_flow"], ["chg1", "chg4", "crowd"], "signal", "x")
+            .where(F.col("x").isNotNull()))
+    return stats.ols_hac_cells(rows, ["series", "ticker", "horizon", "signal"], "report_date", "y", ["x", "past_flow"], "horizon")

@@ -343,6 +343,39 @@ def test_week_ending(spark):
     assert r["d"] == dt.date(2026, 9, 27)
 
 
+@pytest.mark.parametrize("backward,gap", [(False, None), (False, 3), (True, None), (True, 3)])
+def test_asof_sweep_equals_brute_force(spark, backward, gap):
+    rng = random.Random(12)
+    day = lambda i: D0 + dt.timedelta(days=i)
+    obs = [(rng.choice("ab"), day(rng.randint(0, 60)), float(rng.randint(0, 9))) for _ in range(25)] + [("a", None, 1.0)]
+    left = [(i, rng.choice("abc"), day(rng.randint(-5, 70))) for i in range(80)] + [(80 + i, "a", day(30)) for i in range(40)] + [(200, "a", None)]
+    got = asof.asof_sweep(spark.createDataFrame(left, "i int, k string, day date"), spark.createDataFrame(obs, "k string, d date, v double"),
+                          ["k"], "day", "d", "v", "p", backward, gap).collect()
+    assert len(got) == len(left)
+    for r in got:
+        ahead = [(d, v) for k, d, v in obs if k == r["k"] and d and r["day"] and (d <= r["day"] if backward else d >= r["day"])]
+        best = max(d for d, _ in ahead) if ahead and backward else min(d for d, _ in ahead) if ahead else None
+        if best is None or (gap is not None and abs((best - r["day"]).days) > gap):
+            assert r["p_date"] is None and r["p_value"] is None
+        else:
+            assert (r["p_date"], r["p_value"]) == (best, min(v for d, v in ahead if d == best))
+
+
+def test_overlap_counts_equal_brute_force(spark):
+    rng = random.Random(13)
+    day = lambda i: D0 + dt.timedelta(days=i)
+    spans = [(rng.choice(["x", "y", None]), day(a := rng.randint(0, 90)), day(a + rng.randint(-2, 30))) for _ in range(200)] + [("x", day(1), None)]
+    events = [(i, day(a := rng.randint(-10, 100)), day(a + rng.randint(0, 12))) for i in range(40)]
+    got = asof.overlap_counts(spark.createDataFrame(events, "e int, s date, t date"), spark.createDataFrame(spans, "k string, a date, b date"),
+                              ("s", "t"), ("a", "b"), ["k"]).collect()
+    want = {}
+    for e, s, t in events:
+        for k, a, b in spans:
+            if b and a <= b and a <= t and b >= s:
+                want[(k, e)] = want.get((k, e), 0) + 1
+    assert {(r["k"], r["e"]): r["n"] for r in got} == want
+
+
 # --- Growth tables -------------------------------------------------------------------------
 
 def test_several_grains_from_one_scan(spark):

@@ -101,6 +101,36 @@ def test_ols_recovers_known_slopes_and_hac_t(spark):
 
 # --- Screening --------------------------------------------------------------------------
 
+@pytest.mark.parametrize("k", [2, 3, 5])
+def test_ols_of_any_number_of_regressors(spark, k):
+    rng, n = np.random.default_rng(k), 160
+    x = rng.normal(size=(k, n))
+    x[-1] += 0.8 * x[0]
+    y = x.T @ np.arange(1, k + 1) + rng.normal(size=n)
+    names = [f"x{i}" for i in range(k)]
+    schema = "k string, h int, d date, y double, " + ", ".join(f"{c} double" for c in names)
+    row = lambda name, i, values: (name, 2, D0 + dt.timedelta(days=7 * i), float(y[i]), *map(float, values))
+    rows = [row("good", i, x[:, i]) for i in range(n)]
+    rows += [row("double", i, [*x[:-1, i], 2 * x[0, i]]) for i in range(n)] + [row("still", i, [*x[:-1, i], 7.0]) for i in range(n)]
+    rows += [row("short", i, x[:, i]) for i in range(99)]
+    got = {r["k"]: r for r in stats.ols_hac_cells(spark.createDataFrame(rows, schema), ["k", "h"], "d", "y", names, "h").collect()}
+    assert set(got) == {"good", "double", "still"}
+    for bad in ("double", "still"):
+        assert got[bad]["n"] == n and all(got[bad][f"{w}_{c}"] is None for w in ("coef", "t") for c in names)
+    z = lambda v: (v - v.mean()) / v.std()
+    X = np.column_stack([np.ones(n), *map(z, x)])
+    inv = np.linalg.inv(X.T @ X)
+    beta = inv @ X.T @ z(y)
+    u = X * (z(y) - X @ beta)[:, None]
+    s = u.T @ u
+    for lag in (1, 2):
+        g = u[lag:].T @ u[:-lag]
+        s += (1 - lag / 3) * (g + g.T)
+    t = beta / np.sqrt(np.diag(inv @ s @ inv))
+    assert [got["good"][f"coef_{c}"] for c in names] == pytest.approx(list(beta[1:]))
+    assert [got["good"][f"t_{c}"] for c in names] == pytest.approx(list(t[1:]), rel=1e-6)
+
+
 def test_liquidity_gate(spark):
     df = spark.createDataFrame([("n", D0 + dt.timedelta(days=i), v) for i, v in ((0, 100.0), (5, 300.0), (29, 500.0), (100, 20.0))], "n string, d date, v double")
     got = S.liquidity_gate(df, "n", "d", "v", 100.0, days=90).orderBy("d").collect()
