@@ -149,10 +149,10 @@ def overlap_counts(events: DataFrame, spans: DataFrame, event_span: tuple[str, s
     ends = F.array(F.named_struct(*at(begin, "_s", F.lit(1)), F.lit("_e"), F.lit(0)),
                    F.named_struct(*at(end, "_s", F.lit(0)), F.lit("_e"), F.lit(1)))
     marks = spans.where(begin <= end).select(*by, F.inline(ends)).groupBy(*by, "day").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e"))
-    keys = marks.select(F.collect_set(F.struct(F.lit(0).alias("_"), *by))).scalar()
+    keys = marks.select(F.collect_set(F.struct(*by))).scalar() if by else None
     first, last = (F.col(c) for c in event_span)
     asks = F.array(F.named_struct(*at(last, "_till", F.lit(True))), F.named_struct(*at(F.date_sub(first, 1), "_till", F.lit(False))))
-    asked = events.where(first <= last).select(F.struct("*").alias("_event"), asks.alias("_asks"), F.explode(keys).alias("_key"))
+    asked = events.where(first <= last).select(F.struct("*").alias("_event"), asks.alias("_asks"), *([F.explode(keys).alias("_key")] if by else []))
     asked = asked.select(*[F.col(f"_key.{b}").alias(b) for b in by], "_event", F.inline("_asks"))
     line = marks.unionByName(asked, allowMissingColumns=True)
     upto = Window.partitionBy(*by).orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)

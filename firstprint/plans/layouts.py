@@ -8,7 +8,7 @@ from firstprint.functions.staging import once
 from firstprint.operators import reshape as R
 from firstprint.plans.registry import query
 from firstprint.plans.tables import FX_DAILY, fx_daily, money, table
-from firstprint.session import scratch_dir
+from firstprint.session import scratch_dir, spread
 from firstprint.sources import delimited as DL, fields as FD, jsons as J, pages as PG, xmls as XM
 
 
@@ -55,10 +55,11 @@ def preamble_csv(spark, sf):
                     day(F.date_add(first, 1), "yyyy-MM-dd"), F.lit(",1,"), F.col("l_quantity"), F.lit("\r\n"),
                     day(first, "MM/dd/yyyy"), F.lit(",2,"), F.col("l_quantity") + 1, F.lit("\n"))
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    files = table(spark, sf, "lineitem").select(*keys, body.alias("body"))
+    files = spread(table(spark, sf, "lineitem").select(*keys, "l_shipdate", "l_quantity")).select(*keys, body.alias("body"))
     rows = DL.preamble_rows(files, "body", "date", "tonne", keep=keys)
-    rows = once(rows, [*keys, "line"], date=parse_any_date(DL.cell("header", "cells", "date")),
-                tonnes=parse_number(DL.cell("header", "cells", lambda h: h.contains("tonne"))))
+    rows = once(rows, [*keys, "line"], _date=DL.cell("header", "cells", "date"),
+                _tonnes=DL.cell("header", "cells", lambda h: h.contains("tonne")))
+    rows = once(rows, [*keys, "line"], date=parse_any_date("_date"), tonnes=parse_number("_tonnes"))
     return DL.last_per_date(rows.where(F.col("tonnes") > 0), keys, "date", "line")
 
 
@@ -94,7 +95,8 @@ def json_header_rows(spark, sf):
         F.array(text("l_suppkey"), nothing, money("l_extendedprice").cast("string"), text("l_quantity")),
         F.array(F.lit("X1"), F.lit("0"), nothing, text("l_linenumber")),
         F.array(F.lit("9999"), F.lit("0"), F.lit("0"), F.lit("0"))))
-    payloads = table(spark, sf, "lineitem").select("l_returnflag", body.alias("body"))
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_suppkey", "l_extendedprice", "l_quantity", "l_linenumber")
+    payloads = spread(lines).select("l_returnflag", body.alias("body"))
     rows = J.trade_records(J.header_rows(payloads, "body", ["l_returnflag"]), "CTY_CODE", ["GEN_VAL_MO", "ALL_VAL_MO"],
                            ["GEN_QY1_MO", "QTY_1_MO"], ["l_returnflag"])
     return rows.groupBy("l_returnflag", "cty_code").agg(
@@ -271,7 +273,8 @@ def paired_columns_to_long(spark, sf):
     kinds = words("", "金額", "数量", "金額", "数量", "金額")
     cells = F.array(F.lit("1998/01"), *[F.col(c).cast("string") for c in
                                         ("l_extendedprice", "l_linenumber", "l_quantity", "l_discount", "l_tax")])
-    return R.paired_columns_to_long(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], cells, names, kinds)
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    return R.paired_columns_to_long(spread(lines), ["l_orderkey", "l_linenumber"], cells, names, kinds)
 
 
 @query("windows_to_long", "yyyymm window is_total:b name value:n", """detail AS (

@@ -8,6 +8,7 @@ from firstprint.functions import text as X
 from firstprint.operators import filings as FL, news as N
 from firstprint.plans.registry import query
 from firstprint.plans.tables import HEADLINES, headlines, table
+from firstprint.session import spread
 
 SEARCHES = ["lang_en", "lang_fr", "lang_de", "lang_es", "long", "the"]
 THROUGH = dt.date(2024, 7, 20)
@@ -87,7 +88,8 @@ def loudness_band(spark, sf):
        """result AS (SELECT *, CASE WHEN len(dirs) = 1 THEN dirs[1] WHEN len(dirs) > 1 THEN 'mixed' ELSE '' END
   AS direction FROM labelled)""")
 def multi_label_tags(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.headline_tags("text", TAGS).alias("t")).select("doc_id", "t.*")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", X.headline_tags("text", TAGS).alias("t")).select("doc_id", "t.*")
 
 
 @query("relevance_filter", "doc_id:i source lang", f"""result AS (
@@ -203,7 +205,7 @@ def phrase_entity_match(spark, sf):
     first = part.select(F.split("entity", " ")[0].alias("entity"))
     bench = table(spark, sf, "benchmark").select(F.col("text").alias("entity"))
     names = part.union(first).union(bench).distinct().withColumn("phrase", F.col("entity"))
-    return N.phrase_entity_match(table(spark, sf, "documents"), "doc_id", "text", names, "entity", "phrase")
+    return N.phrase_entity_match(spread(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text", names, "entity", "phrase")
 
 
 # --- Filings --------------------------------------------------------------------------

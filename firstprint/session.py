@@ -38,6 +38,19 @@ def local_session(app: str = "firstprint", cpus: int = 8, memory: str = "8g") ->
     return spark
 
 
+SCAN_PIECES = "firstprint.scan.pieces"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt into as many tasks as the session's `firstprint.scan.pieces` says; as they are if it is not set.
+
+    For costly parsing of files that Spark cannot split, such as one row group. Nothing is measured: whoever knows their
+    files sets it.
+    """
+    pieces = df.sparkSession.conf.get(SCAN_PIECES, None)
+    return df.repartition(int(pieces)) if pieces else df
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 

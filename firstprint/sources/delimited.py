@@ -69,7 +69,8 @@ def preamble_rows(df: DataFrame, body: str, header_start: str, header_word: str
     def cells(line):
         """Cells of one line; quoted ones may hold commas and doubled quotes."""
         found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',(\s*"(?:[^"]|"")*"\s*(?=,|$)|[^,]*)'), F.lit(1))
-        return F.transform(found, lambda c: F.trim(F.replace(F.regexp_replace(F.trim(c), '^"|"$', ""), F.lit('""'), F.lit('"'))))
+        quoted = F.transform(found, lambda c: F.trim(F.replace(F.regexp_replace(F.trim(c), '^"|"$', ""), F.lit('""'), F.lit('"'))))
+        return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.transform(F.split(line, ","), lambda c: F.trim(c)))
 
     def is_header(line):
         low = F.lower(F.ltrim(F.regexp_replace(line, '^[﻿"]+', "")))

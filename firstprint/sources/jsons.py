@@ -43,13 +43,21 @@ def header_rows(df: DataFrame, body: str, keep: list[str] = ()) -> DataFrame:
     staged = once(df, keep, _t=table)
     head = F.get("_t", F.lit(0))
 
-    def as_map(row):
-        width = F.least(F.size(row), F.size(head))
-        values = F.transform(F.slice(row, 1, width), lambda v: F.coalesce(v, F.lit("")))
-        names = F.slice(head, 1, width)
-        last = F.filter(F.sequence(F.lit(0), F.greatest(width, F.lit(1)) - 1), lambda i: (i < width) & ~F.array_contains(
+    def last_of_name(names):
+        """The places whose name does not come again."""
+        return F.filter(F.sequence(F.lit(0), F.greatest(F.size(names), F.lit(1)) - 1), lambda i: (i < F.size(names)) & ~F.array_contains(
             F.slice(names, i + 2, F.size(names)), F.get(names, i)))
-        return F.map_from_arrays(F.transform(last, lambda i: F.get(names, i)), F.transform(last, lambda i: F.get(values, i)))
+
+    # The header is read once for a payload; only a row that is shorter has to look for itself.
+    staged = once(staged, [*keep, "_t"], _head=head)
+    staged = once(staged, [*keep, "_t", "_head"], _places=last_of_name(F.col("_head")))
+    staged = once(staged, [*keep, "_t", "_head", "_places"], _names=F.transform("_places", lambda i: F.get("_head", i)))
+
+    def as_map(row):
+        values = lambda places: F.transform(places, lambda i: F.coalesce(F.get(row, i), F.lit("")))
+        short = last_of_name(F.slice("_head", 1, F.size(row)))
+        return F.when(F.size(row) >= F.size("_head"), F.map_from_arrays("_names", values(F.col("_places")))).otherwise(
+            F.map_from_arrays(F.transform(short, lambda i: F.get("_head", i)), values(short)))
 
     body_rows = F.transform(F.slice("_t", 2, F.size("_t")), as_map)
     return staged.select(*keep, F.posexplode(body_rows).alias("position", "fields"))
@@ -57,11 +65,15 @@ def header_rows(df: DataFrame, body: str, keep: list[str] = ()) -> DataFrame:
 
 def trade_records(rows: DataFrame, code: str, value: list[str], quantity: list[str],
                   keep: list[str] = ()) -> DataFrame:
-    """Partner rows of a header-row payload; rows without a trade carry nothing."""
+    """Partner rows of a header-row payload; rows without a trade carry nothing.
+
+    extra_json holds the whole record; a query that does not use it does not build it.
+    """
     f = F.col("fields")
-    out = once(rows, [*keep, "position"], cty_code=first_present_key(f, [code]),
-               value=parse_number(first_present_key(f, value)), qty1=parse_number(first_present_key(f, quantity)),
-               extra_json=map_json(f))
+    out = once(rows, [*keep, "position", "fields"], cty_code=first_present_key(f, [code]),
+               _value=first_present_key(f, value), _qty1=first_present_key(f, quantity))
+    out = once(out, [*keep, "position", "fields", "cty_code"], value=parse_number(F.col("_value")), qty1=parse_number(F.col("_qty1")))
+    out = out.select(*keep, "position", "cty_code", "value", "qty1", map_json(f).alias("extra_json"))
     traded = (F.col("value") != 0) | (F.coalesce(F.col("qty1"), F.lit(0.0)) != 0)
     return out.where((F.col("cty_code") != "") & F.col("value").isNotNull() & traded)
 
