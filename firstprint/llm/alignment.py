@@ -16,7 +16,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -28,6 +28,7 @@ from firstprint.session import materialize
 
 # Pairs of ids that are sent to every task: the commonest ones. All other pairs are counted by a join.
 COMMON_PAIRS = 65_536
+TOGETHER = 500_000  # characters of text whose words are looked up together
 
 SPACE = "▁"
 LETTER, SIGN = "[A-Za-zÀ-ÖØ-öø-ÿ]", r"[!-&(-/:-@\[-`{-~]"  # the apostrophe starts words of its own, so it is no sign here
@@ -111,6 +112,11 @@ class Aligner:
         all_b = [ids if s[0] == " " else ids[self.ahead:] for s, ids in zip(stretches, all_b)]
         spoken = [s.encode("utf-8", "surrogatepass") for s in stretches]
         spelled_a, spelled_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        joined = lambda spelled, lists: b"".join(map(spelled, chain.from_iterable(lists)))
+        if all(all_a) and all(all_b) and joined(spelled_a, all_a) == b"".join(spoken) == joined(spelled_b, all_b):
+            ends = np.cumsum(list(map(len, spoken)))  # nearly always all are good, and seen to be so at once
+            if all(np.array_equal(ends_of(lists, sizes), ends) for lists, sizes in ((all_a, self.a_sizes), (all_b, self.b_sizes))):
+                return self._aligned(all_a, all_b)
         good = [b"".join(map(spelled_a, a)) == s == b"".join(map(spelled_b, b)) for s, a, b in zip(spoken, all_a, all_b)]
         aligned = iter(self._aligned([a for a, ok in zip(all_a, good) if ok], [b for b, ok in zip(all_b, good) if ok]))
         return [next(aligned) if ok else None for ok in good]
@@ -142,6 +148,12 @@ class Aligner:
         return found
 
 
+def ends_of(lists: list[list[int]], sizes: np.ndarray) -> np.ndarray:
+    """Where each list of ids ends, in bytes."""
+    ends = np.cumsum(sizes[list(chain.from_iterable(lists))])
+    return ends[np.cumsum(list(map(len, lists))) - 1]
+
+
 def merging(byte_bpe_file: str, spelled: dict[int, bytes]) -> Callable[[str], list[int]] | None:
     """The file's merges for a text that is one word to it, without splitting; None if its ids are not in order of merging."""
     import tiktoken
@@ -209,17 +221,29 @@ def alignments(byte_bpe_file: str, piece_file: str) -> Alignments:
     return Alignments(Aligner(byte_bpe_file, piece_file))
 
 
+NOTHING = (0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def align_texts(texts: list[str | None], known: Alignments) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
+    """For each text n_a, n_b, n_groups, n_links, the digest of the groups, the linked pairs and how often each is linked.
+
+    The words of all the texts are looked up together. B takes SPACE for a space, so a text with that sign has no tokens.
+    """
+    cut = [known.aligner.words(text) if text and SPACE not in text else [] for text in texts]
+    found = known.words.of(set().union(*cut))
+    return [measured(words, found) if words else NOTHING for words in cut]
+
+
 def align_text(text: str | None, known: Alignments) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
-    """n_a, n_b, n_groups, n_links, the digest of the groups, the linked pairs and how often each is linked."""
-    nothing = (0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))
-    if not text or SPACE in text:  # B takes that sign for a space, so its bytes differ
-        return nothing
-    words = known.aligner.words(text)
+    return align_texts([text], known)[0]
+
+
+def measured(words: list[str], found: dict[str, Aligned | None]) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
+    """The measures of a text from the alignments of its words."""
     times = Counter(words)
-    found = known.words.of(times)
     different = [found[word] for word in times]
     if None in different:
-        return nothing
+        return NOTHING
     n = np.fromiter(times.values(), np.int64, len(times))
     sizes = np.array([one[:3] for one in different], np.int64)
     a, b, together = (n @ sizes).tolist()
@@ -235,8 +259,10 @@ def aligned_texts(texts: DataFrame, byte_bpe_file: str, piece_file: str) -> Data
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = alignments(byte_bpe_file, piece_file)
         for batch in batches:
-            rows = [(key, copies, *align_text(text, known))
-                    for key, text, copies in zip(batch["text_key"], batch["text"], batch["copies"])]
+            texts = batch["text"].tolist()
+            piece = (np.cumsum([len(text) for text in texts]) // TOGETHER).tolist()  # long texts go alone
+            aligned = [one for _, group in groupby(zip(piece, texts), lambda x: x[0]) for one in align_texts([text for _, text in group], known)]
+            rows = [(key, copies, *one) for key, copies, one in zip(batch["text_key"], batch["copies"], aligned)]
             yield frame("text_key copies n_a n_b n_groups n_links groups_sha256 pairs times", rows)
 
     kinds = ("text_key binary, copies bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string,"
