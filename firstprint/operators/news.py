@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from firstprint.functions.periods import week_ending_sunday
 from firstprint.functions.staging import once
@@ -71,6 +71,10 @@ def notable(df: DataFrame, date: str, story: str, since, extreme: str, banks: st
 
 # --- Entities named in headlines ------------------------------------------------
 
+# Names that travel whole to every task: at most so many rows, and so many bytes of names and entities.
+AUTOMATON_ROWS = 200_000
+AUTOMATON_BYTES = 16 << 20
+
 _ATOM = r"[a-z0-9]+|[^a-z0-9\s]"
 
 
@@ -79,8 +83,87 @@ def _atoms(text: Column) -> Column:
 
 
 def phrase_entity_match(headlines: DataFrame, story: str, title: str, entities: DataFrame,
-                        entity: str, phrase: str) -> DataFrame:
-    """(story, entity) pairs where a name stands in the title as a whole word.
+                        entity: str, phrase: str, most_rows: int = AUTOMATON_ROWS,
+                        most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+    """(story, entity) pairs where a name stands in the title as a whole word, in either case.
+
+    Counting the names is a small job while planning. As long as they fit the
+    two bounds they are sent to every task as one automaton, which reads each
+    title once for all names together; a larger set of names is joined
+    (`phrase_entity_join`). Both give the same rows: one per (story, entity).
+    Null titles, null entities and names without a visible character match nothing.
+    """
+    names = (entities.select(F.col(entity).alias("entity"), F.col(phrase).cast("string").alias("phrase"))
+             .where(F.col("entity").isNotNull() & F.rlike("phrase", F.lit(r"\S"))).distinct())
+    size = names.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(
+        F.octet_length("phrase") + F.octet_length(F.col("entity").cast("string"))), F.lit(0)).alias("bytes")).first()
+    if size["n"] > most_rows or size["bytes"] > most_bytes:
+        return phrase_entity_join(headlines, story, title, names.withColumnsRenamed({"entity": entity, "phrase": phrase}),
+                                  entity, phrase)
+    known = headlines.sparkSession.sparkContext.broadcast([tuple(r) for r in names.collect()])
+    schema = T.StructType([headlines.schema[story], T.StructField(entity, entities.schema[entity].dataType)])
+    found = headlines.select(story, F.col(title).cast("string")).mapInArrow(_reader(known, schema), schema)
+    return found.distinct()
+
+
+def folded(text: str) -> str:
+    """Lower case with one character for one, so places in the text stay where they are."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(l if len(l := c.lower()) == 1 else c for c in text)
+
+
+_WORD_SIGNS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def _automaton(names: list[tuple]):
+    """All names in one automaton; each end state knows its length and the entities so called."""
+    import ahocorasick
+
+    called: dict[str, set] = {}
+    for owner, name in names:
+        called.setdefault(folded(name), set()).add(owner)
+    automaton = ahocorasick.Automaton()
+    for place, (name, owners) in enumerate(called.items()):
+        automaton.add_word(name, (place, len(name), tuple(owners)))
+    automaton.make_automaton()
+    return automaton
+
+
+def entities_in(text: str, automaton) -> set:
+    """The entities whose names stand in the text as whole words."""
+    text, out, done = folded(text), set(), set()
+    for end, (place, length, owners) in automaton.iter(text):
+        if place in done:
+            continue
+        start = end - length + 1
+        if (start and text[start - 1] in _WORD_SIGNS) or (end + 1 < len(text) and text[end + 1] in _WORD_SIGNS):
+            continue
+        done.add(place)
+        out.update(owners)
+    return out
+
+
+def _reader(known, schema: T.StructType):
+    """The task's side: the automaton is built once a task and reads batch after batch."""
+    def read(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target, automaton = to_arrow_schema(schema), _automaton(known.value)
+        for batch in batches:
+            rows, owners = [], []
+            for row, text in enumerate(batch.column(1) if len(automaton) else ()):
+                for owner in entities_in(text.as_py(), automaton) if text.is_valid else ():
+                    rows.append(row)
+                    owners.append(owner)
+            stories = batch.column(0).take(pa.array(rows, pa.int64())).cast(target.field(0).type)
+            yield pa.RecordBatch.from_arrays([stories, pa.array(owners, target.field(1).type)], schema=target)
+    return read
+
+
+def phrase_entity_join(headlines: DataFrame, story: str, title: str, entities: DataFrame,
+                       entity: str, phrase: str) -> DataFrame:
+    """The same pairs for any number of names, as a join.
 
     Titles and names are cut into words and single signs. A name is keyed by
     its first two of them (or its only one), so finding candidates is an

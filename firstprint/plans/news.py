@@ -208,6 +208,29 @@ def phrase_entity_match(spark, sf):
     return N.phrase_entity_match(spread(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text", names, "entity", "phrase")
 
 
+@query("phrase_entity_symbols", "doc_id:i entity", """listed AS (
+  SELECT DISTINCT p_name AS entity, split_part(p_name, ' ', 1) AS alias, substr(p_type, 1, 1 + p_size % 4) AS symbol FROM part
+  UNION SELECT split_part(text, ' ', 1), array_to_string(string_split(text, ' ')[1:3], ' '), nullif(split_part(text, ' ', 2), '')
+  FROM benchmark WHERE text IS NOT NULL), names AS (
+  SELECT entity, entity AS phrase FROM listed UNION SELECT entity, alias FROM listed
+  UNION SELECT entity, symbol FROM listed WHERE length(symbol) >= 3),
+  phrases AS (SELECT DISTINCT phrase FROM names WHERE length(trim(phrase)) > 0), hits AS (
+  SELECT doc_id, phrase FROM documents JOIN phrases ON contains(lower(text), lower(phrase))
+  WHERE regexp_matches(text, '(?i)(^|[^A-Za-z0-9])' || regexp_escape(phrase) || '($|[^A-Za-z0-9])'))""", """result AS (
+  SELECT DISTINCT doc_id, entity FROM hits JOIN names USING (phrase))""")
+def phrase_entity_symbols(spark, sf):
+    """Entities with a name, an alias and a symbol; symbols under three letters are not looked for."""
+    words = F.split("text", " ")
+    part = table(spark, sf, "part").select(
+        F.col("p_name").alias("entity"), F.array(F.split("p_name", " ")[0]).alias("aliases"),
+        F.substring(F.col("p_type"), F.lit(1), 1 + F.col("p_size") % 4).alias("symbol"))
+    items = table(spark, sf, "benchmark").where(F.col("text").isNotNull()).select(
+        words[0], F.array(F.concat_ws(" ", F.slice(words, 1, 3))), F.get(words, F.lit(1)))
+    phrases = N.entity_phrases(part.union(items).distinct(), "entity", "entity", "aliases", "symbol")
+    return N.phrase_entity_match(spread(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text", phrases,
+                                 "entity", "phrase")
+
+
 # --- Filings --------------------------------------------------------------------------
 
 @query("entity_any_id", "o_orderkey:i entity_code entity_name topics", """watch AS (

@@ -46,6 +46,17 @@ def test_entities_match_whole_words_only(spark):
     assert sorted(map(tuple, got.collect())) == [(0, "f"), (1, "f"), (3, "t"), (4, "y"), (5, "h")]
 
 
+def test_names_by_automaton_and_by_join_agree(spark):
+    texts = ["Hon Hai, hon  hai; HON HAI", None, "", "x" * 50_000 + " AT&T " + "y" * 50_000, "ⅷ AT&T's (AT&T)", "atatata", "a ta", "İsAT&T İ ta"]
+    news = spark.createDataFrame([(i % 7, t, "x") for i, t in enumerate(texts)], "story int, title string, phrase string")
+    ents = spark.createDataFrame([("h", "Hon Hai"), ("h", "hon hai"), ("t", "AT&T"), ("u", "at&t"), (None, "AT&T"), ("v", None), ("w", ""),
+                                  ("w", "  "), ("x", "ta"), ("y", "atata"), ("z", "a.")], "e string, phrase string")
+    way = lambda **bounds: sorted(map(tuple, N.phrase_entity_match(news, "story", "title", ents, "e", "phrase", **bounds).collect()))
+    assert way() == way(most_rows=3) == way(most_bytes=20)
+    assert way() == [(0, "h"), (0, "x"), (3, "t"), (3, "u"), (4, "t"), (4, "u"), (6, "x")]
+    assert N.phrase_entity_match(news, "story", "title", ents.limit(0), "e", "phrase").count() == 0
+
+
 def test_watched_filer_or_subject(spark):
     docs = spark.createDataFrame([("d1", "7220", "", ""), ("d2", "9999", "E1", "E02"), ("d3", "1", "", None)],
                                  "doc string, sec string, filer string, subject string")
