@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from firstprint.operators.growth import top_n_per_group
 
@@ -95,3 +95,22 @@ def intel_flags(rows: DataFrame, yoy: Column, value: Column, is_origin: Column,
     return (rows.where(material & ~duplicate)
             .withColumn("_f", F.explode(F.array_compact(F.array(moved, shifted))))
             .withColumn("kind", F.col("_f.kind")).withColumn("detail", F.col("_f.detail")).drop("_f"))
+
+
+def ranked_flags(rows: DataFrame, sources: list[str], origin: str, total_code: str = "-") -> DataFrame:
+    """Flags among new headline rows of several sources, in reading order.
+
+    Rows have source, period, code, `origin`, value, yoy_pct, yoy_published, share_pct, prior_share and repeats: growth that
+    was published stands in where a store has no year-ago value, and a series that only repeats another one is skipped, so a
+    move is flagged once. Only rows of an origin (any but `total_code`, and not NULL) need be material. `source_order` is the
+    place of the source in `sources`, `place` counts within (source, period) by size of value, largest first; a flag for
+    growth comes before one for a share.
+    """
+    is_origin = F.coalesce(F.col(origin), F.lit(total_code)) != total_code
+    flags = intel_flags(rows, F.coalesce("yoy_pct", "yoy_published"), F.col("value"), is_origin, F.col("share_pct"), F.col("prior_share"),
+                        F.coalesce(F.col("repeats"), F.lit(False)))
+    order = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source"))
+    size = F.abs(F.coalesce(F.col("value"), F.lit(0.0)))
+    nth = Window.partitionBy("source", "period").orderBy(F.desc(size), "code", origin, F.desc("kind"))
+    return (flags.withColumn("source_order", F.when(order > 0, order).otherwise(len(sources) + 1))
+            .withColumn("place", F.row_number().over(nth)))

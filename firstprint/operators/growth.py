@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from firstprint.functions.numbers import pct_change
 from firstprint.operators.quantiles import exact_median
@@ -111,6 +111,18 @@ def share_of_total(rows: DataFrame, totals: DataFrame, keys: list[str], value: s
     return (rows.join(totals.select(*keys, total), keys, "left").withColumn("share_pct", share))
 
 
+def share_of_total_row(rows: DataFrame, keys: list[str], member: str, value: str, total_member: str = "-",
+                       total: str = "total") -> DataFrame:
+    """The same where the published total is a row among the parts, named `total_member`.
+
+    Parts find it by one window over the rows of their key, so parts and totals are computed and shuffled once. A key has one
+    row per member. Without a total row, or with a zero one, the share is NULL; the total row itself is left out.
+    """
+    stored = F.max(F.when(F.col(member) == total_member, F.col(value))).over(Window.partitionBy(*keys))
+    return (rows.withColumn(total, stored).where(~F.col(member).eqNullSafe(F.lit(total_member)))
+            .withColumn("share_pct", 100.0 * F.try_divide(F.col(value), F.col(total))))
+
+
 def prior_period_share(df: DataFrame, keys: list[str], period: str, share: str) -> DataFrame:
     """Share now beside the share one calendar month earlier."""
     return (with_earlier(df, keys, period, share, 1, f"{share}_prior")
@@ -142,6 +154,11 @@ def latest_and_previous(df: DataFrame, keys: list[str], period: str, window: str
         *[F.max(F.when(F.col("rank") == 2, F.col(c))).alias(f"prev_{c}") for c in fields])
 
 
+def currency_points(yoy: Column, yoy_usd: Column, at_least: float = 3.0) -> Column:
+    """Points of growth that are only a weaker currency, where they are worth a word."""
+    return F.when(yoy - yoy_usd >= at_least, yoy - yoy_usd)
+
+
 def detail_level(df: DataFrame, level: str, detail: str = "DET") -> DataFrame:
     """Only detail rows (and unlabelled ones) if any row is labelled detail."""
     has_detail = df.where(F.col(level) == detail).select(F.lit(1)).exists()

@@ -248,6 +248,38 @@ def lead_times(rows: DataFrame, first: str, recognised: str, price_first: str, p
             .withColumn("move_before", before).withColumn("rerating_done", F.try_divide(before, whole)))
 
 
+def first_dates(df: DataFrame, key: str, date: str, conditions: dict[str, Column]) -> DataFrame:
+    """Date of the first row that meets each condition, one row per key; NULL where none does."""
+    return df.groupBy(key).agg(*[F.min(F.when(met, F.col(date))).alias(name) for name, met in conditions.items()])
+
+
+def recognition_clock(rows: DataFrame, prices: dict[str, str], evidence: str = "t0", monetised: str = "t1",
+                      recognised: str = "t3", revised: str = "t4", rerated: str = "t6") -> DataFrame:
+    """How early an idea was and what is left of it, from its milestones and the prices at three of them.
+
+    `prices` names the price columns of evidence, recognition and rerating. Days from evidence to recognition and from first
+    revenue to revised estimates, log move before recognition, share of the whole move done by then and what was left. An
+    idea was early if nobody had recognised it, or only after its evidence; NULL while there is no evidence. A milestone
+    that has not come, or has no price, leaves what needs it NULL.
+    """
+    at = lambda name: F.col(prices[name])
+    move = lambda a, b: F.ln(F.try_divide(at(b), at(a)))
+    return rows.withColumns({
+        "lead_days": F.date_diff(recognised, evidence), "confirmation_days": F.date_diff(revised, monetised),
+        "move_before": move(evidence, recognised), "rerating_done": F.try_divide(move(evidence, recognised), move(evidence, rerated)),
+        "gap_left": move(recognised, rerated),
+        "early": F.when(F.col(evidence).isNotNull(), F.col(recognised).isNull() | (F.col(recognised) > F.col(evidence)))})
+
+
+def stage_outcomes(stones: DataFrame, names: list[str], success: str) -> DataFrame:
+    """Per milestone: ideas that reached it, those that never came to `success` on that day or later, and their share."""
+    stages = F.explode(F.array(*[F.struct(F.lit(n).alias("milestone"), F.col(n).alias("day")) for n in names])).alias("_s")
+    reached = stones.select(F.col(success).alias("_end"), stages).where(F.col("_s.day").isNotNull())
+    failed = F.count_if(F.col("_end").isNull() | (F.col("_end") < F.col("_s.day")))
+    return (reached.groupBy(F.col("_s.milestone").alias("milestone")).agg(F.count(F.lit(1)).alias("reached"), failed.alias("failed"))
+            .withColumn("false_positive_pct", 100.0 * F.col("failed") / F.col("reached")))
+
+
 def flat_run(df: DataFrame, key: str, order: str, value: str, out: str = "flat_signal") -> DataFrame:
     """True when the value failed to grow at this report and at the one before."""
     w = Window.partitionBy(key).orderBy(order)

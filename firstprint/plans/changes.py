@@ -99,14 +99,68 @@ def change_counts(spark, sf):
   UNION ALL SELECT period, code, origin, 'share', share_pct - prior, value FROM material
   WHERE origin <> '-' AND abs(share_pct - prior) >= 5)""")
 def intel_flags(spark, sf):
+    return D.intel_flags(fresh_origins(spark, sf), F.col("yoy_pct"), F.col("value"), F.col("origin") != "-", F.col("share_pct"),
+                         F.col("prior"), F.lit(False))
+
+
+def fresh_origins(spark, sf):
+    """New headline rows of brands and nations, with the share of the month before."""
     both = facts(spark, sf)
     current = snapshot(both, "now")
     diff = D.snapshot_diff(snapshot(both, "before"), current, ["source", "period", "code", "origin"], "value")
     headline = D.origin_headline(current, ["period", "code"], "origin", "value")
     prior = current.select("code", "origin", F.add_months("period", 1).alias("period"),
                            F.col("share_pct").alias("prior"))
-    fresh = (diff.where(F.col("change") == "new")
-             .join(headline.select("period", "code", "origin"), ["period", "code", "origin"], "left_semi")
-             .join(prior, ["period", "code", "origin"], "left"))
-    return D.intel_flags(fresh, F.col("yoy_pct"), F.col("value"), F.col("origin") != "-", F.col("share_pct"),
-                         F.col("prior"), F.lit(False))
+    return (diff.where(F.col("change") == "new")
+            .join(headline.select("period", "code", "origin"), ["period", "code", "origin"], "left_semi")
+            .join(prior, ["period", "code", "origin"], "left"))
+
+
+# --- Flags of several sources ------------------------------------------------------------
+
+PRESS = """press_rows AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, series || o_orderpriority
+      || CASE WHEN o_orderpriority = '5-LOW' THEN ' ' || year(o_orderdate) ELSE '' END AS code,
+    CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 1000 AS value,
+    100.0 * CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (day(o_orderdate) <= 10), 0) AS DOUBLE) / 1000
+      / nullif(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 1000, 0) AS yoy_published
+  FROM orders, (VALUES ('press:'), ('timeseries:')) t(series) GROUP BY 1, 2), press_new AS (
+  SELECT a.period, a.code, a.value, coalesce((a.value / nullif(b.value, 0) - 1.0) * 100.0, a.yoy_published) AS yoy
+  FROM press_rows a LEFT JOIN press_rows b ON a.code = b.code AND b.period = CAST(a.period - INTERVAL 12 MONTH AS DATE)
+  WHERE a.period >= DATE '2001-03-01' AND NOT starts_with(a.code, 'timeseries:'))"""
+
+
+@query("intel_flags_sources", "source_order:i source period:d place:i code origin kind detail:n value:n", SNAPSHOTS, PRESS, """headline AS (
+  SELECT period, code, origin FROM latest WHERE origin = '-'
+  UNION ALL SELECT period, code, origin FROM latest WHERE origin <> '-'
+  QUALIFY row_number() OVER (PARTITION BY period, code ORDER BY value DESC, origin) <= 6), candidates AS (
+  SELECT c.*, p.share_pct AS prior FROM changed c JOIN headline USING (period, code, origin)
+  LEFT JOIN latest p ON p.code = c.code AND p.origin = c.origin AND p.period = c.period - INTERVAL 1 MONTH
+  WHERE c.change = 'new'), material AS (
+  SELECT * FROM candidates WHERE origin = '-'
+     OR (greatest(coalesce(share_pct, 0), coalesce(prior, 0)) >= 5 AND coalesce(value, 0) >= 5000)), flags AS (
+  SELECT 1 AS source_order, 'press' AS source, period, code, NULL AS origin, 'yoy' AS kind, yoy AS detail, value FROM press_new WHERE abs(yoy) >= 25
+  UNION ALL SELECT 2, 'us', period, code, origin, 'yoy', yoy_pct, value FROM material
+  WHERE abs(yoy_pct) >= CASE WHEN origin = '-' THEN 25 ELSE 50 END
+  UNION ALL SELECT 2, 'us', period, code, origin, 'share', share_pct - prior, value FROM material
+  WHERE origin <> '-' AND abs(share_pct - prior) >= 5)""", """result AS (
+  SELECT *, row_number() OVER (PARTITION BY source, period ORDER BY abs(value) DESC, code, origin, kind DESC) AS place FROM flags)""")
+def intel_flags_sources(spark, sf):
+    """Press prints, of which a long series repeats every one and some have no year-ago value, beside brands and nations."""
+    orders = table(spark, sf, "orders").withColumns({
+        "period": F.trunc("o_orderdate", "month"), "series": F.explode(F.array(F.lit("press:"), F.lit("timeseries:"))),
+        "item": F.concat("o_orderpriority", F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit(" "), F.year("o_orderdate"))).otherwise(""))})
+    thousands = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double") / 1000
+    early = F.when(F.dayofmonth("o_orderdate") <= 10, money("o_totalprice"))
+    prints = (orders.groupBy("period", F.concat("series", "item").alias("code"))
+              .agg(thousands(money("o_totalprice")).alias("value"), thousands(early).alias("_early"))
+              .withColumn("yoy_published", 100.0 * F.try_divide(F.col("_early"), F.col("value"))).drop("_early")
+              .withColumns({"source": F.lit("press"), "origin": F.lit(None).cast("string"),
+                            "repeats": F.startswith("code", F.lit("timeseries:"))}))
+    current = G.yoy_self_join(prints, ["source", "code", "origin", "repeats"])
+    press = D.snapshot_diff(prints.where("period < date '2001-03-01'"), current, ["source", "period", "code", "origin"], "value")
+    none = F.lit(None).cast("double")
+    press = press.where(F.col("change") == "new").withColumns({"share_pct": none, "prior_share": none})
+    origins = fresh_origins(spark, sf).withColumnRenamed("prior", "prior_share").withColumns({"yoy_published": none, "repeats": F.lit(False)})
+    columns = ["source", "period", "code", "origin", "value", "yoy_pct", "yoy_published", "share_pct", "prior_share", "repeats"]
+    return D.ranked_flags(press.select(columns).unionByName(origins.select(columns)), ["press", "us"], "origin")

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from firstprint.operators import diff as D, growth as G, store
+from firstprint.operators import diff as D, fx, growth as G, store
 from firstprint.operators.filings import ordered_cap
 from firstprint.plans.registry import query
-from firstprint.plans.tables import (CODE_TOTALS, ORIGIN_RELEASE, RELEASE, WINDOW_RELEASE, code_totals, money,
-                                     origin_release, release, table, window_release)
+from firstprint.plans.tables import (CODE_TOTALS, DAILY_PRICE, ORIGIN_RELEASE, RELEASE, WINDOW_RELEASE, code_totals, daily_price, money,
+                                     origin_release, origin_rows, release, table, window_release)
 
 YOY = """result AS (
   SELECT a.item, a.period, a.value, b.value AS value_year_ago,
@@ -173,7 +173,7 @@ SHARES = """shares AS (
 
 
 def shares(spark, sf):
-    return G.share_of_total(origin_release(spark, sf), code_totals(spark, sf), ["period", "code"], "value", "total")
+    return G.share_of_total_row(origin_rows(spark, sf), ["period", "code"], "origin", "value")
 
 
 @query("share_of_total", "period:d code origin value:n total:n share_pct:n",
@@ -207,9 +207,7 @@ def top_n_per_group(spark, sf):
     SELECT * FROM both_rows WHERE origin <> '-' AND code IN ('Brand#1', 'Brand#2', 'Brand#12')
     QUALIFY row_number() OVER (PARTITION BY period, code ORDER BY value DESC, origin) <= 6))""")
 def headline_filter(spark, sf):
-    totals = code_totals(spark, sf).select("period", "code", F.lit("-").alias("origin"), F.col("total").alias("value"))
-    rows = origin_release(spark, sf).unionByName(totals)
-    return D.origin_headline(rows, ["period", "code"], "origin", "value", codes=["Brand#1", "Brand#2", "Brand#12"])
+    return D.origin_headline(origin_rows(spark, sf), ["period", "code"], "origin", "value", codes=["Brand#1", "Brand#2", "Brand#12"])
 
 
 @query("headline_predicates", "p_partkey:i total:b token:b", """named AS (
@@ -247,17 +245,14 @@ def headline_predicates(spark, sf):
     AND b.period = a.period - INTERVAL 12 MONTH
   UNION ALL SELECT 'group', "group", period, 'MONTH', sum_now, sum_year_ago, agg_yoy_pct FROM breadth)""")
 def growth_tables(spark, sf):
-    origin = origin_release(spark, sf).select(
+    origin = origin_rows(spark, sf).select(
         F.concat_ws(":", "code", "origin").alias("item"), "period", F.lit("MONTH").alias("window"), "value")
-    totals = code_totals(spark, sf).select(
-        F.concat(F.col("code"), F.lit(":-")).alias("item"), "period", F.lit("MONTH").alias("window"),
-        F.col("total").alias("value"))
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     stage = (table(spark, sf, "lineitem").join(part, "l_partkey")
              .groupBy(F.concat_ws(":", "l_linestatus", "p_type").alias("item"),
                       F.trunc("l_shipdate", "month").alias("period"))
              .agg(F.sum(money("l_extendedprice")).cast("double").alias("value")).withColumn("window", F.lit("MONTH")))
-    keyed = G.tagged_union(flash=window_release(spark, sf), origin=origin.unionByName(totals), stage=stage)
+    keyed = G.tagged_union(flash=window_release(spark, sf), origin=origin, stage=stage)
     grown = G.yoy_self_join(keyed, ["source", "item", "window"])
     groups = breadth(spark, sf).select(
         F.lit("group").alias("source"), F.col("group").alias("item"), "period", F.lit("MONTH").alias("window"),
@@ -277,6 +272,36 @@ def latest_and_previous(spark, sf):
     return G.latest_and_previous(window_release(spark, sf), ["item"], "period", "window", ["value"])
 
 
+GROWN_WINDOWS = """grown AS (
+  SELECT a.*, b.value AS value_year_ago, (a.value / nullif(b.value, 0) - 1.0) * 100.0 AS yoy_pct
+  FROM window_release a LEFT JOIN window_release b ON a.item = b.item AND a."window" = b."window"
+    AND b.period = a.period - INTERVAL 12 MONTH), means AS (
+  SELECT ticker AS quote, CAST(date_trunc('month', date) AS DATE) AS period, w AS "window", avg(price) AS rate
+  FROM daily_price JOIN (VALUES ('D10', 10), ('D20', 20), ('MONTH', 31)) t(w, last) ON day(date) <= last GROUP BY 1, 2, 3)"""
+
+
+@query("latest_growth_points", "item quote period:d window yoy_pct:n yoy_pct_usd:n prev_period:d prev_window prev_yoy_pct:n "
+       "prev_yoy_pct_usd:n currency_points:n", WINDOW_RELEASE, DAILY_PRICE, GROWN_WINDOWS, """ordered AS (
+  SELECT g.item, q.quote, g.period, g."window", g.yoy_pct,
+    ((g.value / n.rate) / nullif(g.value_year_ago / o.rate, 0) - 1.0) * 100.0 AS yoy_pct_usd,
+    row_number() OVER (PARTITION BY g.item, q.quote ORDER BY g.period DESC,
+      CASE g."window" WHEN 'D10' THEN 0 WHEN 'D20' THEN 1 ELSE 2 END DESC) AS rn
+  FROM grown g CROSS JOIN (VALUES ('A'), ('N'), ('R')) q(quote)
+  LEFT JOIN means n ON n.quote = q.quote AND n.period = g.period AND n."window" = g."window"
+  LEFT JOIN means o ON o.quote = q.quote AND o.period = g.period - INTERVAL 12 MONTH AND o."window" = g."window")""", """result AS (
+  SELECT a.*, b.period AS prev_period, b."window" AS prev_window, b.yoy_pct AS prev_yoy_pct, b.yoy_pct_usd AS prev_yoy_pct_usd,
+    CASE WHEN a.yoy_pct - a.yoy_pct_usd >= 3 THEN a.yoy_pct - a.yoy_pct_usd END AS currency_points
+  FROM ordered a LEFT JOIN ordered b ON a.item = b.item AND a.quote = b.quote AND b.rn = 2 WHERE a.rn = 1)""")
+def latest_growth_points(spark, sf):
+    """The newest growth of every item beside the one before it, and how much of it is only the currency of each quote."""
+    quotes = F.explode(F.array(*[F.lit(q) for q in ("A", "N", "R")]))
+    grown = G.yoy_self_join(window_release(spark, sf), ["item", "window"]).withColumn("quote", quotes)
+    rates = daily_price(spark, sf).select(F.col("ticker").alias("quote"), "date", F.col("price").alias("rate"))
+    restated = fx.window_fx_restate(grown, fx.window_mean(rates, ["quote"], "date", "rate"), by=["quote"])
+    two = G.latest_and_previous(restated, ["item", "quote"], "period", "window", ["yoy_pct", "yoy_pct_usd"])
+    return two.withColumn("currency_points", G.currency_points(F.col("yoy_pct"), F.col("yoy_pct_usd")))
+
+
 @query("ordered_cap", "period:d code origin value:n", ORIGIN_RELEASE, """result AS (
   SELECT period, code, origin, value FROM origin_release ORDER BY value DESC, period, code, origin LIMIT 40)""")
 def ordered_cap_query(spark, sf):

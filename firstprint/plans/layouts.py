@@ -222,27 +222,28 @@ def text_field_extract(spark, sf):
 
 # --- Reshape --------------------------------------------------------------------------------
 
-@query("wide_to_long_groups", "week:d trader_group long:n short:n spread:n net:n", """legs AS (
-  SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS week, CASE o_orderpriority WHEN '1-URGENT' THEN 'noncommercial'
-    WHEN '2-HIGH' THEN 'commercial' ELSE 'nonreportable' END AS trader_group, o_orderpriority AS p,
+GROUP_OF = {"1-URGENT": "dealer", "2-HIGH": "asset_manager", "3-MEDIUM": "leveraged_money", "4-NOT SPECIFIED": "other_reportable",
+            "5-LOW": "nonreportable"}
+GROUP_ROWS = ", ".join(f"('{p}', '{g}')" for p, g in GROUP_OF.items())
+
+
+@query("wide_to_long_groups", "week:d trader_group long:n short:n spread:n net:n", f"""legs AS (
+  SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS week, trader_group,
     CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'O') AS DOUBLE) AS long,
     CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'F') AS DOUBLE) AS short,
     CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'P') AS DOUBLE) AS spread
-  FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW') GROUP BY 1, 2, 3)""", """result AS (
-  SELECT week, trader_group, long, short, CASE WHEN p = '1-URGENT' THEN spread END AS spread, round(long - short, 2) AS net
-  FROM legs WHERE long IS NOT NULL AND short IS NOT NULL)""")
+  FROM orders JOIN (VALUES {GROUP_ROWS}) t(p, trader_group) ON o_orderpriority = p GROUP BY 1, 2)""", """result AS (
+  SELECT week, trader_group, long, short, CASE WHEN trader_group <> 'nonreportable' THEN spread END AS spread,
+    round(long - short, 2) AS net FROM legs WHERE long IS NOT NULL AND short IS NOT NULL)""")
 def wide_to_long_groups(spark, sf):
-    """Weekly records with the publisher's wide field names, numbers as text."""
+    """Weekly records with the publisher's wide field names, numbers as text; every priority is a trader group."""
     def cell(priority, status):
         hit = (F.col("o_orderpriority") == priority) & (F.col("o_orderstatus") == status)
         return F.sum(F.when(hit, money("o_totalprice"))).cast("string")
-    named = {"1-URGENT": ("noncomm_positions_long_all", "noncomm_positions_short_all", "noncomm_postions_spread_all"),
-             "2-HIGH": ("comm_positions_long_all", "comm_positions_short_all", None),
-             "5-LOW": ("nonrept_positions_long_all", "nonrept_positions_short_all", None)}
-    cells = [cell(p, s).alias(f) for p, fs in named.items() for f, s in zip(fs, ("O", "F", "P")) if f]
+    groups = R.report_groups("tff_fut")
+    cells = [cell(p, s).alias(f) for p, g in GROUP_OF.items() for f, s in zip(groups[g], ("O", "F", "P")) if f]
     wide = table(spark, sf, "orders").groupBy(F.to_date(F.date_trunc("week", "o_orderdate")).alias("week")).agg(*cells)
-    out = R.wide_to_long_groups(wide, ["week"], R.report_groups("legacy_fut"))
-    return out.withColumn("net", F.round("net", 2))
+    return R.wide_to_long_groups(wide, ["week"], groups).withColumn("net", F.round("net", 2))
 
 
 MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]

@@ -139,6 +139,21 @@ def brier_calibration(spark, sf):
     return S.brier_calibration(rows, ["lang"], "p", "quality")
 
 
+@query("brier_quarterly", "quarter band:n n:i brier:n stated:n realised:n overconfident:b", """forecasts AS (
+  SELECT year(o_orderdate) || '-Q' || quarter(o_orderdate) AS quarter, (CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) % 1000) / 1000.0 AS p,
+    CASE o_orderstatus WHEN 'F' THEN 1 ELSE 0 END AS o FROM orders WHERE o_orderstatus <> 'P')""", """result AS (
+  SELECT quarter, round(least(floor(p / 0.1), 9) * 0.1, 2) AS band, count(*) AS n, avg((p - o) * (p - o)) AS brier,
+         avg(p) AS stated, avg(CAST(o AS DOUBLE)) AS realised, avg(p) > avg(CAST(o AS DOUBLE)) AS overconfident
+  FROM forecasts GROUP BY 1, 2)""")
+def brier_quarterly(spark, sf):
+    """Calibration by quarter of resolution; what is pending has not resolved."""
+    cents = (money("o_totalprice") * 100).cast("bigint")
+    quarter = F.concat(F.year("o_orderdate"), F.lit("-Q"), F.quarter("o_orderdate"))
+    rows = table(spark, sf, "orders").where(F.col("o_orderstatus") != "P").select(
+        quarter.alias("quarter"), (F.pmod(cents, F.lit(1000)) / 1000.0).alias("p"), F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("o"))
+    return S.brier_calibration(rows, ["quarter"], "p", "o")
+
+
 # --- Genealogy ------------------------------------------------------------------------------
 
 def claims(spark, sf):
@@ -312,6 +327,46 @@ def milestone_lead_times(spark, sf):
     return S.lead_times(rows, "t0", "t2", "p_t0_value", "p_t2_value", "p_t6_value")
 
 
+# What stands in for the eight milestones of an idea, by customer.
+STONES = {"t0": "true", "t1": "o_orderpriority = '1-URGENT'", "t2": "o_orderstatus = 'F'", "t3": "o_orderpriority = '2-HIGH'",
+          "t4": "o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P'", "t5": "o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F'",
+          "t6": "o_orderpriority = '5-LOW' AND o_totalprice > 300000", "t7": "o_orderstatus = 'O' AND o_totalprice > 400000"}
+CLOCK = f"""stones AS (SELECT o_custkey AS c_custkey, {', '.join(f"CAST(min(o_orderdate) FILTER ({c}) AS DATE) AS {n}" for n, c in STONES.items())}
+  FROM orders GROUP BY 1)"""
+
+
+def stones(spark, sf):
+    orders = table(spark, sf, "orders").withColumn("day", F.to_date("o_orderdate")).withColumnRenamed("o_custkey", "c_custkey")
+    return S.first_dates(orders, "c_custkey", "day", {name: F.expr(met) for name, met in STONES.items()})
+
+
+@query("recognition_clock", "c_custkey:i ticker t0:d t1:d t2:d t3:d t4:d t5:d t6:d t7:d lead_days:i confirmation_days:i move_before:n "
+       "rerating_done:n gap_left:n early:b", DAILY_PRICE, CLOCK, """next_price AS (
+  SELECT ticker, date - CAST(k AS INTEGER) AS day, arg_min(price, date) AS price
+  FROM daily_price, (SELECT unnest(range(0, 8)) AS k) t GROUP BY 1, 2), priced AS (
+  SELECT s.*, t.ticker, a.price AS p0, b.price AS p3, c.price AS p6 FROM stones s CROSS JOIN (VALUES ('A'), ('N'), ('R')) t(ticker)
+  LEFT JOIN next_price a ON a.ticker = t.ticker AND a.day = t0 LEFT JOIN next_price b ON b.ticker = t.ticker AND b.day = t3
+  LEFT JOIN next_price c ON c.ticker = t.ticker AND c.day = t6)""", """result AS (
+  SELECT *, date_diff('day', t0, t3) AS lead_days, date_diff('day', t1, t4) AS confirmation_days, ln(p3 / p0) AS move_before,
+    ln(p3 / p0) / nullif(ln(p6 / p0), 0) AS rerating_done, ln(p6 / p3) AS gap_left, t3 IS NULL OR t3 > t0 AS early FROM priced)""")
+def recognition_clock(spark, sf):
+    """All eight milestones of every customer against every target."""
+    rows = against_targets(stones(spark, sf))
+    lookup = asof.forward_lookup(prices(spark, sf), ["ticker"], "date", "price")
+    for stone in ("t0", "t3", "t6"):
+        rows = asof.asof_forward(rows, lookup, ["ticker"], stone, f"p_{stone}")
+    return S.recognition_clock(rows, {stone: f"p_{stone}_value" for stone in ("t0", "t3", "t6")})
+
+
+@query("stage_outcomes", "milestone reached:i failed:i false_positive_pct:n", CLOCK, """reached AS (
+  SELECT * FROM stones UNPIVOT (day FOR milestone IN (t0, t1, t2, t3, t4, t5)))""", """result AS (
+  SELECT milestone, count(*) AS reached, count(*) FILTER (t6 IS NULL OR t6 < day) AS failed,
+    100.0 * count(*) FILTER (t6 IS NULL OR t6 < day) / count(*) AS false_positive_pct
+  FROM reached GROUP BY 1)""")
+def stage_outcomes(spark, sf):
+    return S.stage_outcomes(stones(spark, sf), ["t0", "t1", "t2", "t3", "t4", "t5"], "t6")
+
+
 @query("flat_run", "item period:d flat_signal:b", RELEASE, """lagged AS (
   SELECT *, value <= lag(value) OVER w AS f FROM release WINDOW w AS (PARTITION BY item ORDER BY period))""", """result AS (
   SELECT item, period, coalesce(f AND lag(f) OVER (PARTITION BY item ORDER BY period), false) AS flat_signal FROM lagged)""")

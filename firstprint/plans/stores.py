@@ -72,22 +72,22 @@ def dated(spark, sf):
 @query("priority_merge", "day:d source value:n", DATED, """result AS (
   SELECT day, 'primary' AS source, arg_max(value, recency) AS value FROM dated WHERE p IN ('1-URGENT', '2-HIGH') GROUP BY 1
   UNION ALL SELECT day, 'secondary', arg_max(value, recency) FROM dated d
-  WHERE p = '5-LOW' AND year(day) IN (1996, 1997, 2000) AND NOT EXISTS (
+  WHERE p NOT IN ('1-URGENT', '2-HIGH') AND year(day) IN (1996, 1997, 2000) AND NOT EXISTS (
     SELECT 1 FROM dated x WHERE x.day = d.day AND x.p IN ('1-URGENT', '2-HIGH')) GROUP BY 1)""")
 def priority_merge(spark, sf):
     rows = dated(spark, sf)
-    primary = rows.where(F.col("p").isin("1-URGENT", "2-HIGH")).drop("p")
-    secondary = rows.where(F.col("p") == "5-LOW").drop("p")
+    is_primary = F.col("p").isin("1-URGENT", "2-HIGH")
+    primary, secondary = rows.where(is_primary).drop("p"), rows.where(~is_primary).drop("p")
     return K.priority_merge(primary, secondary, ["day"], "day", "recency", [1996, 1997, 2000])
 
 
 @query("entity_fallback", "o_custkey:i o_orderkey:i source", """result AS (
   SELECT o_custkey, o_orderkey, 'primary' AS source FROM orders WHERE o_orderstatus = 'P'
-  UNION ALL SELECT o_custkey, o_orderkey, 'secondary' FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT o_custkey, o_orderkey, 'secondary' FROM orders WHERE o_orderstatus <> 'P'
     AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'))""")
 def entity_fallback(spark, sf):
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
-    return K.entity_fallback(orders.where(F.col("o_orderstatus") == "P"), orders.where(F.col("o_orderstatus") == "F"), "o_custkey")
+    return K.entity_fallback(orders.where(F.col("o_orderstatus") == "P"), orders.where(F.col("o_orderstatus") != "P"), "o_custkey")
 
 
 @query("rebuild_from_raw", "o_custkey:i feed value:n", """lines AS (

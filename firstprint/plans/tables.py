@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from firstprint.operators.releases import grain_sums
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -96,13 +98,23 @@ FX_DAILY = """fx_daily AS (
   FROM lineitem GROUP BY 1, 2)"""
 
 
-def origin_release(spark, sf) -> DataFrame:
-    """Monthly value per brand and supplier nation, in thousands, unreturned lines only."""
-    line = table(spark, sf, "lineitem").where(F.col("l_returnflag") != "R")
+def duty_paid() -> F.Column:
+    """Price with tax in whole cents: what published totals are in, so parts do not add up to them."""
+    return money(money("l_extendedprice") * (F.lit(1) + money("l_tax")))
+
+
+def origin_lines(spark, sf) -> DataFrame:
+    """Shipped lines with month, brand and supplier nation; a line of an unknown supplier has no origin."""
+    line = table(spark, sf, "lineitem")
     part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("code"))
     supplier = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("origin"))
-    return (line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey)
-            .groupBy(F.trunc("l_shipdate", "month").alias("period"), "code", "origin")
+    return (line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey, "left")
+            .withColumn("period", F.trunc("l_shipdate", "month")))
+
+
+def origin_release(spark, sf) -> DataFrame:
+    """Monthly value per brand and supplier nation, in thousands."""
+    return (origin_lines(spark, sf).where(F.col("origin").isNotNull()).groupBy("period", "code", "origin")
             .agg((F.sum(money("l_extendedprice")).cast("double") / 1000).alias("value")))
 
 
@@ -110,25 +122,34 @@ ORIGIN_RELEASE = """origin_release AS (
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS period, p_brand AS code,
          CAST(s_nationkey AS VARCHAR) AS origin,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / 1000 AS value
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
-  WHERE l_returnflag <> 'R' GROUP BY 1, 2, 3)"""
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3)"""
 
 
 def code_totals(spark, sf) -> DataFrame:
-    """Published total per month and brand; returned lines count here."""
+    """Published total per month and brand, tax included."""
     line = table(spark, sf, "lineitem")
     part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("code"))
     return (line.join(part, line.l_partkey == part.p_partkey)
             .groupBy(F.trunc("l_shipdate", "month").alias("period"), "code")
-            .agg((F.sum(money("l_extendedprice")).cast("double") / 1000).alias("total")))
+            .agg((F.sum(duty_paid()).cast("double") / 1000).alias("total")))
 
 
 CODE_TOTALS = """code_totals AS (
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS period, p_brand AS code,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / 1000 AS total
+         CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l_tax AS DECIMAL(18,2))) AS DECIMAL(18,2))) AS DOUBLE) / 1000 AS total
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""
 
 
+def origin_rows(spark, sf) -> DataFrame:
+    """`origin_release` and, as origin '-', `code_totals`, from one scan of the lines."""
+    both = grain_sums(origin_lines(spark, sf), {"origin": ["period", "code", "origin"], "total": ["period", "code"]},
+                      value=F.sum(money("l_extendedprice")).cast("double") / 1000, total=F.sum(duty_paid()).cast("double") / 1000)
+    is_total = F.col("grain") == "total"
+    return (both.where(is_total | F.col("origin").isNotNull())
+            .select("period", "code", F.when(is_total, F.lit("-")).otherwise(F.col("origin")).alias("origin"),
+                    F.when(is_total, F.col("total")).otherwise(F.col("value")).alias("value")))
+
+
 def headlines(spark, sf) -> DataFrame:
     """Documents as collected stories: one row per search that caught each."""
     docs = table(spark, sf, "documents")

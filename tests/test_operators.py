@@ -301,6 +301,34 @@ def test_flags_need_material_origins(spark):
     assert sorted((r["origin"], r["kind"]) for r in got.collect()) == [("-", "yoy"), ("JP", "share"), ("JP", "yoy")]
 
 
+def test_flags_of_several_sources_in_order(spark):
+    m = dt.date(2026, 7, 1)
+    rows = [("us", m, "8542", "-", -9.0, 30.0, None, None, None, False), ("us", m, "8542", "JP", 9000.0, 70.0, None, 30.0, 20.0, None),
+            ("japan", m, "Total", None, 5.0, None, 40.0, None, None, False), ("japan", m, "Total again", None, 5.0, 40.0, None, None, None, True),
+            ("japan", m, "Cars", None, -80.0, -26.0, 90.0, None, None, False), ("japan", m, "Calm", None, 99.0, 3.0, 90.0, None, None, False),
+            ("other", m, "x", "-", None, 25.0, None, None, None, False), ("japan", m, "None", None, 1.0, None, None, None, None, False)]
+    df = spark.createDataFrame(rows, "source string, period date, code string, origin string, value double, yoy_pct double, "
+                               "yoy_published double, share_pct double, prior_share double, repeats boolean")
+    got = D.ranked_flags(df, ["japan", "us"], "origin").orderBy("source_order", "period", "place").collect()
+    assert [(r["source"], r["place"], r["code"], r["kind"], r["detail"]) for r in got] == [
+        ("japan", 1, "Cars", "yoy", -26.0), ("japan", 2, "Total", "yoy", 40.0), ("us", 1, "8542", "yoy", 70.0), ("us", 2, "8542", "share", 10.0),
+        ("us", 3, "8542", "yoy", 30.0), ("other", 1, "x", "yoy", 25.0)]
+    assert D.ranked_flags(df.limit(0), ["japan"], "origin").count() == 0
+
+
+def test_share_of_a_total_that_is_a_row(spark):
+    rows = [("c", "JP", 300.0), ("c", "-", 900.0), ("c", None, 90.0), ("d", "JP", 1.0), ("e", "JP", 1.0), ("e", "-", 0.0), (None, "-", 8.0), (None, "JP", 2.0)]
+    df = spark.createDataFrame(rows, "code string, origin string, value double")
+    got = {(r["code"], r["origin"]): r["share_pct"] for r in G.share_of_total_row(df, ["code"], "origin", "value").collect()}
+    assert got == {("c", "JP"): pytest.approx(100 / 3), ("c", None): 10.0, ("d", "JP"): None, ("e", "JP"): None, (None, "JP"): 25.0}
+
+
+def test_currency_points_worth_a_word(spark):
+    df = spark.createDataFrame([(8.0, 5.0), (8.0, 5.1), (-1.0, 9.0), (None, 1.0), (1.0, None)], "y double, u double")
+    got = df.select(G.currency_points(F.col("y"), F.col("u")).alias("p")).collect()
+    assert [r["p"] for r in got] == [3.0, None, None, None, None]
+
+
 def test_headline_predicates(spark):
     rows = [("E:Grand Total", "press_release", True), ("E:AREA Grand Total", "press_release", False), ("x", "estat_hs:PROV9", True),
             ("I:Semiconductors etc", "press_release", True), ("y", "press_release", False), ("TOTAL", "timeseries:world_total", False)]

@@ -169,6 +169,24 @@ def test_brier_bands(spark):
     assert got[0.9]["brier"] == 0.0
 
 
+def test_recognition_clock_and_outcomes(spark):
+    d = lambda n: dt.date(2026, 1, 1) + dt.timedelta(days=n)
+    rows = [("a", d(0), "x"), ("a", d(5), "t3"), ("a", d(9), "t6"), ("a", d(7), "t3"), ("b", d(3), "x"), ("c", d(1), "t6"), ("c", d(2), "x"), (None, d(1), "x")]
+    events = spark.createDataFrame(rows, "k string, day date, what string")
+    has = lambda w: F.col("what") == w
+    stones = S.first_dates(events, "k", "day", {"t0": has("x"), "t1": has("x"), "t3": has("t3"), "t4": has("none"), "t6": has("t6")})
+    assert {r["k"]: (r["t0"], r["t3"], r["t4"]) for r in stones.collect()}["a"] == (d(0), d(5), None)
+    priced = stones.withColumns({"p0": F.lit(100.0), "p3": F.when(F.col("k") == "a", 110.0), "p6": F.lit(121.0)})
+    got = {r["k"]: r for r in S.recognition_clock(priced, {"t0": "p0", "t3": "p3", "t6": "p6"}).collect()}
+    a = got["a"]
+    assert (a["lead_days"], a["confirmation_days"], a["early"]) == (5, None, True)
+    assert a["rerating_done"] == pytest.approx(0.5) and a["gap_left"] == pytest.approx(a["move_before"])
+    assert got["b"]["early"] and got["b"]["move_before"] is None and got["b"]["lead_days"] is None
+    ends = {r["milestone"]: (r["reached"], r["failed"]) for r in S.stage_outcomes(stones, ["t0", "t3", "t4"], "t6").collect()}
+    assert ends == {"t0": (4, 3), "t3": (1, 0)}  # c was rerated before its evidence came
+    assert S.recognition_clock(priced.limit(0), {"t0": "p0", "t3": "p3", "t6": "p6"}).count() == 0
+
+
 def test_genealogy_follows_long_chains_and_hot_sources(spark):
     chain = [("t", "p", f"c{i}", f"c{i - 1}" if i else None) for i in range(300)]
     copies = [("t", "q", f"x{i}", "press") for i in range(500)]  # the release itself is not recorded
