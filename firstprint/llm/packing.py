@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from firstprint.llm.caching import Remembered
+from firstprint.llm.caching import RememberedOften
 from firstprint.llm.frames import frame
 from firstprint.session import materialize
 
@@ -32,6 +32,7 @@ STEP = 8
 DEPTH = 3
 SHARDS = 1024
 END_ID = 1
+WORDS, PIECES = 400_000, 300_000  # remembered by each Python worker: about 130 MB when full
 
 
 def combinations(total: int, depth: int = DEPTH) -> list[tuple[int, ...]]:
@@ -177,7 +178,7 @@ class WordIds:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level BPE shows these bytes as themselves
         hidden = [b for b in range(256) if b not in set(shown)]
         self.signs = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
-        self.pieces = Remembered(self._piece, most=100_000)
+        self.pieces = RememberedOften(self._piece, most=PIECES)
         self.direct = all(self._split(w) == self._whole(w) for w in self.PROBES)
 
     def _whole(self, word: str) -> bytes:
@@ -199,7 +200,7 @@ class WordIds:
         return self._whole(word) if ids is None else ids
 
 
-def encoded(text: str | None, ids: Remembered, end: bytes) -> bytes:
+def encoded(text: str | None, ids: RememberedOften, end: bytes) -> bytes:
     """The ids of a text and the end id.
 
     For tokenizers that drop white space and never join across it, so that words can be encoded one by one; the split is at
@@ -217,7 +218,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, end
     give repeated pieces, a null doc_id is carried like any other, and other columns are not read.
     """
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, end, width = Remembered(WordIds(tokenizer_file), most=150_000), np.array([end_id], "<u4").tobytes(), 4 * window
+        known, end, width = RememberedOften(WordIds(tokenizer_file), most=WORDS), np.array([end_id], "<u4").tobytes(), 4 * window
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):

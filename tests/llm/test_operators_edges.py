@@ -447,3 +447,14 @@ def test_register_estimates_are_close():
             got = neardup.estimate(neardup.registers(a)[None], neardup.registers(b)[None], np.array([n]), np.array([n]))[0]
             off.append(got - shared / (2 * n - shared))
         assert max(map(abs, off)) < neardup.ESTIMATE_SLACK and abs(np.mean(off)) < 0.03
+
+
+def test_words_in_use_outlive_a_full_memory():
+    from firstprint.llm.caching import RememberedOften
+
+    asked = []
+    memory = RememberedOften(lambda k: asked.append(k) or k.encode(), most=8, longest=5)
+    for i in range(200):
+        assert (memory["often"], memory[str(i)], memory[""], memory["long" * 3]) == (b"often", str(i).encode(), b"", b"long" * 3)
+        assert len(memory) + len(memory.older) <= 8
+    assert asked.count("often") == asked.count("") == 1 and asked.count("long" * 3) == 200
