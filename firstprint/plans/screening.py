@@ -140,7 +140,7 @@ def brier_calibration(spark, sf):
 
 
 @query("brier_quarterly", "quarter band:n n:i brier:n stated:n realised:n overconfident:b", """forecasts AS (
-  SELECT year(o_orderdate) || '-Q' || quarter(o_orderdate) AS quarter, (CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) % 1000) / 1000.0 AS p,
+  SELECT year(o_orderdate) || '-Q' || quarter(o_orderdate) AS quarter, (CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) % 997) / 997.0 AS p,
     CASE o_orderstatus WHEN 'F' THEN 1 ELSE 0 END AS o FROM orders WHERE o_orderstatus <> 'P')""", """result AS (
   SELECT quarter, round(least(floor(p / 0.1), 9) * 0.1, 2) AS band, count(*) AS n, avg((p - o) * (p - o)) AS brier,
          avg(p) AS stated, avg(CAST(o AS DOUBLE)) AS realised, avg(p) > avg(CAST(o AS DOUBLE)) AS overconfident
@@ -150,7 +150,7 @@ def brier_quarterly(spark, sf):
     cents = (money("o_totalprice") * 100).cast("bigint")
     quarter = F.concat(F.year("o_orderdate"), F.lit("-Q"), F.quarter("o_orderdate"))
     rows = table(spark, sf, "orders").where(F.col("o_orderstatus") != "P").select(
-        quarter.alias("quarter"), (F.pmod(cents, F.lit(1000)) / 1000.0).alias("p"), F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("o"))
+        quarter.alias("quarter"), (F.pmod(cents, F.lit(997)) / 997.0).alias("p"), F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("o"))
     return S.brier_calibration(rows, ["quarter"], "p", "o")
 
 
