@@ -51,15 +51,19 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
                 orders: tuple[int, ...] = ORDERS) -> DataFrame:
     """(bucket, raw, trusted): counts over every text, and over the texts of the trusted ids.
 
-    `trusted` has distinct ids and grows with the corpus, so how it is joined is left to Spark. Rows without a doc_id are
-    trusted by nobody and stay out of the join, where they would all meet in one task.
+    `trusted` has distinct ids and grows with the corpus, so how it is joined is left to Spark. Rows without a doc_id are trusted by nobody and stay out of the join,
+    where they would all meet in one task. The n-grams that begin at a word are made as the row of that word is, without
+    an array of them.
     """
     named = docs.select("doc_id", "text").where("doc_id is not null")
-    marked = named.join(trusted.withColumn("is_trusted", F.lit(1)), "doc_id", "left").select("text", "is_trusted").unionAll(
+    trusted = trusted.withColumn("is_trusted", F.lit(1))
+    marked = named.join(trusted, "doc_id", "left").select("text", "is_trusted").unionAll(
         docs.where("doc_id is null").select("text", F.lit(None).cast("int").alias("is_trusted")))
     words = once(marked, [F.coalesce("is_trusted", F.lit(0)).alias("is_trusted")], w=white_words(F.col("text")))
-    each = words.select("is_trusted", F.explode(grams(F.col("w"), orders)).alias("gram"))
-    return each.groupBy(bucket(F.col("gram"), buckets).alias("bucket")).agg(
+    each = words.select("is_trusted", "w", F.posexplode("w").alias("i", "word"))
+    begun = [F.concat("word", *[x for k in range(1, n) for x in (F.lit(" "), F.get("w", F.col("i") + k))]) for n in orders]
+    found = each.select("is_trusted", F.explode(F.array(*[bucket(g, buckets) for g in begun])).alias("bucket"))
+    return found.where("bucket is not null").groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.sum("is_trusted").cast("bigint").alias("trusted"))
 
 
