@@ -51,12 +51,13 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
                 orders: tuple[int, ...] = ORDERS) -> DataFrame:
     """(bucket, raw, trusted): counts over every text, and over the texts of the trusted ids.
 
-    `trusted` has distinct ids and grows with the corpus, so how it is joined is left to Spark. Rows without a doc_id are trusted by nobody and stay out of the join,
+    `trusted` has distinct ids and grows with the corpus, so it is joined by merge at every size: the texts are shuffled
+    once, and AQE splits an id that many rows share. Rows without a doc_id are trusted by nobody and stay out of the join,
     where they would all meet in one task. The n-grams that begin at a word are made as the row of that word is, without
     an array of them.
     """
     named = docs.select("doc_id", "text").where("doc_id is not null")
-    trusted = trusted.withColumn("is_trusted", F.lit(1))
+    trusted = trusted.withColumn("is_trusted", F.lit(1)).hint("merge")
     marked = named.join(trusted, "doc_id", "left").select("text", "is_trusted").unionAll(
         docs.where("doc_id is null").select("text", F.lit(None).cast("int").alias("is_trusted")))
     words = once(marked, [F.coalesce("is_trusted", F.lit(0)).alias("is_trusted")], w=white_words(F.col("text")))
