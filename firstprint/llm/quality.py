@@ -23,16 +23,14 @@ from firstprint.session import materialize
 
 ORDERS = (1, 2)
 BUCKETS = 10_000
-TRUSTED_ROWS = 10_000  # of the SQL statement alone: the operator counts every trusted row
 PRIOR = 10_000
 LEAST_RATIO = -0.07
 LEAST_WORDS = 50
 
 
-def trusted_ids(labels: DataFrame, rows: int | None = None) -> DataFrame:
-    """The ids of the labelled documents of quality 1: all, or `rows` of them, whose ids have the smallest md5."""
-    ids = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    return ids if rows is None else ids.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids of the labelled documents of quality 1."""
+    return labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
 
 
 def grams(words: Column, orders: tuple[int, ...] = ORDERS) -> Column:
@@ -123,8 +121,7 @@ def verdicts(docs: DataFrame, weight_list: list[int], buckets: int = BUCKETS,
 
 
 def quality_rules(docs: DataFrame, raw: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
-                  trusted_rows: int | None = None, least_ratio: float = LEAST_RATIO,
-                  orders: tuple[int, ...] = ORDERS) -> DataFrame:
+                  least_ratio: float = LEAST_RATIO, orders: tuple[int, ...] = ORDERS) -> DataFrame:
     """Verdicts on `docs`, with multinomials of the raw corpus and its trusted documents."""
-    counts, _ = materialize(gram_counts(raw, trusted_ids(labels, trusted_rows), buckets, orders), "gram-counts")
+    counts, _ = materialize(gram_counts(raw, trusted_ids(labels), buckets, orders), "gram-counts")
     return verdicts(docs, weights(counts, buckets), buckets, least_ratio, orders)

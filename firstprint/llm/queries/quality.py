@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstprint.llm.quality import BUCKETS, LEAST_RATIO, LEAST_WORDS, PRIOR, TRUSTED_ROWS, quality_rules
+from firstprint.llm.quality import BUCKETS, LEAST_RATIO, LEAST_WORDS, PRIOR, quality_rules
 from firstprint.llm.queries.registry import query
 from firstprint.llm.texts import table
 
@@ -20,8 +20,7 @@ crc AS MATERIALIZED (SELECT gram, xor(list_reduce(
         list_transform(range(octet_length(encode(gram))), lambda i: ('0x' || substr(hex(encode(gram)), CAST(2 * i + 1 AS BIGINT), 2))::BIGINT),
         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % {BUCKETS} AS bucket
     FROM (SELECT DISTINCT gram FROM gram), crc_table),
-trusted AS MATERIALIZED (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL)
-    ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT {TRUSTED_ROWS}),
+trusted AS MATERIALIZED (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL),
 counts AS MATERIALIZED (SELECT bucket, count(*) AS raw, count(trusted.doc_id) AS trusted
     FROM gram JOIN crc USING (gram) LEFT JOIN trusted ON gram.doc_id = trusted.doc_id GROUP BY 1),
 weight AS MATERIALIZED (SELECT bucket, CAST(round(ln((trusted * (SELECT sum(raw) FROM counts)::DOUBLE / raw + {PRIOR}.0)

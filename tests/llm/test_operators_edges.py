@@ -119,7 +119,7 @@ def test_quality_counts_and_verdicts(docs, none, labels):
 
 
 def test_quality_counts_every_trusted_row(spark):
-    n = quality.TRUSTED_ROWS + 2_000
+    n = 12_000
     df = spark.range(n).selectExpr("id as doc_id", "concat('w', id % 50, ' common') as text").unionAll(
         spark.createDataFrame([(None, "w1 common"), (None, "w2 common")], "doc_id bigint, text string"))
     labels = spark.range(n).selectExpr("id as doc_id", "1 as quality")
