@@ -16,6 +16,7 @@ import html as entities
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,8 @@ SAMPLE_PAGES = 200
 LAYOUTS = 1200
 EPOCHS = 8
 SEED = 7
+FADE = 0.92  # of a path name, for each name nearer to the block
+STRIDE = 16
 
 # HTML's element groups.
 UNSEEN = {"script", "style", "head", "title", "noscript", "template", "svg", "iframe", "canvas", "audio", "video"}
@@ -53,52 +56,75 @@ LEAVES_SVG = {"b", "big", "blockquote", "body", "br", "center", "code", "dd", "d
 SVG_HOLDS_HTML = {"foreignobject", "desc", "title"}
 CLOSED_BY_SAME = {"p", "li", "dt", "dd", "option", "tr", "td", "th"}
 
-_MARKUP = re.compile(r"(?s)<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
+# Comments, declarations and tags, each ended as HTML ends it: a quote is one only where a value begins, and if it never ends
+# it belongs to the value. What has begun is not tried another way.
+_MARKUP = re.compile(r"""(?xs)
+    <!--(?: -?> | .*?(?: --!?> | (?P<unended>\Z)))
+    | <[!?][^>]*>
+    | <(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)
+      (?P<attributes>(?> [\s/]++ | [^\s/>][^\s/>=]*+ (?: \s*+ = \s*+ (?: "[^"]*+" | '[^']*+' | [^\s>]*+ ) )?+ )*+)>""")
+_COMMENT = re.compile("<[!?]")
 _NAMES = re.compile(r"(?is)\b(class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"\w+")
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 
 
-def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
-    """(text, path, share of link text) of each leaf block with text, in page order."""
+class Path:
+    """An open element: its tag, its names (tag, classes, ids), and the element above it."""
+
+    __slots__ = ("tag", "names", "above", "depth", "vector")
+
+    def __init__(self, tag: str, names: tuple[str, ...], above: Path | None):
+        self.tag, self.names, self.above, self.vector = tag, names, above, None
+        self.depth = above.depth + 1 if above else 1
+
+
+def blocks_of(page: str | None) -> list[tuple[str, Path | None, float]]:
+    """(text, path, share of link text) of each leaf block with text, in page order; in time that grows with the page alone."""
     page = page or ""
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    out: list[tuple[str, tuple[str, ...], float]] = []
+    stack: list[Path] = []
+    open_tags: Counter[str] = Counter()
+    out: list[tuple[str, Path | None, float]] = []
     parts: list[str] = []
-    linked, hidden, links, at = 0, 0, 0, 0
+    linked, hidden, at, last = 0, 0, 0, page.rfind(">") + 1
 
     def close() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            path = tuple(name for tag, names in stack for name in names)
-            out.append((text, path, min(1.0, linked / len(text))))
+            out.append((text, stack[-1] if stack else None, min(1.0, linked / len(text))))
         parts.clear()
         linked = 0
 
     def add(text: str) -> None:
         nonlocal linked
-        if stack and stack[-1][0] == "head" and text.strip():
+        if stack and stack[-1].tag == "head" and text.strip():
             drop(len(stack) - 1)
         if text and not hidden:
             parts.append(text)
-            if links:
+            if open_tags["a"]:
                 linked += len(text)
 
+    def push(tag: str, names: list[str]) -> None:
+        nonlocal hidden
+        stack.append(Path(tag, tuple(names), stack[-1] if stack else None))
+        open_tags[tag] += 1
+        hidden += tag in UNSEEN
+
     def drop(index: int) -> None:
-        nonlocal hidden, links
-        for tag, _ in stack[index:]:
-            hidden -= tag in UNSEEN
-            links -= tag == "a"
+        nonlocal hidden
+        for element in stack[index:]:
+            hidden -= element.tag in UNSEEN
+            open_tags[element.tag] -= 1
         del stack[index:]
 
     def leave(tag: str) -> None:
         """Close a head or an svg that was left open before `tag`."""
-        if not hidden:
+        if not (open_tags["head"] or open_tags["svg"] and tag in LEAVES_SVG):
             return
         for index in range(len(stack) - 1, -1, -1):
-            above = stack[index][0]
+            above = stack[index].tag
             if above in SVG_HOLDS_HTML or above == "head" and tag in HEADED:
                 return
             if above == "head" or above == "svg" and tag in LEAVES_SVG:
@@ -107,37 +133,36 @@ def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
                     return
 
     while at < len(page):
-        found = _MARKUP.search(page, at)
-        if not found:
-            add(page[at:])
+        found = _MARKUP.search(page, at, last) if at < last else None
+        if not found:  # a comment that never ends hides what follows
+            rest = page[at:]
+            add(_COMMENT.split(rest, maxsplit=1)[0])
             break
         add(page[at:found.start()])
         at = found.end()
-        if not found[2]:
+        if found["unended"] is not None:
+            break
+        if not found["tag"]:
             continue
-        tag = found[2].lower()
+        tag = found["tag"].lower()
         if tag not in INLINE:
             close()
-        if found[1]:
-            for index in range(len(stack) - 1, -1, -1):
-                if stack[index][0] == tag:
-                    drop(index)
-                    break
+        if found["end"]:
+            if open_tags[tag]:
+                drop(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
         else:
             leave(tag)
-            if tag == "head" and any(x != "html" for x, _ in stack):  # a head within a body is none
+            if tag == "head" and len(stack) > open_tags["html"]:  # a head within a body is none
                 continue
-            if tag in CLOSED_BY_SAME and stack and stack[-1][0] == tag:
+            if tag in CLOSED_BY_SAME and stack and stack[-1].tag == tag:
                 drop(len(stack) - 1)
             if tag in VOID:  # a slash at the end closes nothing else in HTML
                 continue
             names = [tag]
-            if "=" in found[3]:
-                for name in _NAMES.finditer(found[3]):
+            if "=" in found["attributes"]:
+                for name in _NAMES.finditer(found["attributes"]):
                     names += ["." + x.lower() for x in _PARTS.findall(entities.unescape(name[2] or name[3] or name[4] or ""))]
-            stack.append((tag, tuple(names)))
-            hidden += tag in UNSEEN
-            links += tag == "a"
+            push(tag, names)
             if tag in RAW:
                 end = re.compile(rf"(?i)</{tag}\b[^>]*>").search(page, at)
                 if tag not in UNSEEN:
@@ -159,28 +184,46 @@ class Vectors:
     """Hashed vectors of paths and words, remembered within a bound."""
 
     def __init__(self):
-        self.paths = Remembered(self._path, most=20_000, longest=256)
+        self.paths = Remembered(self._names, most=20_000, longest=256)
         self.words = Remembered(lambda word: (lambda place, sign: 2 * place + (sign > 0))(*_place(word, WORD_SIZE, "word ")))
 
     @staticmethod
-    def _path(path: tuple[str, ...]) -> np.ndarray:
+    def _names(names: tuple[str, ...]) -> np.ndarray:
         out = np.zeros(PATH_SIZE, np.float32)
-        for depth, name in enumerate(reversed(path)):
+        for depth, name in enumerate(reversed(names)):
             place, sign = _place(name, PATH_SIZE, "path ")
-            out[place] += sign / (1 + 0.15 * depth)
+            out[place] += sign * FADE ** depth
         return out
 
+    def _under(self, above: np.ndarray | None, names: list[str]) -> np.ndarray:
+        own = self.paths[tuple(names)]
+        return own if above is None else own + above * np.float32(FADE ** len(names))
+
+    def of_path(self, path: Path | None) -> np.ndarray:
+        """All names of the path, the nearest weighted most. Elements STRIDE apart keep their vectors for all below them."""
+        steps, names = [], []
+        while path is not None and path.vector is None:
+            steps.append(path)
+            path = path.above
+        out = path.vector if path is not None else None
+        for step in reversed(steps):
+            names += step.names
+            if step.depth % STRIDE == 0 or len(step.names) > STRIDE:
+                out, names = self._under(out, names), []
+                step.vector = out
+        return self._under(out, names)
+
     def of_words(self, words: list[str]) -> np.ndarray:
         codes = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         return np.bincount(codes >> 1, weights=(codes & 1) * 2.0 - 1, minlength=WORD_SIZE)
 
 
-def rows_of(blocks: list[tuple[str, tuple[str, ...], float]], vectors: Vectors) -> np.ndarray:
+def rows_of(blocks: list[tuple[str, Path | None, float]], vectors: Vectors) -> np.ndarray:
     """One row of numbers per block."""
     out = np.zeros((len(blocks), PATH_SIZE + WORD_SIZE + SHARES), np.float32)
     for i, (text, path, linked) in enumerate(blocks):
         words = _WORD.findall(text.lower())
-        out[i, :PATH_SIZE] = vectors.paths[path]
+        out[i, :PATH_SIZE] = vectors.of_path(path)
         spoken = vectors.of_words(words)
         out[i, PATH_SIZE:PATH_SIZE + WORD_SIZE] = spoken / max(1.0, np.linalg.norm(spoken))  # one word said often stays small
         stops = sum(text.count(x) for x in ".!?")

@@ -1,8 +1,11 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
 
 import hashlib
+import random
+import time
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -350,6 +353,74 @@ def test_blocks_keep_math_and_object_text():
     assert texts("<div><object data=a><p>One.</p><p>Two.</p></div>") == ["One.", "Two."]
 
 
+def test_blocks_after_stray_quotes_and_odd_comments():
+    texts = lambda page: [x[0] for x in extraction.blocks_of(page)]
+    assert texts("<p title=it's>First words here.</p><p>We don't go.</p><p>Third.</p>") == ["First words here.", "We don't go.", "Third."]
+    assert texts("<!--><p>One.</p><!-- x --><p>Two.</p>") == texts("<!---><p>One.<!-- a > b --!><p>Two.<!-- gone <p>x") == ["One.", "Two."]
+    assert texts("<p a='x>One.</p><p>Two.") == texts('<p a = "q>r" b/>One.</p><p/ =x>Two.') == ["One.", "Two."]
+    assert texts("x<y and z <b") == ["x<y and z <b"] and texts("a > b <c <d <!e") == ["a > b <c <d"]
+
+
+def test_blocks_of_deep_and_broken_pages_take_time_in_proportion():
+    vectors = extraction.Vectors()
+    for page, n in (("<div>w" * 20_000, 20_000), ("<div>" * 20_000 + "</span>" * 20_000 + "w", 1), ("a<b " * 100_000, 1),
+                    ("<i>" * 4_000 + "<div><p>w</p></div>" * 4_000, 4_000), (f"<div class='{'ab ' * 4_000}'>" + "<p>w</p>" * 4_000, 4_000),
+                    ("<canvas>" + "<i>" * 20_000, 0)):
+        began = time.process_time()
+        blocks = extraction.blocks_of(page)
+        assert len(blocks) == n and all(np.isfinite(extraction.rows_of([x], vectors)).all() for x in blocks[-3:])
+        extraction.rows_of(blocks, vectors)
+        assert time.process_time() - began < 20
+
+
+def test_path_vectors_are_sums_over_the_whole_path():
+    page = "".join(f"<div class='a{chr(97 + i % 26)} Bc{i % 7}'>" for i in range(60)) + "word"
+    [(_, path, _)] = extraction.blocks_of(page)
+    names, step = [], path
+    while step:
+        names, step = [*step.names, *names], step.above
+    plain = np.zeros(extraction.PATH_SIZE)
+    for depth, name in enumerate(reversed(names)):
+        place, sign = extraction._place(name, extraction.PATH_SIZE, "path ")
+        plain[place] += sign * extraction.FADE ** depth
+    assert np.allclose(extraction.Vectors().of_path(path), plain, atol=1e-4)
+
+
+class PlainReader(HTMLParser):
+    """Blocks of well-formed pages by the standard library's parser: text between tags that are not inline."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.blocks, self.hidden, self.text = [], 0, ""
+        self.feed(page)
+        self.close()
+        self.cut()
+
+    def cut(self):
+        self.blocks += [" ".join(self.text.split())] if self.text.strip() else []
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in extraction.INLINE:
+            self.cut()
+        self.hidden += tag in extraction.UNSEEN
+
+    def handle_endtag(self, tag):
+        if tag not in extraction.INLINE:
+            self.cut()
+        self.hidden -= tag in extraction.UNSEEN
+
+    def handle_data(self, data):
+        self.text += "" if self.hidden else data
+
+
+def test_blocks_against_a_plain_reader():
+    rng = random.Random(3)
+    sentences = ["Birds sing &amp; fly.", "Nobody <b>minds</b> it.", "The river&#39;s wide, <i>and</i> slow.", "1 &lt; 2, he said."]
+    pages = [extraction._layout(sentences, rng)[0] for _ in range(150)]
+    assert all([x[0] for x in extraction.blocks_of(page)] == PlainReader(page).blocks for page in pages)
+
+
 def test_extraction_learns_its_layouts():
     rows, marks = extraction.training_pages(["<p>Birds sing early. Nobody minds. The river runs on, wide and slow.</p>"])
     cut = len(rows) * 4 // 5
