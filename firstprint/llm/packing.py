@@ -141,7 +141,8 @@ def pack(pieces: DataFrame, window: int = WINDOW, step: int = STEP, depth: int =
     table = slots(plan(histogram, depth), bins)
     before = Window.partitionBy("bin").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("bin", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("bin", "shard").orderBy("piece.doc_id", "piece.start")
+    # Rows that tie are equal in every column, so a task that runs again ranks them alike.
+    within = Window.partitionBy("bin", "shard").orderBy("piece.doc_id", "piece.start", "piece.length", F.xxhash64("piece"))
     ranked = keyed.withColumn("nth", F.row_number().over(within)).join(firsts, ["bin", "shard"])
     ranked = ranked.select("piece", "bin", (F.col("first") + F.col("nth") - 1).alias("rank"))
     scale = int(histogram.max(initial=0)) + 1
