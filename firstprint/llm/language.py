@@ -21,6 +21,7 @@ from firstprint.llm.frames import frame
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 SAMPLE_PER_LANGUAGE = 1_000
+MOST_LANGUAGES = 256
 SMOOTHING = 0.5
 BATCH = 1 << 18
 LEAST_SCORE = 0.5
@@ -58,11 +59,23 @@ def buckets_of(text: str | None, orders: tuple[int, ...] = ORDERS, buckets: int
     return np.concatenate(parts)
 
 
-def sample_ids(docs: DataFrame, usable: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """(doc_id, language): at most `per_language` ids of each known language, those with the smallest md5."""
+def sample_ids(docs: DataFrame, usable: Column, per_language: int = SAMPLE_PER_LANGUAGE,
+               most_languages: int = MOST_LANGUAGES) -> DataFrame:
+    """(doc_id, language): the `per_language` ids with the smallest md5 of each of the `most_languages` commonest languages.
+
+    Ids are first counted by the head of their md5. Only those whose head can hold one of the smallest are ordered, so no
+    task orders a common language. An id counts once, however often it is repeated.
+    """
     known = docs.select("doc_id", F.col("lang").alias("language")).where("language is not null and doc_id is not null").where(usable)
-    order = Window.partitionBy("language").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    return known.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language).drop("nth")
+    known = known.distinct().withColumn("order", F.md5(F.col("doc_id").cast("string"))).withColumn("head", F.substring("order", 1, 4))
+    counts = known.groupBy("language", "head").agg(F.count(F.lit(1)).alias("n"))
+    common = counts.groupBy("language").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "language").limit(most_languages)
+    earlier = Window.partitionBy("language").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+    heads = counts.join(F.broadcast(common.select("language")), "language").withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    heads = heads.where(F.col("before") < per_language).select("language", "head")  # at most `per_language` of a language
+    order = Window.partitionBy("language").orderBy("order", "doc_id")
+    near = known.join(F.broadcast(heads), ["language", "head"]).withColumn("nth", F.row_number().over(order))
+    return near.where(F.col("nth") <= per_language).select("doc_id", "language")
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,13 +92,15 @@ def _added(rows: pd.DataFrame) -> pd.DataFrame:
     return frame("language counts", [(rows["language"].iloc[0], total.tobytes())])
 
 
-def fit(docs: DataFrame, usable: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
+def fit(docs: DataFrame, usable: Column, per_language: int = SAMPLE_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> dict:
     """The languages and the matrix of log probabilities, a row for each bucket and a column for each language.
 
-    One row of counts for each language reaches the driver. The sample is bounded by its parameter, so it is broadcast.
+    The labelled sample is bounded by its two parameters, so it is broadcast, and one row of counts for each language
+    reaches the driver. Rows repeated with one id and language count once, with the smallest of their texts.
     """
-    chosen = sample_ids(docs, usable, per_language)
+    chosen = sample_ids(docs, usable, per_language, most_languages)
     texts = docs.select("doc_id", F.col("lang").alias("language"), "text").join(F.broadcast(chosen), ["doc_id", "language"])
+    texts = texts.groupBy("doc_id", "language").agg(F.min("text").alias("text"))
     kind = "language string, counts binary"
     partial = texts.repartition(8, "doc_id").select("language", "text").mapInPandas(_counts, kind)
     rows = sorted(partial.groupBy("language").applyInPandas(_added, kind).collect(), key=lambda r: r["language"])

@@ -47,6 +47,15 @@ def ids(rows, name="doc_id"):
 ALL = sorted(-1 if i is None else i for i, _ in ROWS)
 
 
+def test_packing_is_the_same_however_tied_rows_arrive(spark):
+    rows = [(1 if i % 3 else None, " ".join(f"word{i}x{j}" for j in range(6 + i % 4))) for i in range(60)]
+    shown = []
+    for given in (rows, rows[::-1]):
+        df = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
+        shown.append(sorted(map(str, packing.packed(df, tokenizer_file(), with_ids=False).collect())))
+    assert shown[0] == shown[1] and len(shown[0]) == 60
+
+
 def test_packing_cuts_every_text_whole(docs, none):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(tokenizer_file())
@@ -169,6 +178,23 @@ def test_language_scores_are_those_of_plain_naive_bayes():
         assert name == "abc"[sums.argmax()] and score == pytest.approx(chances.max())
 
 
+def test_language_sample_against_brute_force(spark):
+    rows = [(i, ("en", "de", "fr", "xx", None)[min(i % 11, 4)]) for i in range(2_000)] + [(7, "en"), (7, "en"), (None, "en")] * 50
+    df = spark.createDataFrame(rows, "doc_id bigint, lang string")
+    found = sorted(map(tuple, language.sample_ids(df, F.expr("doc_id % 3 != 1"), 20, 3).collect()))
+    known = {(i, x) for i, x in rows if i is not None and x and i % 3 != 1}
+    sizes = Counter(x for _, x in known)
+    common = sorted(sizes, key=lambda x: (-sizes[x], x))[:3]
+    assert found == sorted(pair for x in common for pair in sorted(
+        (p for p in known if p[1] == x), key=lambda p: (hashlib.md5(str(p[0]).encode()).hexdigest(), p[0]))[:20])
+
+
+def test_language_counts_a_repeated_row_once(spark):
+    rows = [(1, "en", "the hill"), (2, "de", "der berg")]
+    once, often = (language.fit(spark.createDataFrame(x, "doc_id int, lang string, text string"), F.lit(True)) for x in (rows, rows + rows[:1] * 9))
+    assert once["languages"] == often["languages"] and (once["matrix"] == often["matrix"]).all()
+
+
 def test_toxicity_edges(docs, none, labels):
     for model in (toxicity.fit(docs, labels, F.lit(True)), toxicity.fit(docs, labels.where("false"), F.lit(True))):
         found = toxicity.toxicity(docs, model).collect()
