@@ -63,7 +63,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing_stage),
 ]
 
-# A trained classifier and a tokenizer are not SQL; tests hold the pipeline against a brute-force version.
+# A trained classifier and a tokenizer are not SQL. Tests hold the quality and benchmark stages against SQL, the others by their ids.
 ORACLE_SQL: str | None = None
 
 
