@@ -58,6 +58,45 @@ def test_neighbours_equal_brute_force(spark):
     assert [i for _, i, _ in got[6]] == [1000, 1001, 1002, 1003, 1004]  # copies: ties to the smaller ids
 
 
+def shifted(rng):
+    return 5 + rng.normal(size=(4_000, 48))
+
+
+def in_unequal_clusters(rng):
+    centres, of = rng.normal(size=(200, 48)), np.minimum(rng.zipf(1.3, 4_000) - 1, 199)
+    return centres[of] + 0.3 * rng.normal(size=(4_000, 48)) * rng.lognormal(size=(4_000, 1))
+
+
+def few_dimensions(rng):
+    return np.tanh(rng.normal(size=(4_000, 4)) @ rng.normal(size=(4, 48)))
+
+
+@pytest.mark.parametrize("shape", [shifted, in_unequal_clusters, few_dimensions])
+def test_neighbours_are_found_however_the_rows_lie(spark, shape):
+    rows = shape(np.random.default_rng(1)).astype(np.float32)
+    table = vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(rows)])
+    found = {}
+    for r in forest.nearest(table, lambda i: i % 10 == 0, leaf_rows=16).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    unit = forest.units(rows.astype(float))
+    score = unit[::10] @ unit.T
+    score[np.arange(400), np.arange(0, 4_000, 10)] = -2
+    best = np.argsort(-score, axis=1, kind="stable")[:, :5]
+    assert set(found) == set(range(0, 4_000, 10))
+    assert sum(len(found[10 * i] & set(near.tolist())) for i, near in enumerate(best)) >= 0.95 * 2_000
+
+
+@pytest.mark.parametrize("step, missed", [(3, 0.0), (60, 0.02)])  # nothing may be missed, or too little to measure by
+def test_every_row_is_read_once_if_nothing_less_will_do(spark, step, missed):
+    rows = np.random.default_rng(2).normal(size=(600, 64)).astype(np.float32)  # no structure: an index does not help
+    table = vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(rows)])
+    found = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in forest.nearest(table, lambda i: i % step == 0, leaf_rows=2, missed=missed).collect()}
+    for query in range(0, 600, step):
+        score = forest.cosines(np.broadcast_to(rows[query].astype(float), rows.shape), rows.astype(float))
+        best = [i for i in sorted(range(600), key=lambda i: (-score[i], i)) if i != query][:5]
+        assert [found[query, k + 1] for k in range(5)] == [(i, score[i]) for i in best]
+
+
 def test_few_or_no_neighbours(spark):
     two = vectors(spark, [(3, [1.0, 0.0], 1), (4, [1.0, 1.0], 2)])
     assert [tuple(r) for r in forest.nearest(two, EVERY).collect()] == [(3, 1, 4, pytest.approx(math.sqrt(0.5)))]
