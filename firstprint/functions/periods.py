@@ -154,29 +154,28 @@ def stage_spans(title) -> Column:
     spans = F.split(F.translate(F.coalesce(_col(title), F.lit("")), "、）)：", ",,,:"), ",")
     spans = F.filter(spans, lambda span: F.contains(span, F.lit(":")))
     # Each step is a transform of its own, so that what the next one mentions twice is worked out once.
-    read = F.transform(spans, lambda span: F.named_struct(
-        F.lit("signs"), F.regexp_extract_all(F.substring_index(span, ":", 1), F.lit(r"[0-9]+|\S"), F.lit(0)),
-        F.lit("stage"), stage_word(F.substr(span, F.locate(":", span) + 1))))
-    read = F.filter(read, lambda x: (F.size(x["signs"]) >= 2) & (x["stage"] != ""))
+    cut = F.transform(spans, lambda span: F.named_struct(
+        F.lit("months"), F.substring_index(span, ":", 1), F.lit("label"), F.substr(span, F.locate(":", span) + 1)))
+    read = F.transform(cut, lambda x: F.named_struct(
+        F.lit("back"), F.reverse(F.regexp_extract_all(x["months"], F.lit(r"[0-9]+|\S"), F.lit(0))),
+        F.lit("stage"), stage_word(x["label"])))
+    read = F.filter(read, lambda x: x["stage"] != "")
 
     def ends(x):
-        from_end = lambda n: F.get(x["signs"], F.size(x["signs"]) - n)
-        number = lambda token: F.when(_is_number(token) & (F.length(token) <= 2), token.try_cast("int"))
+        from_end = lambda n: F.get(x["back"], F.lit(n - 1))
+        number = lambda token: F.when(F.length(token) <= 2, token.try_cast("int"))
         return F.named_struct(F.lit("last"), F.when(from_end(1) == "月", number(from_end(2))),
                               F.lit("first"), F.when(from_end(3).isin("～", "-"), number(from_end(4))), F.lit("stage"), x["stage"])
 
-    def months(x):
+    def put_before(held, x):
         first = F.coalesce(x["first"], x["last"])
         listed = F.when(first <= x["last"], F.sequence(first, x["last"])).otherwise(F.array().cast("array<int>"))
-        return F.transform(listed, lambda m: F.named_struct(F.lit("month"), m, F.lit("stage"), x["stage"]))
-
-    spans = F.transform(read, ends)
-    # A month appears where its last span puts it: the map keeps the last position of each month.
-    flat = F.flatten(F.transform(spans, months))
-    placed = F.transform(flat, lambda x, i: F.named_struct(F.lit("month"), x["month"], F.lit("at"), i))
-    last = F.aggregate(placed, F.array_repeat(F.lit(-1), 100), lambda held, x: F.transform(
-        held, lambda at, month: F.when(month == x["month"], x["at"]).otherwise(at)))
-    return F.filter(flat, lambda x, i: F.get(last, x["month"]) == i)
+        fresh = F.array_except(listed, held["month"])
+        return F.flatten(F.array(F.transform(fresh, lambda m: F.named_struct(F.lit("month"), m, F.lit("stage"), x["stage"])), held))
+
+    # A month appears where its last span puts it. The spans are taken from the last to the first, and each puts the months
+    # that no later one has before those held, a hundred at most: nothing is worked out again for every month of a title.
+    return F.aggregate(F.reverse(F.transform(read, ends)), F.array().cast("array<struct<month:int,stage:string>>"), put_before)
 
 
 # --- Weeks ------------------------------------------------------------------------

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,32 @@ def test_stage_spans(values):
     assert {s["month"]: s["stage"] for s in again} == {1: "PROV9", 2: "FIXED", 3: "PROV9"}
 
 
+def test_stage_spans_read_a_title_once(spark):
+    """A title drawn anew at every reading agrees with itself only if it is read once, not again for each of its months."""
+    drawn = F.concat((F.floor(F.rand(3) * 11) + 1).cast("string"), F.lit("月：確報、12月：速報"))
+    got = [r["s"] for r in spark.range(40).select(P.stage_spans(drawn).alias("s")).collect()]
+    assert len({tuple(s["month"] for s in spans) for spans in got}) > 3
+    assert all([s["stage"] for s in spans] == ["DETAILED", "PROV9"] and spans[1]["month"] == 12 for spans in got)
+
+
+def test_stage_spans_that_overlap(spark):
+    """Against a plain reading: each month once, with its last stage, where its last span puts it."""
+    words = {"速報": "PROV9", "確報": "DETAILED", "確々報": "REVISED", "確定": "FIXED", "未定": ""}
+    rng = random.Random(5)
+    titles, expected = [], []
+    for _ in range(60):
+        spans = [(rng.randint(0, 13), rng.randint(0, 13), rng.choice(list(words))) for _ in range(rng.randint(0, 6))]
+        titles.append("統計 (輸入 " + "、".join(f"{a}{rng.choice('-～')}{b}月：{word}" for a, b, word in spans) + ")")
+        held = {}
+        for a, b, word in spans:
+            for month in range(a, b + 1) if words[word] else ():
+                held.pop(month, None)
+                held[month] = words[word]
+        expected.append(list(held.items()))
+    rows = spark.createDataFrame(list(enumerate(titles)), "i int, t string").select("i", P.stage_spans("t").alias("s")).collect()
+    assert [[tuple(s) for s in r["s"]] for r in sorted(rows)] == expected
+
+
 @pytest.mark.parametrize("text,expected", [
     ("46235", dt.date(2026, 8, 1)), ("18-Nov-2004", dt.date(2004, 11, 18)), ("18-NOV-04", dt.date(2004, 11, 18)),
     ("1-Jan-99", dt.date(1999, 1, 1)), ("2026-08-04", dt.date(2026, 8, 4)), ("08/04/2026", dt.date(2026, 8, 4)),
